@@ -262,7 +262,17 @@ def post_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixed topic: orders, customers and products in one stream of messages."""
-    parts = [(orders(spark, sf_dir), "event_ts"), (customer_events(spark, sf_dir), "created_at"),
+    return _mixed(spark, sf_dir, orders(spark, sf_dir))
+
+
+def one_month_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with all orders moved into one month: a lake of a few days, not of years."""
+    moved = F.date_add(F.lit("2024-01-01").cast("date"), F.dayofmonth("event_ts") - 1)
+    return _mixed(spark, sf_dir, orders(spark, sf_dir).withColumn("event_ts", moved.cast("timestamp_ntz")))
+
+
+def _mixed(spark: SparkSession, sf_dir: str, order_events: DataFrame) -> DataFrame:
+    parts = [(order_events, "event_ts"), (customer_events(spark, sf_dir), "created_at"),
              (product_events(spark, sf_dir), "created_at")]
     lines = [df.withColumn("source", F.lit("ecommerce")) for df, _ in parts]
     first, *rest = [df.select(_json(df, ts).alias("value")) for df, (_, ts) in zip(lines, parts, strict=True)]

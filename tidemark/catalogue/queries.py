@@ -643,7 +643,12 @@ def topic_progress(spark, sf_dir):
     return progress.groupBy("topic").agg(F.sum("num_input_rows").alias("messages"))
 
 
-@query(o.sql((o.ORDERS, o.CUSTOMERS, o.PRODUCTS), f"""{LATEST_ORDER},
+ONE_MONTH = (o.ORDERS.replace("orders_ev as", "all_orders as"), """
+orders_ev as (select * replace (cast(date '2024-01-01' + cast(day(event_ts) - 1 as int) as timestamp) as event_ts)
+  from all_orders)""", o.CUSTOMERS, o.PRODUCTS)
+
+
+@query(o.sql(ONE_MONTH, f"""{LATEST_ORDER},
 revenue as (
   select cast(strftime(event_ts, '%Y%m%d') as int) as date_key, cast(event_ts as date) as full_date,
     coalesce(region, 'unknown') as region, coalesce(category, 'unknown') as category, count(*) as total_orders,
@@ -657,7 +662,8 @@ def medallion_daily_revenue(spark, sf_dir):
     """Messages → raw files → silver → gold → mart, through every layer on disk."""
     lake = medallion.Lake(*[new_folder(spark, layer) for layer in ("bronze", "silver", "gold")])
     arrived = F.lit("2024-02-01 07:30:00").cast("timestamp")
-    for topic, feed in d.FEEDS.items():
+    feeds = d.FEEDS | {"transactions": d.one_month_feed}
+    for topic, feed in feeds.items():
         folder = written_feed(spark, feed(spark, sf_dir), topic)
         drain(landing.land_bronze(read_events(spark, topic, text_stream(folder)), topic, lake.bronze,
                                   f"{lake.bronze}/_checkpoints/{topic}", True, arrived))
@@ -748,7 +754,7 @@ def run_log(spark, sf_dir):
     runlog.record_run(
         spark, f"{root}/log", "facts", "gold", rows,
         lambda df: gold.build_fact_sales(df).filter(F.lower(F.trim("status")) != marts.CANCELLED),
-        lambda df: sinks.write_gold_fact(df, root, "fact_sales", many_days=True))
+        lambda df: sinks.replace_folder(df, f"{root}/fact_sales"))
     return spark.read.parquet(f"{root}/log").select("dag_id", "stage", "status", "rows_read", "rows_written")
 
 

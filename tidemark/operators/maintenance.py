@@ -30,9 +30,10 @@ def summing_compaction(df: DataFrame, keys: Sequence[str], additive: Sequence[st
         if name in additive:
             result = total(value)
         elif name in weighted:
-            weight = F.col(weighted[name])
+            # A count has 19 digits at most; a wider type would cost places of the average.
+            weight = F.col(weighted[name]).cast("decimal(19,0)")
             if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
-                value = value.cast("double")
+                value, weight = value.cast("double"), weight.cast("double")
             result = F.try_divide(total(value * weight), total(F.when(value.isNotNull(), weight)))
         else:
             result = F.max(value)

@@ -227,6 +227,14 @@ def sensor_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def transaction_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, customers and products as one raw layer of text columns."""
+    mixed = orders(spark, sf_dir)
+    for other in (customer_events(spark, sf_dir), product_events(spark, sf_dir)):
+        mixed = mixed.unionByName(other, allowMissingColumns=True)
+    return mixed.select([F.col(c).cast("string").alias(c) for c in mixed.columns])
+
+
 def sensor_feed(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
     """JSON messages of readings; ``broken`` adds wrong types and cut-off lines."""
     typed = readings(spark, sf_dir, repeats=True)

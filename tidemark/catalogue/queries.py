@@ -233,9 +233,7 @@ select 'customers' as entity, customer_id as id, name, region as attribute, crea
 union all select 'products', product_id, name, category, created_at from dim_product"""))
 def silver_dims(spark, sf_dir):
     """Customers and products out of the mixed raw topic."""
-    raw = parse_events(d.transaction_feed(spark, sf_dir), T.StructType(
-        [T.StructField(n, T.StringType()) for n in layers.bronze_columns("transactions")]))
-    found = silver.extract_dim_events(raw, d.BATCH)
+    found = silver.extract_dim_events(d.transaction_text(spark, sf_dir), d.BATCH)
     customers = found["customers"].select(
         F.lit("customers").alias("entity"), F.col("customer_id").alias("id"), "name",
         F.col("region").alias("attribute"), "event_ts")

@@ -1,0 +1,186 @@
+"""Staging rules, joins, marts and refreshes on rows at the edges."""
+
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+
+import pytest
+
+from tidemark.operators.joins import star_inner, star_left, with_day_stats
+from tidemark.plans import marts, refresh, staging
+from tidemark.plans.gold import build_fact_sales
+
+DAY = datetime(2024, 1, 5)
+
+
+def sales(spark, *rows):
+    """(id, customer, product, quantity, total, status, time)"""
+    return spark.createDataFrame(
+        [(i, "o" + i, c, p, 20240105, q, Decimal(t), Decimal(t), s, ts) for i, c, p, q, t, s, ts in rows],
+        "sale_id string, order_id string, customer_id string, product_id string, date_key int, quantity int, "
+        "unit_price decimal(10,2), total_amount decimal(12,2), status string, event_ts timestamp")
+
+
+@pytest.fixture
+def dims(spark):
+    products = spark.createDataFrame([("p1", "Books"), ("p2", None)], "product_id string, category string")
+    customers = spark.createDataFrame([("c1", "North")], "customer_id string, region string")
+    return products, customers
+
+
+def readings(spark, *rows):
+    """(id, location, temperature, pressure, humidity, time)"""
+    return spark.createDataFrame(
+        rows, "reading_id string, location_id string, temperature float, pressure float, humidity float, "
+              "event_ts timestamp")
+
+
+def test_sales_need_ids_and_a_positive_amount(spark):
+    fact = sales(spark, ("1", "c1", "p1", 1, "5.00", " Cancelled ", DAY), ("2", "c1", "p1", 1, "0.00", "x", DAY),
+                 ("3", "c1", "p1", 1, "-1.00", "x", DAY), ("4", None, "p1", 1, "5.00", "x", DAY))
+    out = staging.stg_sales(fact).collect()
+    assert [(r.sale_id, r.status) for r in out] == [("1", "cancelled")]
+
+
+def test_trades_are_filtered_on_the_cleaned_side(spark):
+    fact = spark.createDataFrame(
+        [("1", " btc ", " BUY ", 1.0, Decimal(2)), ("2", "ETH", "hold", 1.0, Decimal(2)),
+         ("3", "ETH", "sell", 0.0, Decimal(2)), ("4", "ETH", "sell", 1.0, Decimal(0)), (None, "E", "buy", 1.0, Decimal(1))],
+        "trade_id string, asset string, side string, quantity float, price decimal(18,8)")
+    assert [(r.asset, r.side) for r in staging.stg_trades(fact).collect()] == [("BTC", "buy")]
+
+
+def test_ranges_include_their_ends_and_null_is_unknown(spark):
+    rows = [("1", "L", -50.0, 870.0, 0.0), ("2", "L", 85.0, 1085.0, 100.0), ("3", "L", -50.1, 869.9, -0.1),
+            ("4", "L", 85.1, 1085.1, 100.1), ("5", "L", None, 900.0, 50.0), ("6", None, 1.0, 900.0, 50.0)]
+    staged = staging.stg_sensors(readings(spark, *[(*r, DAY) for r in rows]))
+    flags = {r.reading_id: (r.temp_in_range, r.pressure_in_range, r.humidity_in_range) for r in staged.collect()}
+    assert flags == {"1": (True,) * 3, "2": (True,) * 3, "3": (False,) * 3, "4": (False,) * 3, "5": (None, True, True)}
+    assert sorted(r.reading_id for r in marts.plausible(staged).collect()) == ["1", "2"]
+
+
+def test_engagement_weights(spark):
+    fact = spark.createDataFrame([("1", " Twitter", "POST ", 10, 2, 3), ("2", None, "post", 1, 1, 1)],
+                                 "post_id string, platform string, content_type string, likes int, shares int, comments int")
+    row = staging.stg_social(fact).collect()
+    assert [(r.platform, r.content_type, r.weighted_engagement) for r in row] == [("twitter", "post", 22)]
+
+
+def test_outer_star_keeps_every_sale_and_names_the_unknown(spark, dims):
+    fact = sales(spark, ("1", "c1", "p1", 1, "5.00", "x", DAY), ("2", "guest", "gift", 1, "5.00", "x", DAY),
+                 ("3", "c1", "p2", 1, "5.00", "x", DAY))
+    out = {r.sale_id: (r.region, r.category) for r in star_left(fact, *dims).collect()}
+    assert out == {"1": ("North", "Books"), "2": ("unknown", "unknown"), "3": ("North", "unknown")}
+    assert sorted(r.sale_id for r in star_inner(fact, *dims).collect()) == ["1", "3"]
+
+
+def test_mart_and_refresh_differ_on_cancelled_and_unknown(spark, dims):
+    fact = sales(spark, ("1", "c1", "p1", 2, "10.00", "Cancelled", DAY), ("2", "c1", "p1", 3, "20.00", "shipped", DAY),
+                 ("3", "guest", "p1", 1, "7.00", "shipped", DAY), ("4", "c1", "p1", 1, "99.00", "x", DAY - timedelta(days=3)))
+    staged = staging.stg_sales(fact)
+    mart = marts.int_daily_revenue(staged, *dims).filter("full_date = '2024-01-05'")
+    assert sorted((r.region, r.total_orders, r.total_revenue, r.total_units) for r in mart.collect()) == [
+        ("North", 1, Decimal("20.00"), 3), ("unknown", 1, Decimal("7.00"), 1)]
+    fresh = refresh.refresh_daily_revenue(fact, dims[1], dims[0], datetime(2024, 1, 7, 8)).collect()
+    assert [(r.full_date, r.region, r.total_orders, r.total_revenue, r.avg_order_value) for r in fresh] == [
+        (date(2024, 1, 5), "North", 2, Decimal("30.00"), Decimal("15.00"))]
+
+
+def test_sum_of_the_mart_is_the_sum_of_staging(spark, dims):
+    fact = sales(spark, *[(str(i), f"c{i % 3}", f"p{i % 4}", 1, f"{i}.10", "x", DAY + timedelta(hours=i)) for i in range(1, 60)])
+    staged = staging.stg_sales(fact)
+    mart = marts.int_daily_revenue(staged, *dims)
+    assert mart.agg({"total_revenue": "sum"}).first()[0] == staged.agg({"total_amount": "sum"}).first()[0]
+
+
+def test_one_hour_far_outside_its_day_is_an_anomaly(spark):
+    rows = [(f"{h}-{i}", "L1", 70.0 if h == 13 else 20.0 + i, 1000.0, 50.0, DAY + timedelta(hours=h, minutes=i))
+            for h in range(24) for i in range(3)]
+    out = marts.int_sensor_anomalies(staging.stg_sensors(readings(spark, *rows))).collect()
+    assert [r.hour_ts.hour for r in out if r.temp_anomaly] == [13]
+    assert len(out) == 24
+
+
+def test_a_day_with_one_reading_or_without_spread_is_no_anomaly(spark):
+    rows = [("1", "L1", 20.1, 1000.0, 50.0, DAY), ("2", "L2", 30.0, 1000.0, 50.0, DAY),
+            ("3", "L2", 30.0, 1000.0, 50.0, DAY + timedelta(hours=5))]
+    out = marts.int_sensor_anomalies(staging.stg_sensors(readings(spark, *rows))).collect()
+    assert [r.temp_anomaly for r in out] == [False] * 3
+    assert [r.std_temp_day for r in out] == [0.0] * 3
+
+
+def test_merged_day_statistics_equal_direct_ones(spark):
+    rows = [(f"{h}-{i}", f"L{i % 2}", 15.0 + (h * 7 + i * 3) % 23, 990.0 + (h * i) % 40, 50.0,
+             DAY + timedelta(hours=h, minutes=i)) for h in range(0, 24, 2) for i in range(8)]
+    ok = marts.plausible(staging.stg_sensors(readings(spark, *rows)))
+    direct = {(r.location_id, r.hour_ts): r for r in with_day_stats(
+        ok.groupBy("location_id", marts.F.date_trunc("hour", "event_ts").alias("hour_ts")).count(),
+        marts.day_stats(ok)).collect()}
+    merged = marts.int_sensor_anomalies(staging.stg_sensors(readings(spark, *rows))).collect()
+    assert len(merged) == len(direct)
+    for row in merged:
+        other = direct[row.location_id, row.hour_ts]
+        for name in ("avg_temp_day", "std_temp_day", "avg_pressure_day", "std_pressure_day"):
+            assert row[name] == pytest.approx(other[name], rel=1e-12)
+
+
+def test_readings_are_scanned_and_shuffled_once(spark, plan, small):
+    from tidemark.catalogue.queries import anomalies_of
+    text = plan(anomalies_of(spark, small))
+    assert text.count("FileScan parquet") == 1
+    assert "Join" not in text
+
+
+def test_hourly_refresh_rebuilds_its_first_hour_whole(spark):
+    as_of = datetime(2024, 1, 5, 12, 30)
+    rows = [("1", "L", 5.0, 1000.0, 50.0, datetime(2024, 1, 5, 9, 59)), ("2", "L", 40.0, 1000.0, 50.0, datetime(2024, 1, 5, 10, 5)),
+            ("3", "L", 40.0, 1000.0, 50.0, datetime(2024, 1, 5, 10, 45)), ("4", "L", 20.0, 1000.0, 50.0, datetime(2024, 1, 5, 11, 0))]
+    out = refresh.refresh_hourly_sensor(readings(spark, *rows), as_of).collect()
+    assert sorted((r.hour_ts.hour, r.reading_count, r.anomaly_flag) for r in out) == [(10, 2, 1), (11, 1, 0)]
+
+
+def test_trading_mart_and_refresh(spark):
+    fact = spark.createDataFrame(
+        [("1", "BTC", "buy", 2.0, Decimal("10"), Decimal("20"), 20240105, DAY),
+         ("2", "BTC", "sell", 1.0, Decimal("20"), Decimal("20"), 20240105, DAY),
+         ("3", "btc", "hold", 9.0, Decimal("1"), Decimal("9"), 20240105, DAY)],
+        "trade_id string, asset string, side string, quantity float, price decimal(18,8), "
+        "total_value decimal(18,4), date_key int, event_ts timestamp")
+    mart = marts.agg_trading_volume(staging.stg_trades(fact)).first()
+    assert (mart.total_volume, mart.trade_count, mart.avg_price, mart.buy_count, mart.sell_count) == (
+        3.0, 2, Decimal("15"), 1, 1)
+    fresh = {r.asset: r.trade_count for r in refresh.refresh_trading_volume(fact, DAY).collect()}
+    assert fresh == {"BTC": 2, "btc": 1}
+
+
+def test_sale_keys_repeat_from_run_to_run(spark):
+    rows = spark.createDataFrame(
+        [("o1", "c1", "p1", 1, Decimal("1.00"), Decimal("1.00"), "x", DAY, "b")],
+        "order_id string, customer_id string, product_id string, quantity int, unit_price decimal(10,2), "
+        "total_amount decimal(12,2), status string, event_ts timestamp, _batch_id string")
+    first, again = build_fact_sales(rows).first(), build_fact_sales(rows, "2024-01-05").first()
+    assert first.sale_id == again.sale_id
+    assert build_fact_sales(rows, "2024-01-06").isEmpty()
+
+
+def test_a_hot_customer_is_split_over_several_tasks(spark, plan):
+    from tidemark.catalogue import domain as d
+    from tidemark.catalogue.queries import daily_revenue_of
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k"}
+    small = "/root/testdata/sf0.01"
+    expected = daily_revenue_of(spark, small).drop("_computed_at")
+    before = {k: spark.conf.get(k, None) for k in settings}
+    want = sorted(map(tuple, expected.collect()))
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        split = daily_revenue_of(spark, small).drop("_computed_at")
+        assert sorted(map(tuple, split.collect())) == want
+        assert "skew=true" in plan(split)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert d.orders(spark, small).filter("customer_id = 'CUST-GUEST'").count() > 10000

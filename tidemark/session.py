@@ -38,6 +38,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_roots: dict[str, str] = {}
+
+
 def working_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's checkpoint folder.
 
@@ -49,9 +52,10 @@ def working_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _local_roots[application]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -1,0 +1,80 @@
+"""The jobs end to end on a small lake, answers and guarded statements."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from test_streams import START, every_topic, feed, stamp
+from tidemark import jobs
+from tidemark.operators import quality, runlog
+from tidemark.operators.sinks import load_fact
+from tidemark.plans.answers import UnsafeStatement, answer_question, run_statement
+from tidemark.sources.events import read_events
+from tidemark.streaming import landing, topics
+
+
+def test_land_type_load_model_refresh(spark, folder):
+    lake, src = f"{folder}/lake", f"{folder}/src"
+    every_topic(src)
+    for topic, path in {"transactions": "t", "sensors": "s", "financial": "f", "social": "p"}.items():
+        stream = read_events(spark, topic, {"format": "text", "path": f"{src}/{path}"})
+        landing.land_bronze(stream, topic, f"{lake}/bronze", f"{lake}/cp/{topic}", True,
+                            F.lit("2024-01-05 12:00:00").cast("timestamp")).awaitTermination()
+        jobs.main(["silver", "--lake", lake, "--topic", topic, "--date", "2024-01-05"], spark)
+    for job in ("gold", "load"):
+        for _ in range(2):
+            jobs.main([job, "--lake", lake, "--date", "2024-01-05"], spark)
+    jobs.main(["marts", "--lake", lake], spark)
+    revenue = spark.read.parquet(f"{lake}/marts/agg_daily_revenue").collect()
+    assert [(r.region, r.category, float(r.total_revenue)) for r in revenue] == [("North", "Books", 42.0)]
+    for _ in range(2):
+        jobs.main(["refresh", "--lake", lake, "--as-of", "2024-01-05T11:00:00"], spark)
+    jobs.main(["optimize", "--lake", lake, "--target", f"{lake}/optimized"], spark)
+    for root in ("warehouse", "optimized"):
+        stored = spark.read.parquet(f"{lake}/{root}/agg_hourly_sensor").collect()
+        assert [(r.hour_ts, r.location_id, r.reading_count) for r in stored] == [(START, "L1", 1)]
+        assert spark.read.parquet(f"{lake}/{root}/agg_trading_volume").first().trade_count == 1
+    jobs.main(["expire", "--lake", lake, "--as-of", "2024-12-01"], spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        jobs.main(["silver", "--lake", lake, "--topic", "sensors", "--date", "2024-01-05"], spark)
+
+
+def test_failed_check_stops_the_marts(spark, folder):
+    day = spark.createDataFrame([("x", 20240105), ("x", 20240105)], "reading_id string, date_key int")
+    load_fact(day, f"{folder}/warehouse", "fact_sensor_readings", 20240105)
+    for name, key in (("fact_sales", "sale_id"), ("fact_trades", "trade_id"), ("fact_social_engagement", "post_id")):
+        rows = spark.createDataFrame([("x", 20240105)], f"{key} string, date_key int")
+        load_fact(rows, f"{folder}/warehouse", name, 20240105)
+    with pytest.raises(quality.QualityError, match="reading_id unique: 1"):
+        jobs.main(["marts", "--lake", folder], spark)
+
+
+def test_micro_batches_are_logged_as_runs(spark, folder):
+    options = feed(f"{folder}/src", "1", {"reading_id": "a", "event_ts": stamp()}, {"reading_id": "b", "event_ts": stamp()})
+    query = topics.stream_topic(spark, "sensors", f"{folder}/silver", options, available_now=True)
+    query.awaitTermination()
+    assert runlog.record_stream_runs(spark, f"{folder}/log", "sensors", "silver", query) >= 1
+    log = spark.read.parquet(f"{folder}/log").collect()
+    assert sum(r.rows_read for r in log) == 2 and {r.status for r in log} == {"success"}
+
+
+def test_question_is_answered_and_logged(spark, folder):
+    sales = spark.createDataFrame([("p1", START, 5), ("p2", START - timedelta(days=60), 7)],
+                                  "product_id string, event_ts timestamp, total_amount int")
+    rows = answer_question(spark, "Total revenue please", f"{folder}/log", datetime(2024, 1, 6), {"fact_sales": sales})
+    assert [r.revenue for r in rows.collect()] == [5]
+    assert answer_question(spark, "Good morning", f"{folder}/log", datetime(2024, 1, 6), {}) is None
+    log = spark.read.parquet(f"{folder}/log").collect()
+    assert sorted(r.user_query for r in log) == ["Good morning", "Total revenue please"]
+
+
+def test_only_reading_statements_run(spark):
+    assert run_statement(spark, "```sql\nSELECT 1 AS created_at; DROP TABLE x\n```").first().created_at == 1
+    with pytest.raises(UnsafeStatement):
+        run_statement(spark, "DROP TABLE x")
+
+
+def test_dates_and_options():
+    args = jobs.parser().parse_args(["stream", "--lake", "/x", "--option", "format=text", "--option", "path=/a=b"])
+    assert jobs.key_values(args.option) == {"format": "text", "path": "/a=b"}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +40,31 @@ def record_run(spark: SparkSession, log_path: str, job: str, stage: str, source:
     return row
 
 
+def record_stream_runs(spark: SparkSession, log_path: str, job: str, stage: str, query: StreamingQuery) -> int:
+    """Log every recent micro-batch of a stream as a run; returns the number of rows added.
+
+    ``rows_written`` is zero where the sink does not count (files, foreachBatch).
+    """
+    failure = query.exception()
+    rows = []
+    for batch in query.recentProgress:
+        started = datetime.fromisoformat(batch["timestamp"])
+        length = timedelta(milliseconds=batch["durationMs"].get("triggerExecution", 0))
+        rows.append({
+            "run_id": f"{batch['runId']}-{batch['batchId']}", "dag_id": job, "stage": stage, "status": "success",
+            "rows_read": int(batch["numInputRows"]), "rows_written": max(0, int(batch["sink"]["numOutputRows"])),
+            "started_at": started, "finished_at": started + length, "error_msg": None,
+            "_loaded_at": datetime.now(timezone.utc)})
+    if failure is not None:
+        now = datetime.now(timezone.utc)
+        rows.append({
+            "run_id": f"{query.runId}-failed", "dag_id": job, "stage": stage, "status": "failed", "rows_read": 0,
+            "rows_written": 0, "started_at": now, "finished_at": now, "error_msg": str(failure), "_loaded_at": now})
+    if rows:
+        append_log(spark.createDataFrame(rows, RUNS.schema), log_path, RUNS)
+    return len(rows)
+
+
 def topic_progress(spark: SparkSession, queries: dict[str, StreamingQuery]) -> DataFrame:
     """Batches of each running stream: rows taken and the offsets reached, per source.
 

@@ -158,9 +158,9 @@ def dim_product(spark, sf_dir):
 
 @query(o.sql(o.SENSORS, """
 , days as (select cast(d as date) as full_date from generate_series(date '2024-01-01', date '2027-12-31', interval 1 day) s(d))
-select cast(strftime(full_date, '%Y%m%d') as int) as date_key, full_date, year(full_date) as year,
-  quarter(full_date) as quarter, month(full_date) as month, week(full_date) as week,
-  isodow(full_date) as day_of_week, cast(isodow(full_date) in (6, 7) as int) as is_weekend, count(f.date_key) as readings
+select cast(strftime(full_date, '%Y%m%d') as int) as date_key, full_date, cast(year(full_date) as int) as year,
+  cast(quarter(full_date) as int) as quarter, cast(month(full_date) as int) as month, cast(week(full_date) as int) as week,
+  cast(isodow(full_date) as int) as day_of_week, cast(isodow(full_date) in (6, 7) as int) as is_weekend, count(f.date_key) as readings
 from days left join fact_sensors f on f.date_key = cast(strftime(full_date, '%Y%m%d') as int) group by all"""))
 def readings_per_calendar_day(spark, sf_dir):
     """The calendar with the number of readings of every day, also of days without any."""
@@ -188,7 +188,8 @@ TYPED_READING = ("reading_id, location_id, site_name, cast(temperature as double
                  "{vibration} as vibration, cast(lat as double) as lat, cast(lon as double) as lon, is_anomaly, "
                  "case when battery_pct <> 0 then cast(battery_pct as double) end as battery_pct, event_ts")
 TYPED_READING_TEXT = TYPED_READING.format(vibration="cast(null as double)")
-DAYS = "year(event_ts) as _year, month(event_ts) as _month, day(event_ts) as _day"
+DAYS = ("cast(year(event_ts) as int) as _year, cast(month(event_ts) as int) as _month, "
+        "cast(day(event_ts) as int) as _day")
 LATEST_READING = """
 , latest as (select * exclude (rn) from (
   select *, row_number() over (partition by reading_id order by event_ts desc nulls last,
@@ -878,7 +879,7 @@ from compared"""), digits={"revenue": 2, "avg_revenue": 6})
 report("top_assets_vs_previous_day", o.sql(o.TRADING, """
 , daily as (select full_date, asset, sum(total_volume) as volume from trading_volume group by 1, 2),
 ranked as (select t.full_date, t.asset, t.volume, y.volume as previous_volume,
-  row_number() over (partition by t.full_date order by t.volume desc, t.asset) as position
+  cast(row_number() over (partition by t.full_date order by t.volume desc, t.asset) as int) as position
   from daily t left join daily y on y.asset = t.asset and y.full_date = t.full_date - 1)
 select * from ranked where position <= 3"""))
 report("engagement_growth", o.sql(o.SOCIAL, """

@@ -136,6 +136,23 @@ def test_duplicates_within_the_lateness_are_dropped_across_batches(spark, folder
     assert sorted(r.reading_id for r in spark.read.parquet(out).collect()) == ["a", "b"]
 
 
+def test_a_key_repeated_without_end_is_cut_before_its_own_task(spark, folder):
+    copies = [{"reading_id": "hot", "event_ts": stamp()}] * 500
+    others = [{"reading_id": f"r{i}", "event_ts": stamp(i)} for i in range(20)]
+    src, out = f"{folder}/src", f"{folder}/out"
+    for part in range(4):
+        options = feed(src, str(part), *copies, *others)
+    events = parse_events(read_events(spark, "sensors", options), ENTITIES["sensors"].schema)
+    query = drain(writer(stateful.dedup_stream(events, "reading_id", "1 day", lanes=4), "lanes", f"{folder}/cp", True)
+                  .format("parquet").start(out))
+    rows = spark.read.parquet(out)
+    assert rows.count() == rows.select("reading_id").distinct().count() == 21
+    assert "_lane" not in rows.columns
+    states = query.recentProgress[0]["stateOperators"]
+    assert len(states) == 2
+    assert min(s["numRowsUpdated"] for s in states) == 21 < max(s["numRowsUpdated"] for s in states) <= 4 * 21
+
+
 def test_hours_are_emitted_once_and_late_readings_ignored(spark, folder):
     src, out = f"{folder}/src", f"{folder}/out"
 

@@ -590,7 +590,7 @@ def stream_dedup(spark, sf_dir):
     folder = written_feed(spark, once.unionByName(once), "sensors")
     events = parse_events(read_events(spark, "sensors", text_stream(folder)), ENTITIES["sensors"].schema)
     out = new_folder(spark, "silver")
-    drain(writer(stateful.dedup_stream(events, "reading_id", d.LATENESS), "dedup", f"{out}/_checkpoint", True)
+    drain(writer(stateful.dedup_stream(events, "reading_id", d.LATENESS, lanes=4), "dedup", f"{out}/_checkpoint", True)
           .format("parquet").start(out))
     return comparable(spark.read.parquet(out))
 

@@ -14,6 +14,8 @@ def spark():
     session = build_session("tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
+        # Call sites in error texts cost a round trip to the JVM per column.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "6g",
         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),

@@ -600,8 +600,9 @@ def stream_dedup(spark, sf_dir):
     avg(humidity) as avg_humidity, count(*) as reading_count from raw_readings where event_ts is not null group by 1, 2)"""))
 def stream_hourly(spark, sf_dir):
     """Hourly averages as a stream; a last message far ahead closes all hours."""
-    feed = d.sensor_feed(spark, sf_dir).unionByName(d.closing_message(spark, sf_dir))
-    folder = written_feed(spark, feed, "sensors")
+    folder = written_feed(spark, d.sensor_feed(spark, sf_dir), "sensors")
+    # Written later, so its file is read last even when the feed takes many micro-batches.
+    d.closing_message(spark, sf_dir).write.mode("append").text(folder)
     events = parse_events(read_events(spark, "sensors", text_stream(folder)), ENTITIES["sensors"].schema)
     timed = events.filter(F.col("event_ts").isNotNull())
     out = new_folder(spark, "silver")

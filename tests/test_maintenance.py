@@ -82,7 +82,7 @@ def test_small_files_are_merged(spark, folder):
 def test_clustered_files_hold_sorted_rows_and_one_hot_key_is_spread(spark, folder):
     before = spark.conf.get("spark.sql.adaptive.enabled")
     rows = spark.range(30000).select(
-        F.lit("hot").alias("asset"), F.lit(20240105).alias("date_key"), F.col("id").cast("string").alias("trade_id"),
+        F.lit("hot").alias("asset"), F.lit(20240105).alias("date_key"), F.lit("copy").alias("trade_id"),
         F.lit(NOON).alias("event_ts"))
     try:
         spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep all tasks, to see the spread

@@ -22,19 +22,16 @@ def summing_compaction(df: DataFrame, keys: Sequence[str], additive: Sequence[st
     keep a raised value and every other column its largest one. Column order and
     types stay as they were.
     """
-    def total(column: Column) -> Column:
-        return F.sum(column)
-
     def merged(field: T.StructField) -> Column:
         name, value = field.name, F.col(field.name)
         if name in additive:
-            result = total(value)
+            result = F.sum(value)
         elif name in weighted:
             # A count has 19 digits at most; a wider type would cost places of the average.
             weight = F.col(weighted[name]).cast("decimal(19,0)")
             if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
                 value, weight = value.cast("double"), weight.cast("double")
-            result = F.try_divide(total(value * weight), total(F.when(value.isNotNull(), weight)))
+            result = F.try_divide(F.sum(value * weight), F.sum(F.when(value.isNotNull(), weight)))
         else:
             result = F.max(value)
         return result.cast(field.dataType).alias(name)
@@ -78,12 +75,6 @@ def expire_bronze(spark: SparkSession, root: str, as_of: datetime, days: int = B
     return removed
 
 
-def row_salt(df: DataFrame) -> Column:
-    """A repeatable spread value per row (a retried task must place rows as before)."""
-    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return F.xxhash64(*hashed)
-
-
 def compact_table(spark: SparkSession, source: str, target: str, partition_by: Sequence[str],
                   sort_by: Sequence[str] = ()) -> str:
     """Rewrite a table of many small files into a new folder with files of the advisory size.
@@ -101,11 +92,12 @@ def cluster_write(df: DataFrame, path: str, partition_expr: Column, sort_cols: S
                   partition_name: str = "_p") -> str:
     """Partition by month or day and keep rows in sort-key order inside the files.
 
-    The range split ends with a row salt, so rows with one and the same sort key
-    can still be spread over several tasks.
+    The range split ends with the number of the reading task, so rows with one and the
+    same sort key, even exact copies, can still be spread over several tasks. A retried
+    task has the same number and places its rows as before.
     """
     keyed = df.withColumn(partition_name, partition_expr)
-    spread = keyed.withColumn("_salt", row_salt(df))
+    spread = keyed.withColumn("_salt", F.spark_partition_id())
     ordered = (spread.repartitionByRange(partition_name, *sort_cols, "_salt")
                .sortWithinPartitions(partition_name, *sort_cols).drop("_salt"))
     ordered.write.mode("overwrite").partitionBy(partition_name).parquet(path)

@@ -70,6 +70,7 @@ def test_mixed_topic_is_routed_and_a_replayed_batch_replaces_itself(spark, folde
     assert [r.region for r in spark.read.parquet(f"{root}/customers").collect()] == ["North"]
     product = spark.read.parquet(f"{root}/products").collect()
     assert [(r.category, r.event_ts) for r in product] == [("Books", START)]
+    assert {"_year", "_month", "_day", "_stream_batch"} <= set(spark.read.parquet(f"{root}/products").columns)
     rows = spark.read.parquet(f"{root}/products").drop("_stream_batch")
     for _ in range(2):  # the same batch again
         topics.write_batch_part(rows.filter("true").select("*"), f"{folder}/again", 7)

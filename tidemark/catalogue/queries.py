@@ -555,14 +555,19 @@ def stream_topic(spark, sf_dir):
     return comparable(rows.drop("_kafka_ts", "offset", "partition", "event_type", "source"))
 
 
-@query(o.sql((o.ORDERS, o.CUSTOMERS, o.PRODUCTS), """
+ONE_MONTH = (o.ORDERS.replace("orders_ev as", "all_orders as"), """
+orders_ev as (select * replace (cast(date '2024-01-01' + cast(day(event_ts) - 1 as int) as timestamp) as event_ts)
+  from all_orders)""", o.CUSTOMERS, o.PRODUCTS)
+
+
+@query(o.sql(ONE_MONTH, """
 select 'transactions' as entity, order_id as id, customer_id, product_id, cast(total_amount as double) as amount,
   status as attribute, event_ts from orders_ev
 union all select 'customers', customer_id, customer_id, null, null, region, created_at from customer_ev
 union all select 'products', product_id, null, product_id, cast(price as double), category, created_at from product_ev"""))
 def stream_routed(spark, sf_dir):
     """One pass over the mixed topic into three tables."""
-    folder = written_feed(spark, d.transaction_feed(spark, sf_dir), "transactions")
+    folder = written_feed(spark, d.one_month_feed(spark, sf_dir), "transactions")
     root = new_folder(spark, "silver")
     drain(topics.stream_transactions(spark, root, text_stream(folder), available_now=True))
 
@@ -643,11 +648,6 @@ def topic_progress(spark, sf_dir):
     return progress.groupBy("topic").agg(F.sum("num_input_rows").alias("messages"))
 
 
-ONE_MONTH = (o.ORDERS.replace("orders_ev as", "all_orders as"), """
-orders_ev as (select * replace (cast(date '2024-01-01' + cast(day(event_ts) - 1 as int) as timestamp) as event_ts)
-  from all_orders)""", o.CUSTOMERS, o.PRODUCTS)
-
-
 @query(o.sql(ONE_MONTH, f"""{LATEST_ORDER},
 revenue as (
   select cast(strftime(event_ts, '%Y%m%d') as int) as date_key, cast(event_ts as date) as full_date,

@@ -70,9 +70,19 @@ def take_route(events: DataFrame, route: Route) -> DataFrame:
 
 
 def write_batch_part(rows: DataFrame, path: str, batch_id: int) -> None:
-    """One micro-batch in its own folder: a replayed batch replaces itself."""
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .parquet(f"{path}/{BATCH_COLUMN}={batch_id}"))
+    """One micro-batch in folders of its own: a replayed batch replaces itself.
+
+    Events are stored by event day first, so a day can be read without the others; a
+    backlog of many days is gathered by day to keep the number of files low.
+    """
+    if "event_ts" not in rows.columns:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(f"{path}/{BATCH_COLUMN}={batch_id}"))
+        return
+    by_day = day_columns(rows).hint("rebalance", *DAY_COLUMNS)
+    (by_day.withColumn(BATCH_COLUMN, F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*DAY_COLUMNS, BATCH_COLUMN).parquet(path))
 
 
 def route_stream(stream: DataFrame, routes: Mapping[str, Route], root: str, name: str, checkpoint: str,

@@ -840,8 +840,8 @@ report("latest_anomalies", o.sql(o.ANOMALIES, """
 select location_id, hour_ts, round(avg_temp, 4) as avg_temp, anomaly_flag from agg_hourly_sensor
 where anomaly_flag = 1 order by hour_ts desc, location_id limit 50"""), digits={"avg_temp": 4})
 report("trading_volume", o.sql(o.TRADING, """
-select asset, sum(total_volume) as volume, round(avg(avg_price), 4) as avg_price from trading_volume
-where full_date >= date '2024-01-23' group by 1"""), digits={"avg_price": 4})
+select asset, sum(total_volume) as volume, round(avg(avg_price), 9) as avg_price from trading_volume
+where full_date >= date '2024-01-23' group by 1"""), digits={"avg_price": 9})
 report("platform_engagement", o.sql(o.SOCIAL, """
 select platform, cast(sum(likes) as bigint) as likes, cast(sum(shares) as bigint) as shares,
   cast(sum(comments) as bigint) as comments from fact_social group by 1"""))

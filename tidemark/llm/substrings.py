@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -12,87 +11,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import longs, texts
+from tidemark.llm.rolling import window_hashes
 
 #: Bytes of text in a block, and of the texts whose windows meet in one hash range.
 BLOCK_BYTES = 16 << 20
-_PIECE_BYTES = 1 << 20
-_PIECE_WORDS = 1 << 16
 _U = np.uint64
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Spread the bits of 64-bit values (a bijection)."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-class RollingHash:
-    """Rabin-Karp hashes modulo 2**64 of byte strings and of runs of them, from running sums.
-
-    A sum of ``value * base**position`` over a range, divided by ``base**start``, does not depend on where the
-    range stands; the base is odd, so the division is exact.
-    """
-
-    def __init__(self, seed: int):
-        made = _mixed(np.arange(1, 259, dtype=np.uint64) + _U(seed) * _U(1000))
-        self.letters, self.base = made[:256], int(made[256]) | 5
-        self.inverse = pow(self.base, -1, 1 << 64)
-        self._grow(1 << 12)
-
-    def _grow(self, n: int) -> None:
-        for name, base in (("up", self.base), ("down", self.inverse)):
-            factors = np.full(n, base, np.uint64)
-            factors[0] = 1
-            setattr(self, name, np.cumprod(factors, dtype=np.uint64))
-
-    def ranges(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        if values.size >= self.up.size:
-            self._grow(2 * values.size + 1)
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * self.up[:values.size], dtype=np.uint64)))
-        return _mixed((sums[ends] - sums[starts]) * self.down[starts])
-
-    def windows(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, words: int) -> np.ndarray:
-        """Hashes of the windows that begin at the words ``first``; words are ranges of the bytes ``raw``."""
-        return self.ranges(self.ranges(self.letters[raw], starts, ends), first, first + words)
-
-
-_HASHES: list[RollingHash] = []
-
-
-def _window_hashes(pieces: list[list[bytes]], words: int) -> tuple[np.ndarray, np.ndarray]:
-    """64 and 16 more hash bits of every window, piece by piece in order."""
-    if not _HASHES:
-        _HASHES.extend((RollingHash(1), RollingHash(2)))
-    raw = np.frombuffer(b" ".join(b" ".join(p) for p in pieces), np.uint8)
-    gaps = np.flatnonzero(raw == 32)
-    starts, ends = np.concatenate(([0], gaps + 1)), np.concatenate((gaps, [raw.size]))
-    is_start = np.ones(starts.size, bool)
-    for end in np.cumsum([len(p) for p in pieces]).tolist():
-        is_start[end - words + 1:end] = False
-    first = np.flatnonzero(is_start)
-    one, two = (h.windows(raw, starts, ends, first, words) for h in _HASHES)
-    return one, (two >> _U(48)).astype(np.uint16)
-
-
 class _Block:
     """Windows of the documents of a block, in order of id: hashes, and each distinct hash once."""
 
     def __init__(self, ids: np.ndarray, found: list[list[bytes]], words: int):
         self.counts = np.array([max(0, len(w) - words + 1) for w in found], np.int64)
-        one, two, pieces, size = [], [], [], 0
-        for w in found:
-            for at in range(0, len(w) - words + 1, _PIECE_WORDS):
-                pieces.append(w[at:at + _PIECE_WORDS + words - 1])
-                size += sum(map(len, pieces[-1])) + len(pieces[-1])
-                if size > _PIECE_BYTES:
-                    for side, hashes in zip((one, two), _window_hashes(pieces, words)):
-                        side.append(hashes)
-                    pieces, size = [], 0
-        if pieces:
-            for side, hashes in zip((one, two), _window_hashes(pieces, words)):
-                side.append(hashes)
-        h, more = (np.concatenate([np.empty(0, kind), *side]) for side, kind in ((one, np.uint64), (two, np.uint16)))
+        h, more = window_hashes(found, words, 2)
+        more = (more >> _U(48)).astype(np.uint16)
         self.order = _ordered(h, more)
         h, more = h[self.order], more[self.order]
         self.new = _begins(h, more)

@@ -1,0 +1,96 @@
+import re
+import zlib
+from collections import Counter
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidemark.llm import language
+from tidemark.llm.common import table
+from tidemark.llm.queries import QUERIES
+
+
+def grams(text):
+    """The same n-grams, word by word."""
+    out = Counter()
+    for word in "".join(c if c.isalpha() else " " for c in (text or "").lower()).split(" "):
+        padded = f" {word} " if word else ""
+        out.update(word)
+        out.update(padded[i:i + 2] for i in range(len(padded) - 1))
+        out.update(padded[i:i + 3] for i in range(len(padded) - 2))
+    return out
+
+
+def number(gram):
+    value = 0
+    for c in gram:
+        value = value << 21 | ord(c)
+    return value
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=60) | st.text("ab éß.\n", max_size=80))
+def test_ngrams_equal_a_plain_count(text):
+    found, counts = language.counted(language.ngrams(text))
+    assert dict(zip(found.tolist(), counts.tolist())) == {number(g): n for g, n in grams(text).items()}
+    best = sorted(grams(text).items(), key=lambda x: (-x[1], number(x[0])))[:7]
+    assert language.ranked(found, counts, 7).tolist() == [number(g) for g, _ in best]
+
+
+def by_hand(text, ranks, size):
+    own = [number(g) for g, _ in sorted(grams(text).items(), key=lambda x: (-x[1], number(x[0])))[:size]]
+    if not own:
+        return "und", 0.0
+    apart = {lang: sum(abs(theirs.index(g) - i) if g in theirs else size for i, g in enumerate(own)) for lang, theirs in ranks.items()}
+    best = min(sorted(apart), key=apart.get)
+    return best, 1 - apart[best] / (size * len(own))
+
+
+def test_query_equals_brute_force_and_is_right(spark, small):
+    docs = [(r.doc_id, r.text, r.lang) for r in table(spark, small, "documents").collect()]
+    out = {d: zlib.crc32(str(d).encode()) % 4 == 2 for d, *_ in docs}
+    totals = {}
+    for d, text, lang in docs:
+        if lang is not None and not out[d]:
+            totals.setdefault(lang, Counter()).update(grams(text))
+    ranks = {lang: [number(g) for g, _ in sorted(c.items(), key=lambda x: (-x[1], number(x[0])))[:400]] for lang, c in totals.items()}
+    got = {r.doc_id: r for r in QUERIES["op5_language_id"](spark, small).collect()}
+    assert set(got) == set(out)
+    for d, text, _ in docs:
+        name, score = by_hand(text, ranks, 400)
+        assert (got[d].held_out, got[d].lang_pred) == (out[d], name) and abs(got[d].score - score) < 1e-12
+    tried = [(got[d].lang_pred, lang) for d, _, lang in docs if out[d]]
+    assert sum(a == b for a, b in tried) > 0.95 * len(tried)
+
+
+def test_sample_is_bounded_and_repeatable(spark, small):
+    docs = table(spark, small, "documents")
+    one, two = (language.learn(docs, sample=10) for _ in range(2))
+    assert one.names == two.names and (one.rank == two.rank).all() and one.names == ["de", "en", "es", "fr"]
+
+
+def test_edge_rows(spark):
+    rows = [(1, "the cat and the dog", "en"), (2, "der hund und die katze", "de"), (3, None, "en"), (4, "", "de"), (5, "12 34 !?", None),
+            (None, "und der hund", "de"), (1, "the cat and the dog", "en"), (6, "the dog " * 40_000, None), (7, "ĞÜ 東京 the and the", None), (8, "the", None)]
+    df = spark.createDataFrame([(*r, 0.5, "x") for r in rows], "doc_id long, text string, lang string, score double, lang_pred string")
+    found = language.identify(df, language.learn(df))
+    assert found.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+    got = {(r.doc_id, r.text): r for r in found.collect()}
+    assert found.count() == len(rows)
+    assert [got[k].lang_pred for k in ((3, None), (4, ""), (5, "12 34 !?"))] == ["und"] * 3
+    assert [r.lang_pred for k, r in got.items() if k[0] in (1, 6, 8)] == ["en"] * 3 and got[None, "und der hund"].lang_pred == "de"
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_empty_tables_and_no_labels(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string")
+    profiles = language.learn(empty)
+    assert language.identify(empty, profiles).count() == 0
+    plain = spark.createDataFrame([(1, "the cat", None)], "doc_id long, text string, lang string")
+    assert language.identify(plain, language.learn(plain)).first().lang_pred == "und"
+    assert language.learn(plain.withColumn("lang", F.lit("en")), F.lit(False)).names == []
+
+
+def test_words_do_not_run_into_each_other():
+    assert not any(re.search(r"\S \S", g) for g in grams("a b"))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, simhash, substrings, tiling
+from tidemark.llm import language, simhash, substrings, tiling, token_files
 from tidemark.llm.common import table
+from tidemark.llm.files import files_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,6 +48,33 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def token_places(docs: DataFrame) -> DataFrame:
+    """Write the token files of some documents and find every document in them."""
+    spark = docs.sparkSession
+    folder = files_folder(spark, "tokens")
+    files = token_files.write_token_files(docs, folder, tokenizer_file())
+    # One row a file: the ids of all files before it.
+    earlier = Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("name", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)).alias("before"))
+    found = token_files.read_token_files(spark, folder).select(
+        "name", F.col("id").alias("doc_id"), "first", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"))
+    return found.join(files, "name").select(
+        "doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
+
+
+@query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document, read back from the token files."""
+    return token_places(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the tiles that cover it."""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, simhash, substrings, tiling, token_files
-from tidemark.llm.common import table
+from tidemark.llm import language, mixing, simhash, substrings, tiling, token_files
+from tidemark.llm.common import stored, table
 from tidemark.llm.files import files_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,17 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("removed").cast("long").alias("n_intervals"))
 
 
+@query
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, and its source's size and target."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mixing.mix(docs, keep=stored)
+    rows = mixing.taken(docs, mixed).select(
+        "doc_id", mixing.n_words(F.col("text")).alias("size"), "times", F.to_json(F.array("source")).alias("pattern"))
+    return rows.join(F.broadcast(mixed.patterns.select("pattern", "source_size", "target")), "pattern").select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+
+
 @query
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""

@@ -14,7 +14,7 @@ from tidemark.llm.common import longs, texts
 from tidemark.llm.rolling import window_hashes
 
 #: Bytes of text in a block, and of the texts whose windows meet in one hash range.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 _U = np.uint64
 
 

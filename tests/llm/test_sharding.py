@@ -1,0 +1,82 @@
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import sharding
+from tidemark.llm.common import stored, table
+from tidemark.llm.queries import QUERIES
+
+
+def check(rows, shards, slack):
+    """Gapless slots and sizes near equal; returns the bytes of each shard."""
+    slots, sizes = defaultdict(list), [0] * shards
+    for r in rows:
+        slots[r.shard].append(r.slot)
+        sizes[r.shard] += r.size
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and set(slots) <= set(range(shards))
+    assert max(sizes) - sum(sizes) / shards <= slack and sum(sizes) / shards - min(sizes) <= slack, sizes
+    return sizes
+
+
+def test_query(spark, small):
+    docs = {r.doc_id: r.text for r in table(spark, small, "documents").select("doc_id", "text").collect()}
+    got = QUERIES["op3_shards"](spark, small)
+    assert got.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    assert dict(got.dtypes)["grown_shard"] == dict(got.dtypes)["shard"] == "int"
+    rows = got.collect()
+    assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == {
+        i: (len((t or "").encode()) + 16, zlib.crc32(t.encode())) for i, t in docs.items()}
+    assert {(r.law, r.grown_shard) for r in rows} == {("bytes", None)}
+    check(rows, 40, max(r.size for r in rows))
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, QUERIES["op3_shards"](spark, small).collect()))
+
+
+@pytest.mark.parametrize("copies", [0, 300, 3000])
+def test_many_rows_with_copies(spark, copies):
+    rng = random.Random(2)
+    rows = [(i, f"text {i} " + "x" * rng.randint(0, 400)) for i in range(9000)] + [(10_000 + i, "the same " * 40) for i in range(copies)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.shards_of(df, 8, ranges=64, keep=stored).collect()
+    sizes = check(got, 8, 0.03 * sum(len(t) + 16 for _, t in rows) / 8)
+    assert sum(sizes) == sum(len(t) + 16 for _, t in rows)
+    together = {r.shard for r in got if r.id >= 10_000}
+    assert len(together) <= (1 if copies < 3000 else 6)
+
+
+def test_bins_are_numbered_without_gaps(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "NUMBERED", 7)
+    df = spark.createDataFrame([(i, f"t{i % 50}") for i in range(2000)], "doc_id long, text string")
+    check(sharding.shards_of(df, 3).collect(), 3, 2000 * 20 / 3 / 10)
+
+
+def test_overfull_ranges_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SAMPLES", 1)  # a poor sample
+    rng = random.Random(4)
+    df = spark.createDataFrame([(i, f"{i}" + "x" * rng.randint(0, 3000)) for i in range(4000)], "doc_id long, text string")
+    check(sharding.shards_of(df, 4, ranges=32, keep=stored).collect(), 4, 4000 * 1520 / 4 * 0.06)
+
+
+def test_placing():
+    got = sharding.place([(i, 10) for i in range(8)], [(100, 60), (101, 30)], 3)
+    sizes = defaultdict(int)
+    for name, s in got.items():
+        sizes[s] += {100: 60, 101: 30}.get(name, 10)
+    assert sorted(sizes.values()) == [50, 60, 60] or max(sizes.values()) <= 60
+    assert sharding.place([], [], 4) == {}
+
+
+def test_edge_rows(spark):
+    rows = [(1, None), (2, ""), (None, "x"), (None, "x"), (3, "é" * 50_000), (4, "x"), (4, "x"), (4, None)]
+    df = spark.createDataFrame([(*r, 7, "k", 1) for r in rows], "doc_id long, text string, shard int, key string, size int")
+    got = sharding.shards_of(df, 4).collect()
+    assert len(got) == len(rows) and sorted(r.size for r in got) == [16, 16, 16, 17, 17, 17, 17, 100_016]
+    check(got, 4, 100_016)
+    assert sharding.shards_of(df.limit(0), 4).count() == 0
+    assert {r.shard for r in got if r.id == 3} != {r.shard for r in got if r.id == 4}
+
+
+def test_size_column(spark):
+    assert spark.range(1).select(sharding.text_bytes(F.lit("é"))).first()[0] == 18

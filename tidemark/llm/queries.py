@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, mixing, simhash, substrings, tiling, token_files
+from tidemark.llm import language, mixing, sharding, simhash, substrings, tiling, token_files
 from tidemark.llm.common import stored, table
 from tidemark.llm.files import files_folder
 
@@ -39,6 +39,14 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
+@query
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard of forty with near equal bytes."""
+    found = sharding.shards_of(table(spark, sf_dir, "documents"), 40, keep=stored)
+    return found.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""

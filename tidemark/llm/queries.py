@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, mixing, sharding, simhash, substrings, tiling, token_files
+from tidemark.llm import language, mixing, quality, sharding, simhash, substrings, tiling, token_files
 from tidemark.llm.common import stored, table
 from tidemark.llm.files import files_folder
 
@@ -67,6 +67,14 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and likelihood ratio of every document, and the verdict."""
+    found = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=stored)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "kept", "score")
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 

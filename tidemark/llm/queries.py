@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, mixing, quality, sharding, simhash, substrings, tiling, token_files
+from tidemark.llm import archives, language, mixing, quality, sharding, simhash, substrings, tiling, token_files
 from tidemark.llm.common import stored, table
 from tidemark.llm.files import files_folder
 
@@ -75,6 +75,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_failed", "kept", "score")
 
 
+@query
+def op7_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, read back from the WARC files that its ARC record was converted to."""
+    return archives.archived(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "date", "sound")
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 

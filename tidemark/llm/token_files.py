@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
-from tidemark.llm.files import files_folder, whole_files, written
+from tidemark.llm.files import whole_files, written
+from tidemark.llm.rolling import RollingHash
 
 LENGTH = 2048
 #: Sequences in a record batch; with it, sequence i stands in batch i // BATCH.
@@ -25,20 +26,25 @@ BATCH = 64
 FILE_TOKENS = 4 << 20
 #: Bytes of text that a task writes, on average.
 TASK_BYTES = 16 << 20
-#: Words a worker remembers the ids of; as many more from the time before.
-REMEMBERED = 400_000
+_PIECE_BYTES = 1 << 20
+#: Words whose ids a worker remembers; about 25 bytes each.
+REMEMBERED = 2_000_000
 
-_BLANKS = " \t\n\r\x0b\x0c"
-_CHUNK = re.compile(f"[{_BLANKS}]*[^{_BLANKS}]+|[{_BLANKS}]+")
 # Blanks outside ASCII, which the tokenizer's pre-tokenization counts as blanks as well.
 _WIDE = re.compile("[\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
+_KIND = np.zeros(256, np.uint8)  # of a byte: 1 blank, 2 letter, 3 mark
+_KIND[list(b" \t\n\r\x0b\x0c")] = 1
+_KIND[list(range(65, 91)) + list(range(97, 123))] = 2
+_KIND[list(b".,;:!?")] = 3
 
 
 class Encoder:
-    """Ids of whole texts. Ids of words are remembered, for the library's result does not reach over a blank.
+    """Ids of whole texts. Ids of words are remembered, for no token of the library reaches over their ends.
 
-    Byte-level pre-tokenization lets no token reach from a non-blank into a blank, so a text may be cut
-    before every run of ASCII blanks, unless a wide blank stands there; such a text is encoded in one go.
+    Byte-level pre-tokenization lets no token reach from a non-blank into a blank, nor from a letter into a
+    mark. So a text is cut before every run of ASCII blanks, and between an ASCII letter and a mark that ends
+    a word. A text with blanks outside ASCII, which may join such runs, is encoded in one go. Words are known
+    by a hash of 64 bits; two of the words a worker remembers share one with a probability below 2**-20.
     """
 
     def __init__(self, path: str, end: int):
@@ -48,66 +54,97 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         size = max(self.tokenizer.get_vocab_size(with_added_tokens=True), end + 1)
         self.type = np.dtype(np.uint16 if size <= 1 << 16 else np.uint32)
-        self.end = np.array([end], self.type).tobytes()
-        self.now: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
+        self.end = np.array([end], self.type)
+        line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_end = line_end[0] if len(line_end) == 1 else None
+        self.hash = RollingHash(1)
+        self._forget()
+
+    def _forget(self) -> None:
+        """``known`` hashes in order; the ids of the i-th stand in ``pool`` from ``first[i]``, ``size[i]`` of them."""
+        self.known, self.first, self.size = np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.uint32)
+        self.pool, self.used = np.empty(1 << 16, self.type), 0
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.type).tobytes() for x in found]
-
-    @staticmethod
-    def _keys(text: str) -> list[str] | None:
-        """The text cut before its blanks; a key without a leading blank stands for the word with one before it."""
-        if "\0" in text or not text.isascii() and _WIDE.search(text):
-            return None
-        if not ("\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text):
-            keys = text.replace("\n", " \n").split(" ")
-            if "\n" not in keys and "" not in keys:
-                keys[0] = "\0" + keys[0]  # no blank before it
-                return keys
-        keys = []
-        for chunk in _CHUNK.findall(text):
-            single = len(chunk) > 1 and chunk[0] in " \n" and chunk[1] not in _BLANKS  # one blank and a word
-            keys.append(chunk.removeprefix(" ") if single else "\0" + chunk)
-        return keys
-
-    @staticmethod
-    def _word(key: str) -> str:
-        return key[1:] if key[0] == "\0" else key if key[0] == "\n" else " " + key
-
-    def _remember(self, keys: list[str]) -> None:
-        now, before = self.now, self.before
-        missing = {k for k, known in zip(keys, map(now.get, keys)) if known is None}
-        new, stems = [], {}
-        for k in missing:
-            if (known := before.get(k)) is not None:
-                now[k] = known
-            elif len(k) > 2 and k[-1] in ".,;:!?" and k[-2].isalpha():  # a token ends between letters and marks
-                stems[k] = k[:-1]
-            else:
-                new.append(k)
-        for stem in {s for s in stems.values() if s not in now and s not in missing}:
-            if (known := before.get(stem)) is not None:
-                now[stem] = known
-            else:
-                new.append(stem)
-        marks = sorted({k[-1] for k in stems})
-        found = self._ids([*(self._word(k) for k in new), *marks])
-        now.update(zip(new, found))
-        mark = dict(zip(marks, found[len(new):]))
-        for k, stem in stems.items():
-            now[k] = now[stem] + mark[k[-1]]
+        return [np.array(x.ids, self.type) for x in found]
+
+    def _word_ids(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of words with what stands before them; plain ones are encoded in one text and cut at its line ends."""
+        out: list[np.ndarray | None] = [None] * len(words)
+        plain = [i for i, w in enumerate(words) if w.lstrip(" ").isalnum() or w[:1] == "\n" and w[1:].isalnum()]
+        if plain and self.line_end is not None:
+            ids = self._ids(["\n".join([words[i].removeprefix("\n") for i in plain])])[0]
+            line_end = ids.dtype.type(self.line_end)
+            ends = np.flatnonzero(ids == line_end)
+            for i, s, e in zip(plain, [0, *(ends + 1).tolist()], [*ends.tolist(), ids.size]):
+                out[i] = np.concatenate(([line_end], ids[s:e])) if words[i][0] == "\n" else ids[s:e]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, self._ids([words[i] for i in rest])):
+            out[i] = ids
+        return out
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        ids = self._word_ids(words)
+        size = np.array([x.size for x in ids], np.uint32)
+        total = int(size.sum())
+        while self.used + total > self.pool.size:
+            self.pool = np.concatenate((self.pool, np.empty_like(self.pool)))
+        self.pool[self.used:self.used + total] = np.concatenate(ids)
+        first = (self.used + np.cumsum(size) - size).astype(np.uint32)
+        self.used += total
+        at = np.searchsorted(self.known, hashes)
+        self.known, self.first, self.size = (np.insert(old, at, new) for old, new in (
+            (self.known, hashes), (self.first, first), (self.size, size)))
+
+    def _of_pieces(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of texts without zero bytes and wide blanks."""
+        raw = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
+        ends = np.cumsum([len(t) + 1 for t in texts]) - 1  # the zero byte after each text
+        kind = _KIND[raw]
+        before = np.concatenate((np.zeros(1, np.uint8), kind[:-1]))
+        after = np.concatenate((kind[1:], np.zeros(1, np.uint8)))
+        last = np.concatenate((raw[1:] == 0, np.ones(1, bool)))
+        new = (kind == 1) & (before != 1) | (kind == 3) & (before == 2) & ((after == 1) | last)
+        new[ends] = True
+        new[np.concatenate(([0], ends[:-1] + 1))] = True
+        starts = np.flatnonzero(new)
+        is_word = raw[starts] != 0
+        stops = np.concatenate((starts[1:], [raw.size]))[is_word]
+        starts = starts[is_word]
+        hashes, place, of = np.unique(self.hash.ranges(self.hash.letters[raw], starts, stops), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known, hashes)
+        at[at == self.known.size] = 0
+        fresh = self.known[at] != hashes if self.known.size else np.ones(hashes.size, bool)
+        if fresh.any():
+            data = raw.tobytes()
+            self._learn(hashes[fresh], [data[s:e].decode() for s, e in zip(starts[place[fresh]].tolist(), stops[place[fresh]].tolist())])
+            at = np.searchsorted(self.known, hashes)
+        first, size = self.first[at][of].astype(np.int64), self.size[at][of].astype(np.int64)
+        done = np.cumsum(size)
+        ids = self.pool[np.repeat(first - done + size, size) + np.arange(done[-1] if done.size else 0)]
+        # Words before the end of each text, and the ids up to there.
+        cuts = np.concatenate(([0], done))[np.searchsorted(starts, ends)]
+        return np.split(ids, cuts[:-1])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text and the end id, as bytes; null counts as empty."""
-        cut = [self._keys(t) if t else [] for t in texts]
-        self._remember([k for keys in cut for k in keys or ()])
-        of = self.now.__getitem__
-        out = [(self._ids([t])[0] if keys is None else b"".join(map(of, keys))) + self.end for t, keys in zip(texts, cut)]
-        if len(self.now) > REMEMBERED:
-            self.now, self.before = {}, self.now
-        return out
+        out: list[np.ndarray | None] = [None] * len(texts)
+        waiting, size = [], 0
+        for i, text in enumerate(texts):
+            text = text or ""
+            if "\0" in text or not text.isascii() and _WIDE.search(text):
+                out[i] = self._ids([text])[0]
+            else:
+                waiting.append((i, text.encode()))
+                size += len(waiting[-1][1])
+            if waiting and (size > _PIECE_BYTES or i + 1 == len(texts)):
+                for (k, _), ids in zip(waiting, self._of_pieces([t for _, t in waiting])):
+                    out[k] = ids
+                waiting, size = [], 0
+                if self.known.size > REMEMBERED:
+                    self._forget()
+        return [np.concatenate((ids, self.end)).tobytes() for ids in out]
 
 
 @cache

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import archives, language, mixing, quality, sharding, simhash, substrings, tiling, token_files
+from tidemark.llm import archives, language, mixing, quality, quotes, sharding, simhash, substrings, tiling, token_files
 from tidemark.llm.common import stored, table
 from tidemark.llm.files import files_folder
 
@@ -109,6 +109,15 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_places(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as mails that quote each other (the table itself has no quotes), linked and unquoted again."""
+    mails = quotes.as_mails(table(spark, sf_dir, "conversations"))
+    found = quotes.conversations(mails)
+    return found.select(F.col("conv").alias("conv_id"), "turn", "role", "text", "reply_to", "thread", "depth", "position",
+                        F.coalesce(F.size("quoted"), F.lit(0)).cast("long").alias("n_quoted"))
+
+
 @query
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the tiles that cover it."""

@@ -1,0 +1,98 @@
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from tidemark.llm import language, mixing, simhash
+from tidemark.llm.common import table
+from tidemark.llm.queries import tokenizer_file
+
+from .test_simhash import expected as components
+from .test_tiling import by_hand as leaks
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    """Rows after each stage."""
+    sf_dir = "/root/testdata/sf0.001"
+    docs, out = table(spark, sf_dir, "documents"), []
+    out.append([tuple(r) for r in docs.collect()])
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+        out.append([tuple(r) for r in docs.collect()])
+    return out
+
+
+def test_stages_keep_columns(spark, small):
+    docs = table(spark, small, "documents")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "decontamination", "mix", "tokens"]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, small).dtypes == docs.dtypes
+
+
+def test_languages(spark, small, steps):
+    profiles = language.learn(table(spark, small, "documents"))
+    found = {r: profiles.predict(r[1]) for r in steps[0]}
+    assert Counter(steps[1]) == Counter(r for r, (name, score) in found.items() if name != "und" and score >= corpus_pipeline.LEAST_SCORE)
+
+
+def test_near_duplicates(steps):
+    groups = components([r[:2] for r in steps[1]])
+    assert sorted(steps[2]) == sorted(r for r in steps[1] if groups[r[0]][1] == r[0])
+    assert len(steps[2]) < len(steps[1])
+
+
+def test_decontamination(spark, small, steps):
+    items = [tuple(r) for r in table(spark, small, "benchmark").select("item_id", "text").collect()]
+    held = {r[0] for r in leaks([r[:2] for r in steps[2]], items)}
+    assert sorted(steps[3]) == sorted(r for r in steps[2] if r[0] not in held) and held
+
+
+def test_mix(steps):
+    times, size = Counter(steps[4]), {r: len((r[1] or "").encode().split()) for r in steps[3]}
+    assert set(times) <= set(steps[3]) and max(times.values()) == 2 and len(times) < len(steps[3])
+    sizes, took, most = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in steps[3]:
+        sizes[r[3]] += size[r]
+        took[r[3]] += size[r] * times[r]
+        most[r[3]] = max(most[r[3]], size[r])
+    wanted = mixing.targets(sizes)
+    assert all(abs(took[s] - wanted[s]) <= most[s] / 2 + 1 for s in sizes)
+
+
+def test_tokens(steps):
+    tokenizer, want, at = Tokenizer.from_file(tokenizer_file()), [], 0
+    for r in sorted(steps[4]):
+        ids = [*tokenizer.encode(r[1], add_special_tokens=False).ids, 2]
+        want.append((r[0], at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert sorted(steps[5]) == want
+
+
+def test_run_is_the_registered_query(spark, small, steps):
+    got = contract.queries()["pipeline"](spark, small)
+    assert sorted(map(tuple, got.collect())) == sorted(steps[5])
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert [n for n in contract.queries() if n.startswith("op")] and len([n for n in contract.queries() if n.startswith("op")]) == 10
+
+
+def test_edge_rows(spark, small):
+    long = " ".join(f"the word {i} and" for i in range(20_000))
+    rows = [(1, None, "en", "a"), (2, "", None, None), (3, "the cat and the dog are here", "en", "a"), (3, "the cat and the dog are here", "en", "a"),
+            (4, "the cat and the dog are here", None, "b"), (None, "the other cat and the dog", "en", None), (5, "12 | 34", "en", "a"), (6, long, "en", None)]
+    docs = spark.createDataFrame([(*r, 7, "x", "y") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, fp string, times string")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, small)
+        assert out.dtypes == docs.dtypes
+        assert stage(spark, docs.limit(0), small).count() == 0
+        out.collect()
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, small).count() == len(rows)
+    known = corpus_pipeline.known_languages(spark, docs, small)
+    assert sorted(r.doc_id or 0 for r in known.collect()) == [0, 3, 3, 4, 6]
+    assert sorted(r.doc_id or 0 for r in simhash.without_near_duplicates(known).collect()) == [0, 3, 6]
+    assert known.where(F.col("text").isNull()).count() == 0

@@ -140,3 +140,17 @@ def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text", lang_c
                 [*columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 names=[*kept, lang_col, score_col])
     return docs.mapInArrow(run, schema)
+
+
+def only_known(docs: DataFrame, profiles: Profiles, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all their columns unchanged, whose text is in one of the languages.
+
+    Texts that are ``und`` or further than ``1 - least_score`` from every profile are rejected.
+    """
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = (profiles.predict(t) for t in batch.column(at).to_pylist())
+            yield batch.filter(pa.array([name != UNKNOWN and score >= least_score for name, score in found], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)

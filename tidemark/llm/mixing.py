@@ -201,3 +201,10 @@ def taken(docs: DataFrame, mixed: Mix, times_col: str = "times") -> DataFrame:
     turn = F.when(_draw(docs[mixed.id_col], docs[mixed.text_col], mixed.seed) < F.col(below), 1).otherwise(0)
     joined = rows.join(F.broadcast(plan), F.col(own) == F.col(name))
     return joined.select(*(docs[c] for c in kept), (F.col(times) + turn).cast("long").alias(times_col))
+
+
+def mixed_rows(docs: DataFrame, mixed: Mix) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, all their columns unchanged."""
+    times = "_" * max(map(len, docs.columns)) + "times"
+    rows = taken(docs, mixed, times)
+    return rows.withColumn(times, F.explode(F.array_repeat(F.lit(True), F.col(times).cast("int")))).select(docs.columns)

@@ -145,3 +145,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = named.join(least, "root").select(F.col("fp").alias("node"), "component")
     return prints.join(classes, (prints.fp == classes.node) & prints.id.isNotNull(), "left").select(
         "id", "fp", "component")
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+    """The rows of ``docs``, all their columns unchanged, that have the least id of their component.
+
+    One row stays where rows repeat an id. Rows without id all stay: nothing names the one to keep.
+    """
+    found = near_duplicates(docs, id_col, text_col, words).where("id is not null")
+    judged = stored(found.groupBy("id").agg(F.min("component").alias("component"), F.count("*").alias("n")), "judged")
+    gone = judged.where("component <> id").select(F.col("id").alias(id_col))
+    repeated = judged.where("component = id and n > 1").select(F.col("id").alias(id_col))
+    kept = docs.join(gone, id_col, "left_anti").select(docs.columns)
+    if repeated.isEmpty():
+        return kept
+    one_each = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
+    return kept.join(repeated, id_col, "left_anti").select(docs.columns).unionByName(one_each.select(docs.columns))

@@ -20,6 +20,7 @@ from tidemark.llm.files import files_folder, whole_files, written
 
 #: Bytes of blocks after which an archive ends, at the end of a record.
 ARCHIVE_BYTES = 16 << 20
+_STEP = 1 << 13
 # Fixed values of the formats.
 ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -48,10 +49,12 @@ def members(content: bytes) -> Iterator[tuple[int, bytes]]:
         return
     at, view = 0, memoryview(content)
     while at < len(content):
-        unpacker = zlib.decompressobj(31)
-        data = unpacker.decompress(view[at:])
-        yield at, data
-        at = len(content) - len(unpacker.unused_data)
+        unpacker, start, parts = zlib.decompressobj(31), at, []
+        while not unpacker.eof and at < len(content):  # what a member leaves over is copied: offer little at once
+            parts.append(unpacker.decompress(view[at:at + _STEP]))
+            at = min(at + _STEP, len(content))
+        at -= len(unpacker.unused_data)
+        yield start, b"".join(parts)
 
 
 def http_parts(block: bytes) -> tuple[bytes, bytes]:

@@ -87,3 +87,21 @@ def test_rebuilt_window(spark, old, new, cutoff):
     fresh = [m for m in new if m >= cutoff]
     got = rebuild_window(frame(old, "old"), frame(fresh, "new"), "hour_ts", cutoff).collect()
     assert sorted(map(tuple, got)) == sorted([(m, "old") for m in old if m < cutoff] + [(m, "new") for m in fresh])
+
+
+@FEW
+@given(st.lists(st.tuples(st.integers(1, 2000), st.integers(0, 10 ** 7)), min_size=1, max_size=12), st.randoms())
+def test_collapsed_averages_are_exact_however_rows_are_split(spark, rows, rng):
+    table = WAREHOUSE["agg_daily_revenue"]
+
+    def cents(total, n):
+        return (Decimal(total) / 100 / n).quantize(Decimal("0.01"), ROUND_HALF_UP)
+
+    data = [(20240105, DAY.date(), "N", "B", n, Decimal(total) / 100, cents(total, n), DAY) for n, total in rows]
+    cut = rng.randint(0, len(data))
+    whole = spark.createDataFrame(data, table.schema)
+    parts = [compacted(spark.createDataFrame(part, table.schema), table) for part in (data[:cut], data[cut:])]
+    n, total = sum(r[0] for r in rows), sum(r[1] for r in rows)
+    for result in (compacted(whole, table), compacted(parts[0].unionByName(parts[1]), table)):
+        row = result.first()
+        assert (row.total_orders, row.total_revenue, row.avg_order_value) == (n, Decimal(total) / 100, cents(total, n))

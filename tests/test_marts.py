@@ -7,7 +7,7 @@ import pytest
 
 from tidemark.operators.joins import star_inner, star_left, with_day_stats
 from tidemark.plans import marts, refresh, staging
-from tidemark.plans.gold import build_fact_sales
+from tidemark.plans.gold import build_fact
 
 DAY = datetime(2024, 1, 5)
 
@@ -130,6 +130,35 @@ def test_readings_are_scanned_and_shuffled_once(spark, plan, small):
     assert "Join" not in text
 
 
+def test_unusual_hours_need_one_scan_and_no_join(spark, plan, small):
+    from tidemark.catalogue.queries import QUERIES
+    text = plan(QUERIES["report_unusual_locations"](spark, small))
+    assert text.count("FileScan parquet") == 1 and "Join" not in text
+
+
+def test_stored_dimensions_are_broadcast_without_a_shuffle(spark, plan, folder):
+    sales = spark.createDataFrame([("c1", "p1", 1)], "customer_id string, product_id string, n int")
+    stored = []
+    for key, value in (("product_id", "category"), ("customer_id", "region")):
+        spark.createDataFrame([("x", "y")], f"{key} string, {value} string").write.parquet(f"{folder}/{key}")
+        stored.append(spark.read.parquet(f"{folder}/{key}"))
+    for join in (star_left, star_inner):
+        text = plan(join(sales, *stored))
+        assert text.count("BroadcastExchange") == 2 and text.count(" Exchange") == 0 and "REBALANCE" not in text
+
+
+def test_rows_of_two_batches_become_one_fact_row(spark):
+    rows = spark.createDataFrame(
+        [("t1", "BTC", "buy", 1.0, Decimal("1"), Decimal("1"), DAY, "financial_2024-01-05"),
+         ("t1", "BTC", "sell", 1.0, Decimal("1"), Decimal("1"), DAY, "financial_2024-01-06"),
+         ("t1", "BTC", "hold", 1.0, Decimal("1"), Decimal("1"), DAY - timedelta(hours=1), "financial_2024-01-07"),
+         ("t1", "BTC", "buy", 1.0, Decimal("1"), Decimal("1"), DAY + timedelta(days=1), "financial_2024-01-07")],
+        "trade_id string, asset string, side string, quantity float, price decimal(18,8), total_value decimal(18,4), "
+        "event_ts timestamp, _batch_id string")
+    got = sorted((r.date_key, r.side) for r in build_fact("fact_trades", rows).collect())
+    assert got == [(20240104, "hold"), (20240105, "sell"), (20240106, "buy")]
+
+
 def test_hourly_refresh_rebuilds_its_first_hour_whole(spark):
     as_of = datetime(2024, 1, 5, 12, 30)
     rows = [("1", "L", 5.0, 1000.0, 50.0, datetime(2024, 1, 5, 9, 59)), ("2", "L", 40.0, 1000.0, 50.0, datetime(2024, 1, 5, 10, 5)),
@@ -157,9 +186,9 @@ def test_sale_keys_repeat_from_run_to_run(spark):
         [("o1", "c1", "p1", 1, Decimal("1.00"), Decimal("1.00"), "x", DAY, "b")],
         "order_id string, customer_id string, product_id string, quantity int, unit_price decimal(10,2), "
         "total_amount decimal(12,2), status string, event_ts timestamp, _batch_id string")
-    first, again = build_fact_sales(rows).first(), build_fact_sales(rows, "2024-01-05").first()
+    first, again = build_fact("fact_sales", rows).first(), build_fact("fact_sales", rows, "2024-01-05").first()
     assert first.sale_id == again.sale_id
-    assert build_fact_sales(rows, "2024-01-06").isEmpty()
+    assert build_fact("fact_sales", rows, "2024-01-06").isEmpty()
 
 
 def test_a_hot_customer_is_split_over_several_tasks(spark, plan):

@@ -150,11 +150,18 @@ stg_social as (
     likes + shares * 3 + comments * 2 as weighted_engagement
   from fact_social where platform is not null)"""
 
-FACT_SALES = """
-fact_sales as (
+_FACT_SALES = """
+{name} as (
   select md5(concat_ws('-', order_id, product_id, strftime(event_ts, '%Y%m%d'))) as sale_id, order_id, customer_id,
     product_id, cast(strftime(event_ts, '%Y%m%d') as int) as date_key, quantity, unit_price, total_amount, status,
-    event_ts from orders_ev),
+    event_ts from {rows})"""
+# Sales as the events bring them, repeats included.
+REPEATED_SALES = _FACT_SALES.format(name="sales_rows", rows="orders_ev")
+FACT_SALES = """
+latest_orders as (select * exclude (rn) from (
+  select *, row_number() over (partition by order_id, cast(event_ts as date) order by event_ts desc, customer_id desc,
+    product_id desc, quantity desc, unit_price desc, total_amount desc, status desc) as rn from orders_ev) where rn = 1),
+""" + _FACT_SALES.format(name="fact_sales", rows="latest_orders") + """,
 stg_sales as (
   select * replace (lower(trim(status)) as status) from fact_sales
   where customer_id is not null and product_id is not null and total_amount > 0)"""

@@ -62,6 +62,28 @@ def since_day(column: str | Column, as_of: datetime, days: int) -> Column:
     return column >= literal(as_instant(as_of).date() - timedelta(days=days))
 
 
+def newer(df: DataFrame, time_column: str, moment: datetime | date) -> DataFrame:
+    """Rows not older than ``moment``; a stored day key prunes the older partitions.
+
+    ``date_key`` always is the calendar day of the row's own time, so its bound drops no row.
+    """
+    kept = df.filter(F.col(time_column) >= literal(moment))
+    if "date_key" in df.columns:
+        day = as_instant(moment).date() if isinstance(moment, datetime) else moment
+        kept = kept.filter(F.col("date_key") >= int(day.strftime("%Y%m%d")))
+    return kept
+
+
+def recent(df: DataFrame, time_column: str, as_of: datetime, **interval: float) -> DataFrame:
+    """``since`` on a frame that may be stored by day."""
+    return newer(df, time_column, as_of - timedelta(**interval))
+
+
+def recent_days(df: DataFrame, time_column: str, as_of: datetime, days: int) -> DataFrame:
+    """``since_day`` on a frame that may be stored by day."""
+    return newer(df, time_column, as_instant(as_of).date() - timedelta(days=days))
+
+
 def floor_hour(moment: datetime) -> datetime:
     return as_instant(moment).replace(minute=0, second=0, microsecond=0)
 

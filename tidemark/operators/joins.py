@@ -5,7 +5,7 @@ broadcasts a side whose size, estimated or measured at run time, is below
 ``spark.sql.autoBroadcastJoinThreshold``; above it the join shuffles, and a hot key
 (say, one guest account with a third of the sales) is split by the skew join of
 adaptive execution. That split needs a shuffle of its own right below both sides of
-the join, see ``_lookup``.
+the join, see ``unpartitioned``.
 """
 
 from __future__ import annotations
@@ -16,22 +16,21 @@ from pyspark.sql import functions as F
 UNKNOWN = "unknown"  # fixed value: name of a missing region or category
 
 
-def _lookup(dimension: DataFrame, key: str, value: str) -> DataFrame:
-    """Key and value of a dimension, free of the partitioning that made it.
+def unpartitioned(dimension: DataFrame) -> DataFrame:
+    """A dimension that is free of the partitioning that made it.
 
     A dimension fresh from its latest-per-key window is already partitioned by the
     join key. Spark would join on that partitioning, and a hot fact key could not be
-    split. REBALANCE moves the two columns of the dimension once; the facts are
-    shuffled as before.
+    split. REBALANCE moves the dimension once. A stored dimension does not need it.
     """
-    return dimension.select(key, value).hint("rebalance")
+    return dimension.hint("rebalance")
 
 
 def star_left(sales: DataFrame, dim_product: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Every sale with its category and region; what a dimension lacks is ``unknown``."""
     joined = (sales
-              .join(_lookup(dim_product, "product_id", "category"), "product_id", "left")
-              .join(_lookup(dim_customer, "customer_id", "region"), "customer_id", "left"))
+              .join(dim_product.select("product_id", "category"), "product_id", "left")
+              .join(dim_customer.select("customer_id", "region"), "customer_id", "left"))
     return joined.withColumns({
         "region": F.coalesce("region", F.lit(UNKNOWN)),
         "category": F.coalesce("category", F.lit(UNKNOWN)),
@@ -41,8 +40,8 @@ def star_left(sales: DataFrame, dim_product: DataFrame, dim_customer: DataFrame)
 def star_inner(sales: DataFrame, dim_product: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Only sales whose customer and product are known."""
     return (sales
-            .join(_lookup(dim_customer, "customer_id", "region"), "customer_id", "inner")
-            .join(_lookup(dim_product, "product_id", "category"), "product_id", "inner"))
+            .join(dim_customer.select("customer_id", "region"), "customer_id", "inner")
+            .join(dim_product.select("product_id", "category"), "product_id", "inner"))
 
 
 def with_day_stats(hourly: DataFrame, stats: DataFrame) -> DataFrame:

@@ -15,17 +15,24 @@ from tidemark.schemas import BRONZE_KEEP_DAYS, Table
 
 
 def summing_compaction(df: DataFrame, keys: Sequence[str], additive: Sequence[str],
-                       weighted: Mapping[str, str], flags: Sequence[str] = ()) -> DataFrame:
+                       weighted: Mapping[str, str], flags: Sequence[str] = (),
+                       ratios: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
     """Collapse rows with an equal sort key.
 
-    Additive measures are summed, averages are re-derived from their weights, flags
-    keep a raised value and every other column its largest one. Column order and
-    types stay as they were.
+    Additive measures are summed. An average whose sum is stored is their quotient
+    again (``ratios``: sum and count), so collapsing in any number of steps gives the
+    same value; other averages are re-derived from their weights. Flags keep a raised
+    value and every other column its largest one. Column order and types stay as they were.
     """
+    ratios = ratios or {}
+
     def merged(field: T.StructField) -> Column:
         name, value = field.name, F.col(field.name)
         if name in additive:
             result = F.sum(value)
+        elif name in ratios:
+            total, count = (F.sum(c) for c in ratios[name])
+            result = F.try_divide(total, count)
         elif name in weighted:
             # A count has 19 digits at most; a wider type would cost places of the average.
             weight = F.col(weighted[name]).cast("decimal(19,0)")
@@ -43,7 +50,8 @@ def summing_compaction(df: DataFrame, keys: Sequence[str], additive: Sequence[st
 
 def compacted(df: DataFrame, table: Table) -> DataFrame:
     """``summing_compaction`` with the roles the table declares."""
-    return summing_compaction(df, table.order_by, table.additive, table.weighted, table.flags)
+    return summing_compaction(df, table.order_by, table.additive, table.weighted, table.flags,
+                              table.ratios)
 
 
 def apply_retention(df: DataFrame, time_col: str, interval: Mapping[str, int], as_of: datetime) -> DataFrame:

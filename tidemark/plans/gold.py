@@ -12,6 +12,7 @@ from tidemark.functions.dates import date_key, literal, on_day
 from tidemark.functions.keys import surrogate_key
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.sinks import load_dim, load_fact, write_gold_dim, write_gold_fact
+from tidemark.schemas import ENTITIES, WAREHOUSE
 from tidemark.sources.layers import read_gold_partition, read_silver
 
 Day = str | Date | None
@@ -22,38 +23,37 @@ def _stamp(as_of: datetime | None) -> Column:
     return moment.alias("_loaded_at")
 
 
-def _of_day(silver: DataFrame, date: Day) -> DataFrame:
-    days = silver if date is None else on_day(silver, date)
-    return days.withColumn("date_key", date_key(F.col("event_ts")))
-
-
-def build_fact_sales(silver: DataFrame, date: Day = None, as_of: datetime | None = None) -> DataFrame:
-    return _of_day(silver, date).select(
-        surrogate_key("order_id", "product_id", "date_key").alias("sale_id"),
-        "order_id", "customer_id", "product_id", "date_key", "quantity", "unit_price",
-        "total_amount", "status", "event_ts", "_batch_id", _stamp(as_of),
-    )
-
+# Which events feed a fact.
+FACTS = {
+    "fact_sales": "transactions",
+    "fact_sensor_readings": "sensors",
+    "fact_trades": "financial",
+    "fact_social_engagement": "social",
+}
 
-def build_fact_sensors(silver: DataFrame, date: Day = None, as_of: datetime | None = None) -> DataFrame:
-    return _of_day(silver, date).select(
-        "reading_id", "location_id", "date_key", "temperature", "pressure", "humidity",
-        "lat", "lon", "event_ts", _stamp(as_of),
-    )
 
+def project_fact(name: str, silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """The columns that the registry declares for a fact, one row for each silver row."""
+    made = {
+        "date_key": date_key(F.col("event_ts")).alias("date_key"),
+        "sale_id": surrogate_key("order_id", "product_id", "date_key").alias("sale_id"),
+        "_loaded_at": _stamp(as_of),
+    }
+    columns = WAREHOUSE[name].schema.names
+    return silver.withColumn("date_key", made.pop("date_key")).select([made.get(c, F.col(c)) for c in columns])
 
-def build_fact_trades(silver: DataFrame, date: Day = None, as_of: datetime | None = None) -> DataFrame:
-    return _of_day(silver, date).select(
-        "trade_id", "asset", "side", "quantity", "price", "total_value", "date_key",
-        "event_ts", _stamp(as_of),
-    )
 
+def build_fact(name: str, silver: DataFrame, date: Day = None, as_of: datetime | None = None) -> DataFrame:
+    """A fact of one event day, or of every day: the newest row of each key and day.
 
-def build_fact_social(silver: DataFrame, date: Day = None, as_of: datetime | None = None) -> DataFrame:
-    return _of_day(silver, date).select(
-        "post_id", "user_id", "platform", "content_type", "likes", "shares", "comments",
-        "date_key", "event_ts", _stamp(as_of),
-    )
+    De-duplication in silver ends at the batch; a message delivered on two raw days, or by a batch and a
+    stream, is in silver twice. Of rows with one event time the one of the last batch by name stays.
+    """
+    key = ENTITIES[FACTS[name]].key
+    rows = silver if date is None else on_day(silver, date)
+    rows = rows.withColumn("date_key", date_key(F.col("event_ts")))
+    carried = [c for c in WAREHOUSE[name].schema.names if c in silver.columns and c not in (key, "event_ts", "_batch_id")]
+    return project_fact(name, latest_per_key(rows, [key, "date_key"], "event_ts", ["_batch_id", *carried]), as_of)
 
 
 def build_dim_customer(silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
@@ -68,13 +68,7 @@ def build_dim_product(silver: DataFrame, as_of: datetime | None = None) -> DataF
         "product_id", *columns, F.col("event_ts").alias("created_at"), _stamp(as_of))
 
 
-# gold fact → (silver table, builder)
-FACTS = {
-    "fact_sales": ("transactions", build_fact_sales),
-    "fact_sensor_readings": ("sensors", build_fact_sensors),
-    "fact_trades": ("financial", build_fact_trades),
-    "fact_social_engagement": ("social", build_fact_social),
-}
+# gold dimension → (silver table, builder)
 DIMENSIONS = {
     "dim_customer": ("customers", build_dim_customer),
     "dim_product": ("products", build_dim_product),
@@ -84,9 +78,9 @@ DIMENSIONS = {
 def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, date: Day) -> list[str]:
     """All facts of one event day (or of every day) and all dimensions."""
     written = [
-        write_gold_fact(build(read_silver(spark, silver_root, source), date), gold_root, name,
+        write_gold_fact(build_fact(name, read_silver(spark, silver_root, source, date), date), gold_root, name,
                         many_days=date is None)
-        for name, (source, build) in FACTS.items()
+        for name, source in FACTS.items()
     ]
     return written + [
         write_gold_dim(build(read_silver(spark, silver_root, source)), gold_root, name)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.casting import project_to
-from tidemark.functions.dates import as_instant, floor_hour, literal, since_day
+from tidemark.functions.dates import as_instant, floor_hour, newer
 from tidemark.operators.joins import star_inner
 from tidemark.operators.sinks import write_window
 from tidemark.plans.marts import computed_at
@@ -35,7 +35,7 @@ def hour_cutoff(as_of: datetime) -> datetime:
 
 def refresh_daily_revenue(fact_sales: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
                           as_of: datetime) -> DataFrame:
-    recent = fact_sales.filter(since_day("event_ts", as_of, DAYS_BACK))
+    recent = newer(fact_sales, "event_ts", day_cutoff(as_of))
     daily = (star_inner(recent, dim_product, dim_customer)
              .groupBy("date_key", F.to_date("event_ts").alias("full_date"), "region", "category")
              .agg(F.count(F.lit(1)).alias("total_orders"),
@@ -46,7 +46,7 @@ def refresh_daily_revenue(fact_sales: DataFrame, dim_customer: DataFrame, dim_pr
 
 
 def refresh_hourly_sensor(fact: DataFrame, as_of: datetime) -> DataFrame:
-    recent = fact.filter(F.col("event_ts") >= literal(hour_cutoff(as_of)))
+    recent = newer(fact, "event_ts", hour_cutoff(as_of))
     mean = F.avg("temperature")
     hourly = (recent.groupBy(F.date_trunc("hour", "event_ts").alias("hour_ts"), "location_id")
               .agg(mean.alias("avg_temp"),
@@ -59,7 +59,7 @@ def refresh_hourly_sensor(fact: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def refresh_trading_volume(fact: DataFrame, as_of: datetime) -> DataFrame:
-    recent = fact.filter(since_day("event_ts", as_of, DAYS_BACK))
+    recent = newer(fact, "event_ts", day_cutoff(as_of))
     daily = (recent.groupBy("date_key", F.to_date("event_ts").alias("full_date"), "asset")
              .agg(F.sum("quantity").alias("total_volume"),
                   F.count(F.lit(1)).alias("trade_count"),

@@ -12,13 +12,12 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import since, since_day
-from tidemark.operators.joins import with_day_stats
-from tidemark.plans.marts import day_stats, hourly_moments, outside, plausible
+from tidemark.functions.dates import recent, recent_days, since
+from tidemark.plans.marts import int_sensor_anomalies, outside
 
 
 def revenue_by_day(fact_sales: DataFrame, as_of: datetime, days: int = 30) -> DataFrame:
-    return (fact_sales.filter(since("event_ts", as_of, days=days))
+    return (recent(fact_sales, "event_ts", as_of, days=days)
             .groupBy(F.to_date("event_ts").alias("date"))
             .agg(F.sum("total_amount").alias("revenue")).orderBy("date"))
 
@@ -37,7 +36,7 @@ def latest_anomalies(agg_hourly_sensor: DataFrame, as_of: datetime | None = None
 
 def trading_volume(agg_trading_volume: DataFrame, as_of: datetime, days: int = 7) -> DataFrame:
     """The price is the plain mean of the daily means."""
-    return (agg_trading_volume.filter(since_day("full_date", as_of, days)).groupBy("asset")
+    return (recent_days(agg_trading_volume, "full_date", as_of, days).groupBy("asset")
             .agg(F.sum("total_volume").alias("volume"), F.avg("avg_price").alias("avg_price"))
             .orderBy(F.desc("volume"), "asset"))
 
@@ -49,13 +48,13 @@ def platform_engagement(fact_social: DataFrame, as_of: datetime | None = None) -
 
 
 def sensor_overview(fact_sensors: DataFrame, as_of: datetime, hours: int = 1) -> DataFrame:
-    return (fact_sensors.filter(since("event_ts", as_of, hours=hours)).groupBy("location_id")
+    return (recent(fact_sensors, "event_ts", as_of, hours=hours).groupBy("location_id")
             .agg(F.avg("temperature").alias("avg_temp"), F.avg("humidity").alias("avg_humidity"),
                  F.count(F.lit(1)).alias("readings")))
 
 
 def revenue_by_region(agg_daily_revenue: DataFrame, as_of: datetime, days: int = 7, limit: int = 50) -> DataFrame:
-    return (agg_daily_revenue.filter(since_day("full_date", as_of, days)).groupBy("region")
+    return (recent_days(agg_daily_revenue, "full_date", as_of, days).groupBy("region")
             .agg(F.sum("total_revenue").alias("total_revenue"))
             .orderBy(F.desc("total_revenue"), "region").limit(limit))
 
@@ -85,7 +84,7 @@ def temperature_series(agg_hourly_sensor: DataFrame, as_of: datetime, hours: int
 
 
 def top_assets(agg_trading_volume: DataFrame, as_of: datetime, days: int = 7, limit: int = 10) -> DataFrame:
-    return (agg_trading_volume.filter(since_day("full_date", as_of, days)).groupBy("asset")
+    return (recent_days(agg_trading_volume, "full_date", as_of, days).groupBy("asset")
             .agg(F.sum("total_volume").alias("volume"))
             .orderBy(F.desc("volume"), "asset").limit(limit))
 
@@ -136,19 +135,16 @@ def engagement_growth(stg_social: DataFrame, as_of: datetime | None = None) -> D
 def unusual_locations(stg_sensors: DataFrame, as_of: datetime, hours: int = 6) -> DataFrame:
     """Hours of the last ``hours`` whose temperature or pressure is outside 3σ of the day.
 
-    Day statistics need whole days, so the readings are cut at the start of the first day.
+    Day statistics need whole days, so the readings are cut at the start of the first day. Hours and their
+    day come out of one scan.
     """
-    first_day = as_of - timedelta(hours=hours)
-    whole_days = plausible(stg_sensors.filter(since_day("event_ts", first_day, 0)))
-    recent = hourly_moments(whole_days).filter(since("hour_ts", as_of, hours=hours)).select(
-        "location_id", "hour_ts", "reading_count",
-        (F.col("sum_temperature") / F.col("reading_count")).alias("avg_temp"),
-        (F.col("sum_pressure") / F.col("reading_count")).alias("avg_pressure"))
-    flagged = with_day_stats(recent, day_stats(whole_days)).withColumns({
-        "temp_anomaly": outside("avg_temp", "avg_temp_day", "std_temp_day"),
-        "pressure_anomaly": outside("avg_pressure", "avg_pressure_day", "std_pressure_day"),
-    })
-    return flagged.filter("temp_anomaly or pressure_anomaly").orderBy("location_id", "hour_ts")
+    whole_days = recent_days(stg_sensors, "event_ts", as_of - timedelta(hours=hours), 0)
+    annotated = int_sensor_anomalies(whole_days).filter(since("hour_ts", as_of, hours=hours))
+    flagged = annotated.withColumn("pressure_anomaly", outside("avg_pressure", "avg_pressure_day", "std_pressure_day"))
+    return flagged.filter("temp_anomaly or pressure_anomaly").select(
+        "location_id", "hour_ts", "reading_count", "avg_temp", "avg_pressure", F.date_trunc("day", "hour_ts").alias("day_ts"),
+        "avg_temp_day", "std_temp_day", "avg_pressure_day", "std_pressure_day", "temp_anomaly", "pressure_anomaly",
+    ).orderBy("location_id", "hour_ts")
 
 
 def status_breakdown(fact_sales: DataFrame, as_of: datetime | None = None) -> DataFrame:

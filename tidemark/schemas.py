@@ -121,6 +121,7 @@ class Table:
     version_column: str | None = None
     additive: tuple[str, ...] = ()
     weighted: dict[str, str] = field(default_factory=dict)
+    ratios: dict[str, tuple[str, str]] = field(default_factory=dict)
     flags: tuple[str, ...] = ()
 
     @property
@@ -185,7 +186,7 @@ WAREHOUSE: dict[str, Table] = {
             "agg_daily_revenue", order_by=("full_date", "region", "category"),
             time_column="full_date", partition_format="yyyyMM",
             additive=("total_orders", "total_revenue"),
-            weighted={"avg_order_value": "total_orders"},
+            ratios={"avg_order_value": ("total_revenue", "total_orders")},
             ddl="date_key int, full_date date, region string, category string, "
                 "total_orders bigint, total_revenue decimal(18,2), "
                 "avg_order_value decimal(10,2), _computed_at timestamp",

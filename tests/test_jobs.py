@@ -1,6 +1,7 @@
 """The jobs end to end on a small lake, answers and guarded statements."""
 
-from datetime import datetime, timedelta
+import os
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,11 +11,21 @@ from tidemark import jobs
 from tidemark.operators import quality, runlog
 from tidemark.operators.sinks import load_fact
 from tidemark.plans.answers import UnsafeStatement, answer_question, run_statement
+from tidemark.schemas import WAREHOUSE
 from tidemark.sources.events import read_events
-from tidemark.streaming import landing, topics
+from tidemark.sources.layers import read_gold_partition, read_warehouse
+from tidemark.streaming import landing
 
 
-def test_land_type_load_model_refresh(spark, folder):
+@pytest.fixture
+def warehouse_names(spark):
+    """Tables that ``init`` declares, gone again after the test."""
+    yield
+    for name in WAREHOUSE:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_land_type_load_model_refresh(spark, folder, warehouse_names):
     lake, src = f"{folder}/lake", f"{folder}/src"
     every_topic(src)
     for topic, path in {"transactions": "t", "sensors": "s", "financial": "f", "social": "p"}.items():
@@ -25,19 +36,50 @@ def test_land_type_load_model_refresh(spark, folder):
     for job in ("gold", "load"):
         for _ in range(2):
             jobs.main([job, "--lake", lake, "--date", "2024-01-05"], spark)
+    for _ in range(2):
+        jobs.main(["init", "--lake", lake], spark)
+    assert spark.read.parquet(f"{lake}/warehouse/dim_date").count() == 1461
+    assert spark.table("dim_sensor_location").count() == 5
+    assert spark.table("fact_sales").columns == [*[c for c in WAREHOUSE["fact_sales"].schema.names if c != "date_key"], "_p", "date_key"]
     jobs.main(["marts", "--lake", lake], spark)
     revenue = spark.read.parquet(f"{lake}/marts/agg_daily_revenue").collect()
     assert [(r.region, r.category, float(r.total_revenue)) for r in revenue] == [("North", "Books", 42.0)]
     for _ in range(2):
         jobs.main(["refresh", "--lake", lake, "--as-of", "2024-01-05T11:00:00"], spark)
-    jobs.main(["optimize", "--lake", lake, "--target", f"{lake}/optimized"], spark)
-    for root in ("warehouse", "optimized"):
-        stored = spark.read.parquet(f"{lake}/{root}/agg_hourly_sensor").collect()
-        assert [(r.hour_ts, r.location_id, r.reading_count) for r in stored] == [(START, "L1", 1)]
-        assert spark.read.parquet(f"{lake}/{root}/agg_trading_volume").first().trade_count == 1
-    jobs.main(["expire", "--lake", lake, "--as-of", "2024-12-01"], spark)
+    jobs.main(["optimize", "--lake", lake], spark)
+    stored = read_warehouse(spark, f"{lake}/warehouse", "agg_hourly_sensor").collect()
+    assert [(r.hour_ts, r.location_id, r.reading_count) for r in stored] == [(START, "L1", 1)]
+    assert read_warehouse(spark, f"{lake}/warehouse", "agg_trading_volume").first().trade_count == 1
+    jobs.main(["expire", "--lake", lake, "--as-of", "2025-12-01"], spark)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         jobs.main(["silver", "--lake", lake, "--topic", "sensors", "--date", "2024-01-05"], spark)
+    assert read_warehouse(spark, f"{lake}/warehouse", "fact_sensor_readings", date(2024, 1, 1)).isEmpty()
+    assert read_warehouse(spark, f"{lake}/warehouse", "fact_sales").count() == 1
+    runs = spark.read.parquet(f"{lake}/pipeline_runs").collect()
+    assert {(r.dag_id, r.status) for r in runs} == {(j, "success") for j in ("silver", "gold", "load", "init", "marts", "refresh", "optimize", "expire")} | {("silver", "failed")}
+    assert {r.rows_written for r in runs if r.dag_id == "load"} == {6} and all(r.finished_at for r in runs)
+
+
+def test_streamed_topics_reach_gold(spark, folder):
+    lake, src = f"{folder}/lake", f"{folder}/src"
+    every_topic(src)
+    for topic, path in {"transactions": "t", "sensors": "s", "financial": "f", "social": "p"}.items():
+        os.rename(f"{src}/{path}", f"{src}/{topic}")
+    source = ["--option", "format=text", "--option", f"path={src}/{{topic}}", "--available-now"]
+    jobs.main(["land", "--lake", lake, *source], spark)
+    assert spark.read.parquet(f"{lake}/bronze/source=social").count() == 1
+    assert spark.read.parquet(f"{lake}/quarantine/financial").count() == 0
+    jobs.main(["stream", "--lake", lake, *source], spark)
+    jobs.main(["gather", "--lake", lake], spark)
+    feed(f"{src}/financial", "2", {"event_type": "trade_executed", "trade_id": "later", "event_ts": stamp()},
+         {"event_type": "trade_executed", "trade_id": "x", "asset": "btc", "event_ts": stamp()})
+    jobs.main(["stream", "--lake", lake, *source], spark)
+    jobs.main(["gold", "--lake", lake, "--date", "2024-01-05"], spark)
+    assert read_gold_partition(spark, f"{lake}/gold", "fact_sales", 20240105).count() == 1
+    assert sorted(r.trade_id for r in read_gold_partition(spark, f"{lake}/gold", "fact_trades", 20240105).collect()) == ["later", "x"]
+    assert read_gold_partition(spark, f"{lake}/gold", "fact_trades", 20240106).isEmpty()
+    runs = spark.read.parquet(f"{lake}/pipeline_runs").filter("dag_id = 'silver_financial'").collect()
+    assert sum(r.rows_read for r in runs) == 4 and len({r.run_id for r in runs}) == len(runs)
 
 
 def test_failed_check_stops_the_marts(spark, folder):
@@ -50,13 +92,14 @@ def test_failed_check_stops_the_marts(spark, folder):
         jobs.main(["marts", "--lake", folder], spark)
 
 
-def test_micro_batches_are_logged_as_runs(spark, folder):
-    options = feed(f"{folder}/src", "1", {"reading_id": "a", "event_ts": stamp()}, {"reading_id": "b", "event_ts": stamp()})
-    query = topics.stream_topic(spark, "sensors", f"{folder}/silver", options, available_now=True)
-    query.awaitTermination()
-    assert runlog.record_stream_runs(spark, f"{folder}/log", "sensors", "silver", query) >= 1
-    log = spark.read.parquet(f"{folder}/log").collect()
-    assert sum(r.rows_read for r in log) == 2 and {r.status for r in log} == {"success"}
+def test_a_failed_run_is_logged_and_a_frame_nobody_computes_is_an_error(spark, folder):
+    with pytest.raises(ZeroDivisionError):
+        with runlog.logged_run(spark, f"{folder}/log", "job", "x"):
+            1 / 0
+    with pytest.raises(RuntimeError, match="no action"):
+        runlog.record_run(spark, f"{folder}/log", "idle", "x", spark.range(3), lambda df: df, lambda df: None, seconds=1)
+    log = {r.dag_id: (r.status, r.error_msg) for r in spark.read.parquet(f"{folder}/log").collect()}
+    assert log["job"] == ("failed", "division by zero") and log["idle"][0] == "failed"
 
 
 def test_question_is_answered_and_logged(spark, folder):
@@ -75,6 +118,17 @@ def test_only_reading_statements_run(spark):
         run_statement(spark, "DROP TABLE x")
 
 
+def test_generated_statements_are_logged(spark, folder):
+    run_statement(spark, "SELECT 1", f"{folder}/llm_insights", "one?", "model")
+    for bad in ("DROP TABLE x", "SELECT * FROM nowhere_to_be_found"):
+        with pytest.raises(Exception):
+            run_statement(spark, bad, f"{folder}/llm_insights")
+    log = {r.generated_sql: (r.query_type, r.user_query, r.response[:6]) for r in read_warehouse(spark, folder, "llm_insights").collect()}
+    assert log == {"SELECT 1;": ("text2sql", "one?", "ok"), "DROP TABLE x;": ("text2sql", None, "refuse"),
+                   "SELECT * FROM nowhere_to_be_found;": ("text2sql", None, "failed")}
+
+
 def test_dates_and_options():
     args = jobs.parser().parse_args(["stream", "--lake", "/x", "--option", "format=text", "--option", "path=/a=b"])
     assert jobs.key_values(args.option) == {"format": "text", "path": "/a=b"}
+    assert jobs.topic_options({"path": "/in/{topic}"}, "social") == {"path": "/in/social"}

@@ -6,8 +6,10 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tidemark.operators import maintenance as m
-from tidemark.operators.sinks import partition_folders
+from tidemark.functions.casting import project_to
+from tidemark.operators.sinks import move_folder, partition_folders, stored_layout
 from tidemark.schemas import WAREHOUSE
+from tidemark.sources.layers import read_warehouse
 
 NOON = datetime(2024, 1, 5, 12)
 
@@ -79,16 +81,89 @@ def test_small_files_are_merged(spark, folder):
     assert sorted(few.select("part", "id").collect()) == sorted(rows.collect())
 
 
-def test_clustered_files_hold_sorted_rows_and_one_hot_key_is_spread(spark, folder):
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    rows = spark.range(30000).select(
-        F.lit("hot").alias("asset"), F.lit(20240105).alias("date_key"), F.lit("copy").alias("trade_id"),
-        F.lit(NOON).alias("event_ts"))
+def trades(spark, n, day=5):
+    return spark.range(n).select(
+        F.col("id").cast("string").alias("trade_id"), F.concat(F.lit("a"), F.col("id") % 7).alias("asset"),
+        F.lit(20240100 + day).alias("date_key"), F.lit(NOON.replace(day=day)).alias("event_ts"))
+
+
+def test_clustered_files_hold_sorted_rows_in_the_declared_partitions(spark, folder):
+    path = m.store_table(trades(spark, 3000).unionByName(trades(spark, 100, 6)), folder, WAREHOUSE["fact_trades"])
+    stored = spark.read.parquet(path)
+    assert stored.count() == 3100 and {tuple(r) for r in stored.select("_p", "date_key").distinct().collect()} == {(202401, 20240105), (202401, 20240106)}
+    for file in stored.inputFiles():
+        assets = [r.asset for r in spark.read.parquet(file).collect()]
+        assert assets == sorted(assets)
+
+
+def test_one_hot_key_is_spread_over_files(spark, folder):
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",)}
+    rows = spark.range(60000).select(
+        F.lit("hot").alias("asset"), F.lit(20240105).alias("date_key"), F.lit(NOON).alias("event_ts"), F.sha2(F.col("id").cast("string"), 256).alias("trade_id"))
     try:
-        spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep all tasks, to see the spread
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
         path = m.store_table(rows, folder, WAREHOUSE["fact_trades"])
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     stored = spark.read.parquet(path)
-    assert stored.count() == 30000 and stored.select("_p").distinct().collect()[0][0] == 202401
-    assert len(stored.inputFiles()) >= 4
+    assert stored.count() == 60000 and len(stored.inputFiles()) >= 3
+
+
+def test_the_input_of_a_clustered_write_is_computed_once(spark, folder):
+    from pyspark.sql import Observation
+    seen = Observation()
+    rows = trades(spark, 500).observe(seen, F.count(F.lit(1)).alias("n"))
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("clustered", "one write")
+    m.store_table(rows, folder, WAREHOUSE["fact_trades"])
+    spark.sparkContext.setJobGroup("", "")
+    assert seen.get["n"] == 500
+    stages = {s for j in jobs.getJobIdsForGroup("clustered") for s in jobs.getJobInfo(j).stageIds}
+    assert len(stages) <= 3  # the shuffle, the write and the skipped copy of the first
+
+
+def test_days_past_their_time_are_removed(spark, folder):
+    table = WAREHOUSE["fact_trades"]
+    m.store_table(trades(spark, 10, 5).unionByName(trades(spark, 10, 6)), folder, table)
+    assert m.expire_table(spark, folder, table, datetime(2027, 1, 5, 23)) == []
+    removed = m.expire_table(spark, folder, table, datetime(2027, 1, 6, 1))
+    assert [f.rsplit("/", 2)[1:] for f in removed] == [["_p=202401", "date_key=20240105"]]
+    assert read_warehouse(spark, folder, "fact_trades").select("date_key").distinct().collect()[0][0] == 20240106
+    assert m.expire_table(spark, folder, WAREHOUSE["fact_social_engagement"], NOON) == []
+
+
+def test_small_files_are_rewritten_in_place(spark, folder):
+    table = WAREHOUSE["fact_trades"]
+    for _ in range(3):
+        placed = stored_layout(project_to(trades(spark, 20), table.schema), table)
+        placed.repartition(4).write.mode("append").partitionBy(*table.partitions).parquet(f"{folder}/fact_trades")
+    stored_layout(project_to(trades(spark, 5, 6), table.schema), table).coalesce(1).write.mode("append").partitionBy(
+        *table.partitions).parquet(f"{folder}/fact_trades")
+    want = sorted(map(str, read_warehouse(spark, folder, "fact_trades").collect()))
+    rewritten = m.optimize_table(spark, folder, table)
+    assert [f.rsplit("/", 1)[1] for f in rewritten] == ["date_key=20240105"]
+    after = read_warehouse(spark, folder, "fact_trades")
+    assert sorted(map(str, after.collect())) == want and len(after.inputFiles()) == 2
+    assert m.optimize_table(spark, folder, table) == []
+
+
+def test_a_swap_that_was_cut_off_is_finished(spark, folder):
+    table, path = WAREHOUSE["fact_trades"], f"{folder}/fact_trades"
+    m.store_table(trades(spark, 10, 5).unionByName(trades(spark, 10, 6)), folder, table)
+    # one run died after moving a day aside, another before removing the old day
+    move_folder(spark, f"{path}/_p=202401/date_key=20240105", f"{path}/_p=202401/.old-date_key=20240105")
+    spark.range(1).write.parquet(f"{path}/_p=202401/.old-date_key=20240106")
+    spark.range(1).write.parquet(f"{path}/.compact-x/_p=202401/date_key=20240106")
+    m.finish_swaps(spark, path, table)
+    assert read_warehouse(spark, folder, "fact_trades").count() == 20
+    assert not partition_folders(spark, path, "_p=*/.old-*") and not partition_folders(spark, path, ".compact-*")
+
+
+def test_hourly_rows_that_came_twice_are_collapsed_in_place(spark, folder):
+    table = WAREHOUSE["agg_hourly_sensor"]
+    for temperature, n in ((10.0, 1), (40.0, 2)):
+        rows = spark.createDataFrame([(NOON, "L1", temperature, 1000.0, 50.0, n, 0, NOON)], table.schema)
+        stored_layout(rows, table).write.mode("append").partitionBy(*table.partitions).parquet(f"{folder}/{table.name}")
+    m.optimize_table(spark, folder, table)
+    assert [(r.avg_temp, r.reading_count) for r in read_warehouse(spark, folder, table.name).collect()] == [(30.0, 3)]

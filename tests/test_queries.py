@@ -14,11 +14,7 @@ def con():
     return connect("/root/testdata/sf0.001")
 
 
-# The whole lake at once takes as long as twenty queries; test_streams and test_jobs run the same layers.
-LONG = {"medallion_daily_revenue"}
-
-
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in LONG])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, small, name):
     same, note = compare(spark, con, small, name)
     assert same, note

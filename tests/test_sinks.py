@@ -4,12 +4,16 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import sinks
+from tidemark.operators.maintenance import store_table
+from tidemark.plans import refresh, reports
+from tidemark.plans.gold import build_fact
 from tidemark.plans.silver import bronze_to_silver
 from tidemark.schemas import WAREHOUSE
 from tidemark.session import new_folder, working_root
-from tidemark.sources.layers import discover_layer, read_bronze, read_gold_partition, read_silver
+from tidemark.sources.layers import discover_layer, read_bronze, read_gold_partition, read_silver, read_warehouse
 
 DAY = datetime(2024, 1, 5)
 
@@ -63,7 +67,7 @@ def trades(spark, *rows):
     return spark.createDataFrame(
         [(i, "BTC", "buy", 1.0, Decimal(p), Decimal(p), k) for i, p, k in rows],
         "trade_id string, asset string, side string, quantity float, price decimal(18,8), "
-        "total_value decimal(18,4), date_key int")
+        "total_value decimal(18,4), date_key int").withColumn("event_ts", F.to_timestamp(F.col("date_key").cast("string"), "yyyyMMdd"))
 
 
 def keys(df):
@@ -71,21 +75,21 @@ def keys(df):
 
 
 def test_gold_keeps_the_days_it_does_not_write(spark, folder):
-    sinks.write_gold_fact(trades(spark, ("a", 1, 20240105), ("b", 1, 20240106)), folder, "t")
+    sinks.write_gold_fact(trades(spark, ("a", 1, 20240105), ("b", 1, 20240106)), folder, "fact_trades")
     for _ in range(2):
-        sinks.write_gold_fact(trades(spark, ("c", 1, 20240106)), folder, "t", many_days=True)
-    assert keys(read_gold_partition(spark, folder, "t")) == [("a", 20240105), ("c", 20240106)]
-    assert keys(read_gold_partition(spark, folder, "t", 20240106)) == [("c", 20240106)]
+        sinks.write_gold_fact(trades(spark, ("c", 1, 20240106)), folder, "fact_trades", many_days=True)
+    assert keys(read_gold_partition(spark, folder, "fact_trades")) == [("a", 20240105), ("c", 20240106)]
+    assert keys(read_gold_partition(spark, folder, "fact_trades", 20240106)) == [("c", 20240106)]
 
 
 def test_load_replaces_one_day_also_by_nothing(spark, folder):
     sinks.load_fact(trades(spark, ("a", 1, 20240105)), folder, "fact_trades", 20240105)
     for _ in range(2):
         sinks.load_fact(trades(spark, ("b", 1, 20240106), ("x", 1, 20240107)), folder, "fact_trades", 20240106)
-    table = spark.read.schema(WAREHOUSE["fact_trades"].schema).parquet(f"{folder}/fact_trades")
+    table = read_warehouse(spark, folder, "fact_trades")
     assert keys(table) == [("a", 20240105), ("b", 20240106)]
     sinks.load_fact(trades(spark).limit(0), folder, "fact_trades", 20240106)
-    table = spark.read.schema(WAREHOUSE["fact_trades"].schema).parquet(f"{folder}/fact_trades")
+    table = read_warehouse(spark, folder, "fact_trades")
     assert keys(table) == [("a", 20240105)]
 
 
@@ -105,7 +109,7 @@ def hours(spark, *rows):
 
 
 def stored_hours(spark, root):
-    df = spark.read.schema(WAREHOUSE["agg_hourly_sensor"].schema).parquet(f"{root}/agg_hourly_sensor")
+    df = read_warehouse(spark, root, "agg_hourly_sensor")
     return sorted((r.hour_ts, r.reading_count) for r in df.collect())
 
 
@@ -132,6 +136,49 @@ def test_window_rebuild_removes_days_without_rows(spark, folder):
     assert stored_hours(spark, folder) == [(DAY, 1)]
 
 
+def test_a_rebuild_that_fails_halfway_loses_nothing(spark, folder):
+    table = WAREHOUSE["agg_hourly_sensor"]
+    sinks.write_window(spark, hours(spark, *[(DAY + timedelta(hours=h), 1) for h in range(6)]), folder, table, DAY)
+    cutoff = DAY + timedelta(hours=4)
+    fresh = hours(spark, (cutoff, 7), (cutoff + timedelta(hours=1), 8))
+    broken = fresh.withColumn("reading_count", F.when(F.hour("hour_ts") == 5, F.raise_error(F.lit("lost"))).otherwise(F.col("reading_count")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_window(spark, broken, folder, table, cutoff)
+    assert stored_hours(spark, folder) == [(DAY + timedelta(hours=h), 1) for h in range(6)]
+    sinks.write_window(spark, fresh, folder, table, cutoff)
+    assert [n for _, n in stored_hours(spark, folder)] == [1, 1, 1, 1, 7, 8]
+
+
+def test_a_rolling_read_opens_the_files_of_its_window_only(spark, folder, plan):
+    table = WAREHOUSE["fact_sensor_readings"]
+    rows = spark.range(30).select(
+        F.col("id").cast("string").alias("reading_id"), F.lit("L1").alias("location_id"), F.lit(20.0).alias("temperature"),
+        (F.lit(DAY) + F.make_dt_interval(F.col("id").cast("int"))).alias("event_ts"))
+    rows = rows.withColumn("date_key", F.date_format("event_ts", "yyyyMMdd").cast("int"))
+    store_table(rows, folder, table)
+    as_of = DAY + timedelta(days=29, hours=1)
+    window = read_warehouse(spark, folder, table.name, refresh.hour_cutoff(as_of))
+    assert len(window.inputFiles()) == 2
+    assert len(read_warehouse(spark, folder, table.name).inputFiles()) == 30
+    for fresh in (refresh.refresh_hourly_sensor(read_warehouse(spark, folder, table.name), as_of),
+                  reports.sensor_overview(read_warehouse(spark, folder, table.name), as_of)):
+        text = plan(fresh)
+        assert "PartitionFilters: [isnotnull(date_key" in text and ">= 202402" in text
+    assert refresh.refresh_hourly_sensor(window, as_of).collect() == refresh.refresh_hourly_sensor(read_warehouse(spark, folder, table.name), as_of).collect()
+
+
+def test_one_day_is_listed_alone(spark, folder):
+    land(spark, f"{folder}/bronze", "2024-01-05", 10, [reading(f"r{i}", f"2024-01-{i + 1:02d}T10:00:00") for i in range(9)])
+    bronze_to_silver(spark, f"{folder}/bronze", f"{folder}/silver", "sensors", "2024-01-05")
+    one = read_silver(spark, f"{folder}/silver", "sensors", "2024-01-03")
+    assert len(one.inputFiles()) == 1 and [(r.reading_id, r._batch_id, r._day) for r in one.collect()] == [("r2", "sensors_2024-01-05", 3)]
+    assert read_silver(spark, f"{folder}/silver", "sensors", "2024-02-03").isEmpty()
+    sinks.write_gold_fact(build_fact("fact_sensor_readings", read_silver(spark, f"{folder}/silver", "sensors")), f"{folder}/gold", "fact_sensor_readings")
+    day = read_gold_partition(spark, f"{folder}/gold", "fact_sensor_readings", 20240103)
+    assert len(day.inputFiles()) == 1 and day.first().date_key == 20240103
+    assert read_gold_partition(spark, f"{folder}/gold", "fact_sensor_readings", 20250103).isEmpty()
+
+
 def test_rebuilt_frame_equals_rebuilt_table(spark):
     old, fresh = hours(spark, (DAY, 1), (DAY + timedelta(hours=1), 1)), hours(spark, (DAY + timedelta(hours=1), 4))
     out = sinks.rebuild_window(old, fresh, "hour_ts", DAY + timedelta(hours=1))
@@ -163,7 +210,7 @@ def test_log_rows_are_added(spark, folder):
     for _ in range(2):
         sinks.append_log(row, f"{folder}/log", WAREHOUSE["llm_insights"])
     log = spark.read.parquet(f"{folder}/log")
-    assert log.count() == 2 and log.columns == WAREHOUSE["llm_insights"].schema.names
+    assert log.count() == 2 and log.columns == [*WAREHOUSE["llm_insights"].schema.names, "_p", "_s"]
 
 
 class FakeSession:

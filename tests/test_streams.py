@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.casting import cast_to_schema
 from tidemark.operators import runlog
 from tidemark.plans.medallion import Lake, build_marts, run_day
-from tidemark.schemas import ENTITIES, topic_schema
+from tidemark.plans.gold import build_fact
+from tidemark.schemas import ENTITIES
 from tidemark.sources.events import parse_events, read_events
-from tidemark.sources.layers import read_bronze
+from tidemark.sources.layers import read_bronze, read_silver, read_streamed
 from tidemark.streaming import landing, quarantine, stateful, topics
 from tidemark.streaming.settings import drain, writer
 
@@ -52,13 +53,14 @@ def test_typed_stream_equals_batch_and_resumes(spark, folder):
     run_typed(spark, "sensors", root, options)  # nothing new: nothing added
     feed(src, "2", {"reading_id": "b", "temperature": "abc", "event_ts": stamp(24 * 60)})
     run_typed(spark, "sensors", root, options)
-    table = spark.read.parquet(f"{root}/sensors")
+    table = read_streamed(spark, root, "sensors")
     assert sorted((r.reading_id, r.temperature, r.is_anomaly, r._day) for r in table.collect()) == [
         ("a", 20.5, True, 5), ("b", None, None, 6)]
-    batch = parse_events(spark.read.text(src), topic_schema("sensors")).filter("event_ts is not null")
+    batch = parse_events(spark.read.text(src), ENTITIES["sensors"].schema).filter("event_ts is not null")
     same = [c for c in batch.columns]
     assert sorted(map(str, table.select(same).collect())) == sorted(map(str, batch.select(same).collect()))
-    assert {"_kafka_ts", "offset", "partition", "_ingested_at", "_year"} <= set(table.columns)
+    assert dict(table.dtypes) == {f.name: f.dataType.simpleString() for f in ENTITIES["sensors"].silver_schema.fields}
+    assert {r._batch_id for r in table.collect()} == {"stream_sensors_000000000", "stream_sensors_000000001"}
 
 
 def test_mixed_topic_is_routed_and_a_replayed_batch_replaces_itself(spark, folder):
@@ -66,15 +68,42 @@ def test_mixed_topic_is_routed_and_a_replayed_batch_replaces_itself(spark, folde
     options = feed(f"{folder}/src", "1", order("o1"), CUSTOMER, PRODUCT, {"event_type": "customer_registered"},
                    {"event_type": "order_created", "order_id": "no time"}, {"event_type": "other"})
     drain(topics.stream_transactions(spark, root, options, available_now=True))
-    assert spark.read.parquet(f"{root}/transactions").select("order_id", "total_amount").collect()[0].order_id == "o1"
-    assert [r.region for r in spark.read.parquet(f"{root}/customers").collect()] == ["North"]
-    product = spark.read.parquet(f"{root}/products").collect()
-    assert [(r.category, r.event_ts) for r in product] == [("Books", START)]
-    assert {"_year", "_month", "_day", "_stream_batch"} <= set(spark.read.parquet(f"{root}/products").columns)
-    rows = spark.read.parquet(f"{root}/products").drop("_stream_batch")
+    assert [r.order_id for r in read_streamed(spark, root, "transactions").collect()] == ["o1"]
+    assert [r.region for r in read_streamed(spark, root, "customers").collect()] == ["North"]
+    product = read_streamed(spark, root, "products").collect()
+    assert [(r.category, r.event_ts, r._day) for r in product] == [("Books", START, 5)]
+    rows = read_streamed(spark, root, "products")
     for _ in range(2):  # the same batch again
-        topics.write_batch_part(rows.filter("true").select("*"), f"{folder}/again", 7)
-    assert spark.read.parquet(f"{folder}/again").count() == 1
+        topics.write_batch_part(rows, f"{folder}/again/products", topics.batch_name("transactions", 7))
+    assert read_streamed(spark, f"{folder}/again", "products").count() == 1
+
+
+def test_files_follow_the_data_not_the_days(spark, folder):
+    days = 400
+    options = feed(f"{folder}/src", "1", *[order(f"o{i}", minutes=i * 24 * 60) for i in range(days)], CUSTOMER, PRODUCT)
+    root = f"{folder}/silver"
+    drain(topics.stream_transactions(spark, root, options, available_now=True))
+    for table, rows in (("transactions", days), ("customers", 1), ("products", 1)):
+        stored = read_streamed(spark, root, table)
+        assert stored.count() == rows and len(stored.inputFiles()) <= 2
+    assert read_streamed(spark, root, "transactions", "2024-01-07").count() == 1
+
+
+def test_gathered_batches_move_into_silver_once(spark, folder):
+    src, streamed, silver = f"{folder}/src", f"{folder}/streamed", f"{folder}/silver"
+    for part in range(3):
+        options = feed(src, str(part), {"reading_id": f"r{part}", "event_ts": stamp(part * 24 * 60)}, {"reading_id": "twice", "event_ts": stamp()})
+        run_typed(spark, "sensors", streamed, options)
+    assert read_streamed(spark, streamed, "sensors").count() == 6
+    assert topics.gather_streamed(spark, streamed, silver, "sensors") == "stream_sensors_000000002_gathered"
+    assert read_streamed(spark, streamed, "sensors").isEmpty()
+    assert topics.gather_streamed(spark, streamed, silver, "sensors") is None
+    stored = read_silver(spark, silver, "sensors")
+    assert stored.count() == 6 and read_silver(spark, silver, "sensors", "2024-01-06").count() == 1
+    assert build_fact("fact_sensor_readings", stored).count() == 4
+    options = feed(src, "9", {"reading_id": "late", "event_ts": stamp()})
+    run_typed(spark, "sensors", streamed, options)  # goes on after the gathering
+    assert [r.reading_id for r in read_streamed(spark, streamed, "sensors").collect()] == ["late"]
 
 
 def test_landing_keeps_every_key_as_text(spark, folder):
@@ -119,6 +148,58 @@ def test_quarantine_names_the_reason(spark, folder):
         json.dumps(lines[6]): "missing_event_time"}
 
 
+def test_quarantine_checks_each_event_by_its_type(spark, folder):
+    transfer = {"event_type": "transfer", "transfer_id": "t", "event_ts": stamp()}
+    cases = {
+        "transactions": [(order("o1"), None), (CUSTOMER, None), (PRODUCT, None), ({**CUSTOMER, "customer_id": None}, "missing_key"),
+                         ({**PRODUCT, "created_at": None}, "missing_event_time"), ({**PRODUCT, "price": "abc"}, "bad_field"),
+                         ({**order("o2"), "event_type": "other"}, "unknown_type"), ({"order_id": "o3", "event_ts": stamp()}, "unknown_type"),
+                         ({**order("o4"), "order_id": ""}, "missing_key"), ("[1", "malformed_json")],
+        "financial": [(transfer, None), ({**transfer, "transfer_id": None}, "missing_key"),
+                      ({"event_type": "trade_executed", "trade_id": "x", "event_ts": stamp()}, None),
+                      ({"event_type": "trade_executed", "transfer_id": "x", "event_ts": stamp()}, "missing_key")],
+    }
+    for topic, lines in cases.items():
+        options = feed(f"{folder}/{topic}", "1", *[m for m, _ in lines])
+        drain(quarantine.quarantine_stream(read_events(spark, topic, options), topic, f"{folder}/good/{topic}",
+                                           f"{folder}/bad/{topic}", f"{folder}/cp/{topic}", True))
+        bad = {r.value: r.reason for r in spark.read.parquet(f"{folder}/bad/{topic}").collect()}
+        assert bad == {m if isinstance(m, str) else json.dumps(m): reason for m, reason in lines if reason}
+        assert spark.read.parquet(f"{folder}/good/{topic}").count() == sum(reason is None for _, reason in lines)
+
+
+def test_landing_reports_bad_messages_beside_the_raw_files(spark, folder):
+    options = feed(f"{folder}/src", "1", order("o1"), {**order("o2"), "order_id": None}, "garbage")
+    arrived = F.lit("2024-02-03 04:05:06").cast("timestamp")
+    drain(landing.land_bronze(read_events(spark, "transactions", options), "transactions", f"{folder}/bronze",
+                              f"{folder}/cp", True, arrived, f"{folder}/bad"))
+    assert read_bronze(spark, f"{folder}/bronze", "transactions", "2024-02-03").count() == 2
+    assert sorted(r.reason for r in spark.read.parquet(f"{folder}/bad/transactions").collect()) == ["malformed_json", "missing_key"]
+
+
+def test_no_progress_is_lost_beyond_what_spark_remembers(spark, folder):
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    log = runlog.ProgressLog(spark, f"{folder}/progress")
+    spark.streams.addListener(log)
+    try:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+        for part in range(6):
+            options = feed(f"{folder}/src", str(part), {"reading_id": f"r{part}", "event_ts": stamp()})
+        query = run_typed(spark, "sensors", f"{folder}/silver", options | {"maxFilesPerTrigger": "1"})
+        log.wait(query)
+    finally:
+        spark.streams.removeListener(log)
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    assert len(query.recentProgress) <= 2
+    progress = runlog.topic_progress(spark, log.path).collect()
+    assert sorted(r.batch_id for r in progress) == list(range(6)) and sum(r.num_input_rows for r in progress) == 6
+    for _ in range(2):  # a second call adds nothing
+        runlog.record_stream_runs(spark, f"{folder}/runs", log.path, "silver")
+    runs = spark.read.parquet(f"{folder}/runs").collect()
+    assert len(runs) == 6 and {(r.dag_id, r.stage, r.status, r.rows_read) for r in runs} == {("silver_sensors", "silver", "success", 1)}
+    assert all(r.finished_at >= r.started_at for r in runs)
+
+
 def test_duplicates_within_the_lateness_are_dropped_across_batches(spark, folder):
     src, out = f"{folder}/src", f"{folder}/out"
 
@@ -191,11 +272,8 @@ def every_topic(folder):
 def test_all_topics_at_once(spark, folder):
     started = topics.run_all(spark, f"{folder}/silver", every_topic(folder), available_now=True)
     assert len(started) == 4 and not any(q.isActive for q in started)
-    counts = {t: spark.read.parquet(f"{folder}/silver/{t}").count()
-              for t in ("transactions", "customers", "products", "sensors", "financial", "social")}
-    assert counts == {"transactions": 2, "customers": 1, "products": 1, "sensors": 1, "financial": 2, "social": 1}
-    progress = runlog.topic_progress(spark, {"sensors": started[0]})
-    assert progress.agg(F.sum("num_input_rows")).first()[0] == 1
+    counts = {t: read_streamed(spark, f"{folder}/silver", t).count() for t in ENTITIES}
+    assert counts == {"transactions": 2, "customers": 1, "products": 1, "sensors": 1, "financial": 1, "social": 1}
 
 
 def test_a_failing_stream_is_raised_and_the_others_stop(spark, folder):

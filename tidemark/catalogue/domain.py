@@ -273,15 +273,12 @@ def transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixed(spark, sf_dir, orders(spark, sf_dir))
 
 
-def one_month_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with all orders moved into one month: a lake of a few days, not of years."""
-    moved = F.date_add(F.lit("2024-01-01").cast("date"), F.dayofmonth("event_ts") - 1)
-    return _mixed(spark, sf_dir, orders(spark, sf_dir).withColumn("event_ts", moved.cast("timestamp_ntz")))
+def _mixed(spark: SparkSession, sf_dir: str, order_events: DataFrame) -> DataFrame:
+    return _messages((order_events, "event_ts"), (customer_events(spark, sf_dir), "created_at"),
+                     (product_events(spark, sf_dir), "created_at"))
 
 
-def _mixed(spark: SparkSession, sf_dir: str, order_events: DataFrame) -> DataFrame:
-    parts = [(order_events, "event_ts"), (customer_events(spark, sf_dir), "created_at"),
-             (product_events(spark, sf_dir), "created_at")]
+def _messages(*parts: tuple[DataFrame, str]) -> DataFrame:
     lines = [df.withColumn("source", F.lit("ecommerce")) for df, _ in parts]
     first, *rest = [df.select(_json(df, ts).alias("value")) for df, (_, ts) in zip(lines, parts, strict=True)]
     for other in rest:
@@ -292,6 +289,36 @@ def _mixed(spark: SparkSession, sf_dir: str, order_events: DataFrame) -> DataFra
 FEEDS = {"transactions": transaction_feed, "sensors": sensor_feed, "financial": trade_feed, "social": post_feed}
 
 
+def broken_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed topic with unknown types, missing keys and times, a wrong type and cut-off lines."""
+    lost = orders(spark, sf_dir).withColumn("event_type", F.when(F.col("quantity") == 1, "order_lost").otherwise(F.col("event_type")))
+    nobody = customer_events(spark, sf_dir).withColumn(
+        "customer_id", F.when(F.col("age_group") != "18-25", F.col("customer_id")))
+    products = product_events(spark, sf_dir)
+    undated = products.withColumn("created_at", F.when(F.col("stock_quantity") != 1, F.col("created_at")))
+    feed = _messages((lost, "event_ts"), (nobody, "created_at"))
+    line = _json(undated, "created_at")
+    line = (F.when(F.col("stock_quantity") == 2, F.left(line, F.lit(40)))
+            .when(F.col("stock_quantity") == 3, F.regexp_replace(line, '"price":[0-9.]+', '"price":"abc"')).otherwise(line))
+    return feed.unionByName(undated.select(line.alias("value")))
+
+
+def trades_with_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades and transfers, each with its own key; every transfer to a NYSE account lacks it."""
+    typed = trades(spark, sf_dir)
+    transfer = (F.col("event_type") == "transfer") & (F.col("exchange") == "LSE")
+    keyed = typed.withColumn("transfer_id", F.when(transfer, "TF-1"))
+    return keyed.select(_json(keyed).alias("value"))
+
+
+BROKEN_FEEDS = {
+    "transactions": broken_transactions,
+    "sensors": lambda spark, sf_dir: sensor_feed(spark, sf_dir, broken=True),
+    "financial": trades_with_transfers,
+    "social": post_feed,
+}
+
+
 # ---------------------------------------------------------------- silver and text
 
 

@@ -24,7 +24,7 @@ from tidemark.operators import maintenance, quality, runlog, sinks
 from tidemark.operators.dedup import latest_version
 from tidemark.operators.joins import unpartitioned, with_day_stats
 from tidemark.plans import gold, marts, medallion, refresh, reports, silver, staging
-from tidemark.schemas import ENTITIES, WAREHOUSE
+from tidemark.schemas import ENTITIES, TOPICS, WAREHOUSE, required_fields
 from tidemark.session import configure, new_folder
 from tidemark.sources import layers, seeds
 from tidemark.sources.events import parse_events, read_events
@@ -393,6 +393,15 @@ def refresh_trading_volume(spark, sf_dir):
     return comparable(refresh.refresh_trading_volume(fact_trades_of(spark, sf_dir), d.EVENTS_AS_OF))
 
 
+@query(o.sql(o.SENSORS, REFRESHED_HOURS))
+def refresh_stored_hours(spark, sf_dir):
+    """The hourly refresh from a stored fact: only the folders of its window are listed and read."""
+    root = new_folder(spark, "warehouse")
+    maintenance.store_table(fact_sensors_of(spark, sf_dir), root, WAREHOUSE["fact_sensor_readings"])
+    recent = layers.read_warehouse(spark, root, "fact_sensor_readings", refresh.hour_cutoff(d.EVENTS_AS_OF))
+    return comparable(refresh.refresh_hourly_sensor(recent, d.EVENTS_AS_OF), HOURLY_DIGITS)
+
+
 # ---------------------------------------------------------------- maintenance
 
 
@@ -496,7 +505,7 @@ def rebuild_window_stored(spark, sf_dir):
     for _ in range(2):
         fresh = refresh.refresh_hourly_sensor(fact_sensors_of(spark, sf_dir), d.EVENTS_AS_OF)
         path = sinks.write_window(spark, fresh, root, table, cutoff)
-    return comparable(spark.read.parquet(path).drop("_p"), HOURLY_DIGITS)
+    return comparable(layers.read_warehouse(spark, root, table.name), HOURLY_DIGITS)
 
 
 # ---------------------------------------------------------------- sinks
@@ -525,14 +534,49 @@ def load_fact_idempotent(spark, sf_dir):
     """The whole fact in the warehouse, then one day loaded again from gold: nothing doubles."""
     gold_root, root = new_folder(spark, "gold"), new_folder(spark, "warehouse")
     sinks.write_gold_fact(fact_trades_of(spark, sf_dir), gold_root, "fact_trades")
-    whole = layers.read_gold_partition(spark, gold_root, "fact_trades")
-    sinks.write_gold_fact(sinks.project_to(whole, WAREHOUSE["fact_trades"].schema), root, "fact_trades")
+    maintenance.store_table(layers.read_gold_partition(spark, gold_root, "fact_trades"), root, WAREHOUSE["fact_trades"])
     for day in (20240107, 20240107):
-        rows = layers.read_gold_partition(spark, gold_root, "fact_trades", day)
+        sinks.load_fact(layers.read_gold_partition(spark, gold_root, "fact_trades", day), root, "fact_trades", day)
+    return comparable(layers.read_warehouse(spark, root, "fact_trades"))
+
+
+@query(o.sql(o.TRADING, f"""select {TRADE_COLUMNS}, date_key // 100 as _p from fact_trades
+where date_key in (20240105, 20240106, 20240129)"""))
+def clustered_load(spark, sf_dir):
+    """Three days loaded one by one: the month partition, the day folder and the declared order."""
+    root, rows = new_folder(spark, "warehouse"), fact_trades_of(spark, sf_dir)
+    for day in (20240105, 20240106, 20240129):
         path = sinks.load_fact(rows, root, "fact_trades", day)
     return comparable(spark.read.parquet(path))
 
 
+@query(o.sql(o.TRADING, f"select {TRADE_COLUMNS} from fact_trades"))
+def optimized_fact(spark, sf_dir):
+    """A fact that came in four parts, rewritten in place to a file for each day."""
+    root, table = new_folder(spark, "warehouse"), WAREHOUSE["fact_trades"]
+    for part in range(4):
+        rows = fact_trades_of(spark, sf_dir).filter(F.crc32("trade_id") % 4 == part)
+        placed = sinks.stored_layout(sinks.project_to(rows, table.schema), table)
+        placed.coalesce(1).write.mode("append").partitionBy(*table.partitions).parquet(f"{root}/{table.name}")
+    maintenance.optimize_table(spark, root, table)
+    return comparable(layers.read_warehouse(spark, root, "fact_trades"))
+
+
+@query(o.sql((*o.SALES, o.EV, o.READINGS, o.FACT_SENSORS, o.TRADES), """
+select 'fact_sensor_readings' as table_name, count(*) as kept, min(event_ts) as oldest from fact_sensors where event_ts >= date '2024-01-16'
+union all select 'fact_trades', count(*), min(event_ts) from fact_trades where event_ts >= date '2024-01-11'"""))
+def expired_facts(spark, sf_dir):
+    """Stored facts after the nightly removal of days whose time to live has passed."""
+    root, parts = new_folder(spark, "warehouse"), []
+    for name, build, as_of in (("fact_sensor_readings", fact_sensors_of, datetime(2025, 1, 16, 6)),
+                               ("fact_trades", fact_trades_of, datetime(2027, 1, 11, 23))):
+        maintenance.store_table(build(spark, sf_dir), root, WAREHOUSE[name])
+        maintenance.expire_table(spark, root, WAREHOUSE[name], as_of)
+        parts.append(layers.read_warehouse(spark, root, name).agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("kept"), F.min("event_ts").alias("oldest")))
+    return comparable(parts[0].unionByName(parts[1]))
+
+
 @query(o.sql(o.DIMS, "select product_id, name, category, cast(price as double) as price from dim_product"))
 def load_dim_by_name(spark, sf_dir):
     root = new_folder(spark, "warehouse")
@@ -602,28 +646,25 @@ def stream_topic(spark, sf_dir):
     folder = written_feed(spark, d.sensor_feed(spark, sf_dir), "sensors")
     root = new_folder(spark, "silver")
     drain(topics.stream_topic(spark, "sensors", root, text_stream(folder), available_now=True))
-    rows = spark.read.parquet(f"{root}/sensors")
-    return comparable(rows.drop("_kafka_ts", "offset", "partition", "event_type", "source"))
+    return comparable(layers.read_streamed(spark, root, "sensors"))
 
 
-ONE_MONTH = (o.ORDERS.replace("orders_ev as", "all_orders as"), """
-orders_ev as (select * replace (cast(date '2024-01-01' + cast(day(event_ts) - 1 as int) as timestamp) as event_ts)
-  from all_orders)""", o.CUSTOMERS, o.PRODUCTS)
+TRANSACTIONS = (o.ORDERS, o.CUSTOMERS, o.PRODUCTS)
 
 
-@query(o.sql(ONE_MONTH, """
+@query(o.sql(TRANSACTIONS, """
 select 'transactions' as entity, order_id as id, customer_id, product_id, cast(total_amount as double) as amount,
   status as attribute, event_ts from orders_ev
 union all select 'customers', customer_id, customer_id, null, null, region, created_at from customer_ev
 union all select 'products', product_id, null, product_id, cast(price as double), category, created_at from product_ev"""))
 def stream_routed(spark, sf_dir):
     """One pass over the mixed topic into three tables."""
-    folder = written_feed(spark, d.one_month_feed(spark, sf_dir), "transactions")
+    folder = written_feed(spark, d.transaction_feed(spark, sf_dir), "transactions")
     root = new_folder(spark, "silver")
     drain(topics.stream_transactions(spark, root, text_stream(folder), available_now=True))
 
     def part(entity, key, **columns):
-        rows = spark.read.parquet(f"{root}/{entity}")
+        rows = layers.read_streamed(spark, root, entity)
         wanted = {"customer_id": "string", "product_id": "string", "amount": "double", "attribute": "string"}
         return rows.select(
             F.lit(entity).alias("entity"), F.col(key).alias("id"),
@@ -641,10 +682,13 @@ def stream_routed(spark, sf_dir):
 @query(o.sql((o.EV, o.READINGS), f"select {STREAMED_READING} from readings "
                                  "where reading_id is not null and event_ts is not null"))
 def stream_dedup(spark, sf_dir):
-    """Every message is delivered twice and kept once."""
+    """Every message is delivered twice, the second time corrected: the stream keeps the first copy."""
     once = d.sensor_messages(spark, sf_dir)
-    folder = written_feed(spark, once.unionByName(once), "sensors")
-    events = parse_events(read_events(spark, "sensors", text_stream(folder)), ENTITIES["sensors"].schema)
+    corrected = once.select(F.regexp_replace("value", '"temperature":[-0-9.E]+', '"temperature":-1').alias("value"))
+    folder = written_feed(spark, once.coalesce(1), "sensors")
+    corrected.coalesce(1).write.mode("append").text(folder)
+    source = text_stream(folder) | {"maxFilesPerTrigger": "1"}
+    events = parse_events(read_events(spark, "sensors", source), ENTITIES["sensors"].schema)
     out = new_folder(spark, "silver")
     drain(writer(stateful.dedup_stream(events, "reading_id", d.LATENESS, lanes=4), "dedup", f"{out}/_checkpoint", True)
           .format("parquet").start(out))
@@ -667,39 +711,108 @@ def stream_hourly(spark, sf_dir):
     return comparable(spark.read.parquet(out), HOURLY_DIGITS)
 
 
-@query(o.sql(RAW_READINGS, """
-, checked as (select *, case when humidity < 0 and temperature is not null then 'malformed_json'
-  when reading_id is null then 'missing_key' when event_ts is null then 'missing_event_time'
-  when temperature is null then 'bad_field' end as reason from raw_readings)
-select coalesce(reason, 'accepted') as outcome, count(*) as messages, count(case when reason is null then reading_id end) as keys
-from checked group by 1"""))
+@query(o.sql((*TRANSACTIONS, o.EV, o.REPEATED_READINGS, o.TRADES, o.POSTS), """
+, checked as (
+  select 'sensors' as topic, reading_id as id, case when humidity < 0 and temperature is not null then 'malformed_json'
+    when reading_id is null then 'missing_key' when event_ts is null then 'missing_event_time'
+    when temperature is null then 'bad_field' end as reason from raw_readings
+  union all select 'transactions', order_id, case when quantity = 1 then 'unknown_type' end from orders_ev
+  union all select 'transactions', customer_id, case when age_group = '18-25' then 'missing_key' end from customer_ev
+  union all select 'transactions', product_id, case stock_quantity when 1 then 'missing_event_time' when 2 then 'malformed_json'
+    when 3 then 'bad_field' end from product_ev
+  union all select 'financial', coalesce(trade_id, 'TF-1'),
+    case when event_type = 'transfer' and exchange <> 'LSE' then 'missing_key' end from trade_ev
+  union all select 'social', post_id, null from post_ev)
+select topic, coalesce(reason, 'accepted') as outcome, count(*) as messages, count(case when reason is null then id end) as keys
+from checked group by 1, 2"""))
 def stream_quarantine(spark, sf_dir):
-    """Cut-off lines, wrong types, missing keys and times go to their own table with a reason."""
-    folder = written_feed(spark, d.sensor_feed(spark, sf_dir, broken=True), "sensors")
+    """All topics: what is wrong with a message of its own type goes to a table of its own with the reason."""
+    root, parts = new_folder(spark, "silver"), []
+    for topic, feed in d.BROKEN_FEEDS.items():
+        folder = written_feed(spark, feed(spark, sf_dir), topic)
+        drain(quarantine.quarantine_stream(
+            read_events(spark, topic, text_stream(folder)), topic, f"{root}/good/{topic}", f"{root}/bad/{topic}",
+            f"{root}/_checkpoints/{topic}", available_now=True))
+        good = spark.read.parquet(f"{root}/good/{topic}")
+        keys = [F.when(F.lit(True) if t is None else F.col("event_type") == t, F.col(key))
+                for t, (key, _) in required_fields(topic).items()]
+        parts += [good.select(F.lit(topic).alias("topic"), F.lit("accepted").alias("outcome"), F.coalesce(*keys).alias("id")),
+                  spark.read.parquet(f"{root}/bad/{topic}").select(
+                      F.lit(topic).alias("topic"), F.col("reason").alias("outcome"), F.lit(None).cast("string").alias("id"))]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole.groupBy("topic", "outcome").agg(F.count(F.lit(1)).alias("messages"), F.count("id").alias("keys"))
+
+
+MESSAGES = """
+select 'silver_transactions' as name, (select count(*) from orders_ev) + (select count(*) from customer_ev)
+  + (select count(*) from product_ev) as messages
+union all select 'silver_sensors', count(*) from raw_readings
+union all select 'silver_financial', count(*) from trade_ev
+union all select 'silver_social', count(*) from post_ev"""
+ALL_EVENTS = (*TRANSACTIONS, o.EV, o.REPEATED_READINGS, o.TRADES, o.POSTS)
+
+
+def all_streamed(spark: SparkSession, sf_dir: str) -> str:
+    """Every topic streamed to its typed tables; returns their folder."""
     root = new_folder(spark, "silver")
-    drain(quarantine.quarantine_stream(
-        read_events(spark, "sensors", text_stream(folder)), "sensors", f"{root}/good", f"{root}/bad",
-        f"{root}/_checkpoint", available_now=True))
-    good = spark.read.parquet(f"{root}/good").select(F.lit("accepted").alias("outcome"), "reading_id")
-    bad = spark.read.parquet(f"{root}/bad").select(
-        F.col("reason").alias("outcome"), F.lit(None).cast("string").alias("reading_id"))
-    return (good.unionByName(bad).groupBy("outcome")
-            .agg(F.count(F.lit(1)).alias("messages"), F.count("reading_id").alias("keys")))
-
-
-@query(o.sql((o.EV, o.READINGS), "select 'financial' as topic, count(*) as messages from ev "
-                                 "union all select 'sensors', count(*) from readings"))
+    feeds = {t: text_stream(written_feed(spark, feed(spark, sf_dir), t)) for t, feed in d.FEEDS.items()}
+    topics.run_all(spark, root, feeds, available_now=True)
+    return root
+
+
+@query(o.sql(ALL_EVENTS, MESSAGES))
 def topic_progress(spark, sf_dir):
-    """What the running streams report about themselves, per topic."""
-    root, running = new_folder(spark, "silver"), {}
-    for topic, feed in {"financial": d.trade_feed(spark, sf_dir), "sensors": d.sensor_messages(spark, sf_dir)}.items():
-        folder = written_feed(spark, feed, topic)
-        running[topic] = drain(topics.stream_topic(spark, topic, root, text_stream(folder), available_now=True))
-    progress = runlog.topic_progress(spark, running)
-    return progress.groupBy("topic").agg(F.sum("num_input_rows").alias("messages"))
+    """What all streams report about themselves, written down batch by batch while they run."""
+    log = runlog.ProgressLog(spark, new_folder(spark, "progress"))
+    spark.streams.addListener(log)
+    try:
+        root = new_folder(spark, "silver")
+        for topic, feed in d.FEEDS.items():
+            folder = written_feed(spark, feed(spark, sf_dir), topic)
+            log.wait(drain(topics.stream_topic(spark, topic, root, text_stream(folder), available_now=True)))
+    finally:
+        spark.streams.removeListener(log)
+    return runlog.topic_progress(spark, log.path).groupBy("name").agg(F.sum("num_input_rows").alias("messages"))
+
+
+@query(o.sql(ALL_EVENTS, """
+select 'transactions' as table_name, count(*) as rows, count(distinct order_id) as keys from orders_ev
+union all select 'customers', count(*), count(distinct customer_id) from customer_ev
+union all select 'products', count(*), count(distinct product_id) from product_ev
+union all select 'sensors', count(*), count(distinct reading_id) from raw_readings where event_ts is not null
+union all select 'financial', count(*), count(distinct trade_id) from trade_ev where event_type = 'trade_executed'
+union all select 'social', count(*), count(distinct post_id) from post_ev"""))
+def stream_all_topics(spark, sf_dir):
+    """All streams at once: rows and keys of every table."""
+    root, parts = all_streamed(spark, sf_dir), []
+    for entity in ENTITIES.values():
+        parts.append(layers.read_streamed(spark, root, entity.name).agg(
+            F.lit(entity.name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.count_distinct(entity.key).alias("keys")))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
 
 
-@query(o.sql(ONE_MONTH, f"""{LATEST_ORDER},
+@query(o.sql(o.TRADING, f"select {TRADE_COLUMNS} from fact_trades"))
+def gold_from_stream(spark, sf_dir):
+    """Messages → stream → silver → fact: half of the trades gathered into silver, the other half still where
+    the stream put them, and some messages delivered in both."""
+    streamed, stored = new_folder(spark, "stream"), new_folder(spark, "silver")
+    feed = d.trade_feed(spark, sf_dir)
+    kind = F.crc32("value") % 4
+    folder = written_feed(spark, feed.filter(kind < 3), "financial")
+    drain(topics.stream_topic(spark, "financial", streamed, text_stream(folder), available_now=True))
+    topics.gather_streamed(spark, streamed, stored, "financial")
+    feed.filter(kind > 1).write.mode("append").text(folder)
+    drain(topics.stream_topic(spark, "financial", streamed, text_stream(folder), available_now=True))
+    rows = layers.read_silver(spark, stored, "financial").unionByName(layers.read_streamed(spark, streamed, "financial"))
+    return comparable(gold.build_fact("fact_trades", rows))
+
+
+@query(o.sql(TRANSACTIONS, f"""{LATEST_ORDER},
 revenue as (
   select cast(strftime(event_ts, '%Y%m%d') as int) as date_key, cast(event_ts as date) as full_date,
     coalesce(region, 'unknown') as region, coalesce(category, 'unknown') as category, count(*) as total_orders,
@@ -713,8 +826,7 @@ def medallion_daily_revenue(spark, sf_dir):
     """Messages → raw files → silver → gold → mart, through every layer on disk."""
     lake = medallion.Lake(*[new_folder(spark, layer) for layer in ("bronze", "silver", "gold")])
     arrived = F.lit("2024-02-01 07:30:00").cast("timestamp")
-    feeds = d.FEEDS | {"transactions": d.one_month_feed}
-    for topic, feed in feeds.items():
+    for topic, feed in d.FEEDS.items():
         folder = written_feed(spark, feed(spark, sf_dir), topic)
         drain(landing.land_bronze(read_events(spark, topic, text_stream(folder)), topic, lake.bronze,
                                   f"{lake.bronze}/_checkpoints/{topic}", True, arrived))
@@ -812,21 +924,26 @@ def run_log(spark, sf_dir):
 def _landed(spark, sf_dir):
     root = new_folder(spark, "bronze")
     arrived = F.lit("2024-02-01 07:30:00").cast("timestamp")
-    for topic in ("financial", "social"):
-        folder = written_feed(spark, d.FEEDS[topic](spark, sf_dir), topic)
+    for topic, feed in d.FEEDS.items():
+        folder = written_feed(spark, feed(spark, sf_dir), topic)
         drain(landing.land_bronze(read_events(spark, topic, text_stream(folder)), topic, root,
                                   f"{root}/_checkpoints/{topic}", True, arrived))
     return root
 
 
-@query()
+@query(o.sql(ALL_EVENTS, f"""
+, messages as ({MESSAGES})
+select replace(name, 'silver_', '') as source, messages as rows, true as has_files, true as has_bytes from messages"""))
 def layer_stats(spark, sf_dir):
-    return runlog.layer_stats(spark, _landed(spark, sf_dir))
-
-
-@query()
-def discover_layer(spark, sf_dir):
-    return layers.discover_layer(spark, _landed(spark, sf_dir))
+    """Files, bytes and rows of every source of the raw layer."""
+    root, parts = _landed(spark, sf_dir), []
+    for topic in TOPICS:
+        parts.append(layers.read_bronze(spark, root, topic, "2024-02-01").agg(
+            F.lit(topic).alias("source"), F.count(F.lit(1)).alias("rows")))
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    stats = runlog.layer_stats(spark, root)
+    return rows.join(stats, "source").select("source", "rows", (F.col("files") > 0).alias("has_files"),
+                                             (F.col("size_bytes") > 0).alias("has_bytes"))
 
 
 # ---------------------------------------------------------------- insight log
@@ -852,7 +969,8 @@ def insight_log(spark, sf_dir):
     for kind in ("text2sql", "insight"):
         rows = insights_of(spark, sf_dir).filter(F.col("query_type") == kind)
         sinks.append_log(rows, path, WAREHOUSE["llm_insights"])
-    return comparable(spark.read.parquet(path).drop("generated_sql"))
+    stored = layers.read_warehouse(spark, path.rsplit("/", 1)[0], "llm_insights")
+    return comparable(stored.drop("generated_sql"))
 
 
 # ---------------------------------------------------------------- reports

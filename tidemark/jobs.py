@@ -1,7 +1,7 @@
 """The jobs as commands: ``spark-submit tidemark/jobs.py <job> …`` or ``python -m tidemark.jobs <job> …``.
 
-``--lake`` is a folder every executor reaches. Below it: ``bronze``, ``silver``,
-``gold``, ``warehouse``, ``marts``.
+``--lake`` is a folder every executor reaches. Below it: ``bronze``, ``quarantine``, ``silver``,
+``silver_stream``, ``gold``, ``warehouse``, ``marts``, ``progress`` and the log ``pipeline_runs``.
 """
 
 from __future__ import annotations
@@ -11,61 +11,122 @@ from collections.abc import Sequence
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators import maintenance, quality, sinks
-from tidemark.plans import gold, medallion, refresh, silver
-from tidemark.schemas import TOPICS, WAREHOUSE
+from tidemark.operators import maintenance, quality, runlog, sinks
+from tidemark.plans import gold, marts, refresh, silver, staging
+from tidemark.schemas import ENTITIES, TOPICS, WAREHOUSE
 from tidemark.session import build_session, configure
+from tidemark.sources import seeds
 from tidemark.sources.events import read_events
-from tidemark.sources.layers import read_gold_partition
+from tidemark.sources.layers import read_warehouse
 from tidemark.streaming import landing, topics
 
-AGGREGATES = ("agg_daily_revenue", "agg_hourly_sensor", "agg_trading_volume")
+PARTITIONED = tuple(t for t in WAREHOUSE.values() if t.partition_format)
 
 
-def warehouse_tables(spark: SparkSession, lake: str, names: Sequence[str]) -> dict[str, DataFrame]:
-    return {n: read_gold_partition(spark, f"{lake}/warehouse", n) for n in names}
+def runs_path(lake: str) -> str:
+    return f"{lake}/pipeline_runs"
+
+
+def topic_options(options: dict[str, str], topic: str) -> dict[str, str]:
+    """Source options of one topic; ``{topic}`` in a value stands for its name."""
+    return {k: v.replace("{topic}", topic) for k, v in options.items()}
+
+
+def _logged_streams(spark: SparkSession, lake: str, stage: str, available_now: bool, start) -> None:
+    """Run streams with their progress logged; their batches become rows of the run log when they end."""
+    log = runlog.ProgressLog(spark, f"{lake}/progress/{stage}")
+    spark.streams.addListener(log)
+    started: list[StreamingQuery] = []
+    try:
+        started += start()
+        for query in started:
+            if available_now:
+                query.awaitTermination()
+        if not available_now:
+            spark.streams.awaitAnyTermination()
+    finally:
+        for query in started:
+            if query.isActive:
+                query.stop()
+            log.wait(query)
+        spark.streams.removeListener(log)
+        if sinks.path_exists(spark, log.path):
+            runlog.record_stream_runs(spark, runs_path(lake), log.path, stage)
 
 
 def land(spark: SparkSession, lake: str, options: dict[str, str], available_now: bool) -> None:
-    """Every topic to raw files."""
-    started = [
-        landing.land_bronze(read_events(spark, topic, options), topic, f"{lake}/bronze",
-                            f"{lake}/checkpoints/bronze/{topic}", available_now)
+    """Every topic to raw files, what is wrong with messages to the quarantine."""
+    _logged_streams(spark, lake, "bronze", available_now, lambda: [
+        landing.land_bronze(read_events(spark, topic, topic_options(options, topic)), topic, f"{lake}/bronze",
+                            f"{lake}/checkpoints/bronze/{topic}", available_now, bad_root=f"{lake}/quarantine")
         for topic in TOPICS
-    ]
-    if available_now:
-        for query in started:
-            query.awaitTermination()
-    else:
-        spark.streams.awaitAnyTermination()
+    ])
 
 
 def stream(spark: SparkSession, lake: str, options: dict[str, str], available_now: bool) -> None:
-    """Every topic to typed tables, next to (not inside) the batch silver layer."""
-    topics.run_all(spark, f"{lake}/silver_stream", dict.fromkeys(TOPICS, options), available_now)
+    """Every topic to typed tables, next to (not inside) the batch silver layer; ``gather`` moves them there."""
+    _logged_streams(spark, lake, "silver", available_now, lambda: [
+        topics.stream_topic(spark, topic, f"{lake}/silver_stream", topic_options(options, topic), available_now)
+        for topic in TOPICS
+    ])
+
 
+def gather(spark: SparkSession, lake: str) -> None:
+    for table in ENTITIES:
+        topics.gather_streamed(spark, f"{lake}/silver_stream", f"{lake}/silver", table)
 
-def marts(spark: SparkSession, lake: str) -> None:
+
+def init(spark: SparkSession, lake: str) -> None:
+    """Store the two fixed dimensions and declare the warehouse tables; what is there stays."""
+    for name, rows in (("dim_date", seeds.date_dimension(spark)), ("dim_sensor_location", seeds.seed_sensor_locations(spark))):
+        if not sinks.path_exists(spark, f"{lake}/warehouse/{name}"):
+            sinks.load_dim(rows.coalesce(1), f"{lake}/warehouse", name)
+    for table in WAREHOUSE.values():
+        parts = table.partitions if table.partition_format else ()
+        sinks.ensure_table(spark, table.name, table.stored_schema if parts else table.schema, parts, f"{lake}/warehouse/{table.name}")
+
+
+def build_marts(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
+    def table(name: str) -> DataFrame:
+        return read_warehouse(spark, f"{lake}/warehouse", name)
+
+    daily = marts.int_daily_revenue(staging.stg_sales(table("fact_sales")), table("dim_product"), table("dim_customer"))
+    anomalies = marts.int_sensor_anomalies(staging.stg_sensors(table("fact_sensor_readings")))
+    return {
+        "agg_daily_revenue": marts.agg_daily_revenue(daily),
+        "agg_hourly_sensor": marts.agg_hourly_sensor(anomalies),
+        "agg_trading_volume": marts.agg_trading_volume(staging.stg_trades(table("fact_trades"))),
+    }
+
+
+def rebuild_marts(spark: SparkSession, lake: str, run: runlog.Run) -> None:
     """Check the loaded facts, then rebuild the three marts; a failed check fails the job."""
-    quality.require_passed(quality.run_checks(warehouse_tables(spark, lake, list(quality.CHECKS))))
-    layers = medallion.Lake(f"{lake}/bronze", f"{lake}/silver", f"{lake}/warehouse")
-    for name, mart in medallion.build_marts(spark, layers).items():
-        sinks.write_gold_dim(mart, f"{lake}/marts", name)
+    quality.require_passed(quality.run_checks({n: read_warehouse(spark, f"{lake}/warehouse", n) for n in quality.CHECKS}))
+    for name, mart in build_marts(spark, lake).items():
+        sinks.write_gold_dim(run.writing(mart), f"{lake}/marts", name)
 
 
 def refresh_aggregates(spark: SparkSession, lake: str, as_of: datetime) -> None:
-    facts = warehouse_tables(spark, lake, ["fact_sales", "fact_sensor_readings", "fact_trades",
-                                           "dim_customer", "dim_product"])
+    """Only the slices of the window are listed and read."""
+    since = {"fact_sales": refresh.day_cutoff(as_of), "fact_trades": refresh.day_cutoff(as_of),
+             "fact_sensor_readings": refresh.hour_cutoff(as_of), "dim_customer": None, "dim_product": None}
+    facts = {name: read_warehouse(spark, f"{lake}/warehouse", name, start) for name, start in since.items()}
     refresh.refresh_aggregates(spark, facts, f"{lake}/warehouse", as_of)
 
 
-def optimize(spark: SparkSession, lake: str, target: str) -> None:
-    """Collapse the stored aggregates into a new folder."""
-    for name in AGGREGATES:
-        table = WAREHOUSE[name]
-        stored = spark.read.schema(table.schema).parquet(f"{lake}/warehouse/{name}")
-        maintenance.store_table(maintenance.compacted(stored, table), target, table)
+def optimize(spark: SparkSession, lake: str) -> None:
+    """Rewrite slices of many files in place; aggregates are collapsed on the way."""
+    for table in PARTITIONED:
+        maintenance.optimize_table(spark, f"{lake}/warehouse", table)
+
+
+def expire(spark: SparkSession, lake: str, as_of: datetime) -> None:
+    """Remove raw days, fact days and log days past their time."""
+    maintenance.expire_bronze(spark, f"{lake}/bronze", as_of)
+    for table in PARTITIONED:
+        maintenance.expire_table(spark, f"{lake}/warehouse", table, as_of)
 
 
 def key_values(pairs: Sequence[str]) -> dict[str, str]:
@@ -94,8 +155,10 @@ def parser() -> argparse.ArgumentParser:
     job("marts", "check the facts, rebuild the marts")
     job("refresh", "rebuild the newest days and hours of the aggregates").add_argument(
         "--as-of", type=datetime.fromisoformat, default=datetime.now(timezone.utc))
-    job("optimize", "collapse the aggregates into a new folder").add_argument("--target", required=True)
-    job("expire", "remove raw days past their time").add_argument(
+    job("gather", "streamed batches into the silver tables")
+    job("init", "fixed dimensions and table declarations")
+    job("optimize", "rewrite slices of many files")
+    job("expire", "remove raw days, facts and log rows past their time").add_argument(
         "--as-of", type=datetime.fromisoformat, default=datetime.now(timezone.utc))
     return out
 
@@ -104,25 +167,33 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     args = parser().parse_args(arguments)
     spark = configure(spark) if spark else build_session(f"tidemark-{args.job}")
     lake = args.lake.rstrip("/")
-    if args.job == "land":
-        land(spark, lake, key_values(args.option), args.available_now)
-    elif args.job == "stream":
-        stream(spark, lake, key_values(args.option), args.available_now)
-    elif args.job == "silver":
-        silver.bronze_to_silver(spark, f"{lake}/bronze", f"{lake}/silver", args.topic, args.date)
-    elif args.job == "gold":
-        gold.silver_to_gold(spark, f"{lake}/silver", f"{lake}/gold", args.date)
-    elif args.job == "load":
-        key = int(args.date.strftime("%Y%m%d"))
-        gold.gold_to_warehouse(spark, f"{lake}/gold", f"{lake}/warehouse", key)
-    elif args.job == "marts":
-        marts(spark, lake)
-    elif args.job == "refresh":
-        refresh_aggregates(spark, lake, args.as_of)
-    elif args.job == "optimize":
-        optimize(spark, lake, args.target)
-    elif args.job == "expire":
-        maintenance.expire_bronze(spark, f"{lake}/bronze", args.as_of)
+    if args.job in ("land", "stream"):  # every micro-batch is a run of its own
+        {"land": land, "stream": stream}[args.job](spark, lake, key_values(args.option), args.available_now)
+        return
+    with runlog.logged_run(spark, runs_path(lake), args.job, STAGE_OF[args.job]) as run:
+        if args.job == "silver":
+            silver.bronze_to_silver(spark, f"{lake}/bronze", f"{lake}/silver", args.topic, args.date, run.writing)
+        elif args.job == "gold":
+            gold.silver_to_gold(spark, f"{lake}/silver", f"{lake}/gold", args.date, f"{lake}/silver_stream", run.writing)
+        elif args.job == "load":
+            key = int(args.date.strftime("%Y%m%d"))
+            gold.gold_to_warehouse(spark, f"{lake}/gold", f"{lake}/warehouse", key, run.writing)
+        elif args.job == "marts":
+            rebuild_marts(spark, lake, run)
+        elif args.job == "refresh":
+            refresh_aggregates(spark, lake, args.as_of)
+        elif args.job == "gather":
+            gather(spark, lake)
+        elif args.job == "init":
+            init(spark, lake)
+        elif args.job == "optimize":
+            optimize(spark, lake)
+        elif args.job == "expire":
+            expire(spark, lake, args.as_of)
+
+
+STAGE_OF = {"silver": "silver", "gather": "silver", "gold": "gold", "load": "warehouse", "init": "warehouse",
+            "optimize": "warehouse", "expire": "warehouse", "marts": "marts", "refresh": "marts"}
 
 
 if __name__ == "__main__":

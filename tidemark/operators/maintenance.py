@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
@@ -9,8 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.casting import project_to
 from tidemark.functions.dates import as_instant, literal, years_before
-from tidemark.operators.sinks import partition_folders, remove_folder
+from tidemark.operators.sinks import (
+    count_files,
+    move_folder,
+    partition_folders,
+    path_exists,
+    remove_folder,
+    slice_folders,
+    stored_layout,
+)
 from tidemark.schemas import BRONZE_KEEP_DAYS, Table
 
 
@@ -56,13 +66,13 @@ def compacted(df: DataFrame, table: Table) -> DataFrame:
 
 def apply_retention(df: DataFrame, time_col: str, interval: Mapping[str, int], as_of: datetime) -> DataFrame:
     """Rows still inside their time to live; an empty interval keeps everything."""
-    if not interval:
-        return df
+    return df.filter(F.col(time_col) > literal(retention_limit(interval, as_of))) if interval else df
+
+
+def retention_limit(interval: Mapping[str, int], as_of: datetime) -> datetime:
     if "years" in interval:
-        limit = years_before(as_of, interval["years"])
-    else:
-        limit = as_instant(as_of) - timedelta(**interval)
-    return df.filter(F.col(time_col) > literal(limit))
+        return years_before(as_of, interval["years"])
+    return as_instant(as_of) - timedelta(**interval)
 
 
 def retained(df: DataFrame, table: Table, as_of: datetime) -> DataFrame:
@@ -96,23 +106,76 @@ def compact_table(spark: SparkSession, source: str, target: str, partition_by: S
     return target
 
 
-def cluster_write(df: DataFrame, path: str, partition_expr: Column, sort_cols: Sequence[str],
-                  partition_name: str = "_p") -> str:
-    """Partition by month or day and keep rows in sort-key order inside the files.
+def cluster_write(df: DataFrame, path: str, partition_by: Sequence[str], sort_cols: Sequence[str]) -> str:
+    """Partition by stored columns and keep rows in sort-key order inside the files.
 
-    The range split ends with the number of the reading task, so rows with one and the
-    same sort key, even exact copies, can still be spread over several tasks. A retried
-    task has the same number and places its rows as before.
+    REBALANCE gathers the rows of a partition and splits one that is too big for a task, also if all its
+    rows have one sort key; the input is computed once.
     """
-    keyed = df.withColumn(partition_name, partition_expr)
-    spread = keyed.withColumn("_salt", F.spark_partition_id())
-    ordered = (spread.repartitionByRange(partition_name, *sort_cols, "_salt")
-               .sortWithinPartitions(partition_name, *sort_cols).drop("_salt"))
-    ordered.write.mode("overwrite").partitionBy(partition_name).parquet(path)
+    ordered = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_cols)
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
     return path
 
 
 def store_table(df: DataFrame, root: str, table: Table) -> str:
-    """``cluster_write`` with the partition and order the table declares."""
-    part = F.date_format(table.time_column, table.partition_format)
-    return cluster_write(df, f"{root}/{table.name}", part, table.order_by)
+    """A whole warehouse table with the partitions and order that it declares."""
+    placed = stored_layout(project_to(df, table.schema, {"_loaded_at": F.current_timestamp()}), table)
+    return cluster_write(placed, f"{root}/{table.name}", table.partitions, table.order_by)
+
+
+def expire_table(spark: SparkSession, root: str, table: Table, as_of: datetime) -> list[str]:
+    """Remove the slices of a stored table whose time to live has passed whole; returns what was removed."""
+    if not table.keep:
+        return []
+    limit = int(retention_limit(table.keep, as_of).strftime("%Y%m%d"))
+    removed = [f for f in slice_folders(spark, f"{root}/{table.name}", table) if int(f.rsplit("=", 1)[1][:8]) < limit]
+    for folder in removed:
+        remove_folder(spark, folder)
+    return removed
+
+
+_OLD = ".old-"
+
+
+def finish_swaps(spark: SparkSession, path: str, table: Table) -> None:
+    """After a run that died while it swapped folders: bring back a slice whose new one did not arrive."""
+    if not path_exists(spark, path):
+        return
+    for folder in partition_folders(spark, path, f"_p=*/{_OLD}*"):
+        parent, name = folder.rsplit("/", 1)
+        target = f"{parent}/{name.removeprefix(_OLD)}"
+        if path_exists(spark, target):
+            remove_folder(spark, folder)
+        else:
+            move_folder(spark, folder, target)
+    for folder in partition_folders(spark, path, ".compact-*"):
+        remove_folder(spark, folder)
+
+
+def optimize_table(spark: SparkSession, root: str, table: Table) -> list[str]:
+    """Rewrite the slices of a stored table that hold several files, and switch to the new ones.
+
+    All such slices are read and written by one job into a folder that readers pass over; aggregates are
+    collapsed on the way. Then each old slice is renamed aside, the new one renamed in place and the old one
+    removed. ``finish_swaps`` repairs what a run left that died in between. Returns the rewritten slices.
+    """
+    path = f"{root}/{table.name}"
+    finish_swaps(spark, path, table)
+    many = [f for f in slice_folders(spark, path, table) if count_files(spark, f) > 1]
+    if not many:
+        return []
+    rows = spark.read.schema(table.stored_schema).option("basePath", path).parquet(*many).select(table.schema.names)
+    if table.additive:
+        rows = compacted(rows, table)
+    staged = f"{path}/.compact-{uuid.uuid4().hex}"
+    cluster_write(stored_layout(rows, table), staged, table.partitions, table.order_by)
+    rewritten = []
+    for new in partition_folders(spark, staged, f"_p=*/{table.slice_column}=*"):
+        month, name = new.rsplit("/", 2)[1:]
+        target, aside = f"{path}/{month}/{name}", f"{path}/{month}/{_OLD}{name}"
+        move_folder(spark, target, aside)
+        move_folder(spark, new, target)
+        remove_folder(spark, aside)
+        rewritten.append(target)
+    remove_folder(spark, staged)
+    return rewritten

@@ -2,84 +2,144 @@
 
 from __future__ import annotations
 
+import json
+import threading
 import uuid
-from collections.abc import Callable
-from datetime import datetime, timedelta, timezone
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tidemark.operators.sinks import append_log
+from tidemark.operators.sinks import append_log, observed, path_exists, write_text
 from tidemark.schemas import WAREHOUSE
 
 RUNS = WAREHOUSE["pipeline_runs"]
 
 
-def record_run(spark: SparkSession, log_path: str, job: str, stage: str, source: DataFrame,
-               transform: Callable[[DataFrame], DataFrame], sink: Callable[[DataFrame], object]) -> dict:
-    """Run source → transform → sink and log rows read, rows written, times and outcome.
+class Run:
+    """Counts the rows that a run reads and writes while the run's own jobs pass over them."""
 
-    Rows are counted by the job itself while it writes: no second pass.
-    """
-    read, written = Observation(), Observation()
+    def __init__(self):
+        self._seen: dict[str, list[Observation]] = {"rows_read": [], "rows_written": []}
+
+    def _counted(self, df: DataFrame, what: str) -> DataFrame:
+        observation = Observation()
+        self._seen[what].append(observation)
+        return df.observe(observation, F.count(F.lit(1)).alias("rows"))
+
+    def reading(self, df: DataFrame) -> DataFrame:
+        return self._counted(df, "rows_read")
+
+    def writing(self, df: DataFrame) -> DataFrame:
+        return self._counted(df, "rows_written")
+
+    def counts(self, seconds: float) -> dict[str, int]:
+        """Sums of what was counted. Raises if a counted frame was never computed."""
+        return {what: sum(observed(o, "rows", seconds) or 0 for o in seen) for what, seen in self._seen.items()}
+
+
+@contextmanager
+def logged_run(spark: SparkSession, log_path: str, job: str, stage: str, seconds: float = 30) -> Iterator[Run]:
+    """Log one run of a job: rows, times and outcome; an error is logged and raised again."""
+    run = Run()
     row = {"run_id": str(uuid.uuid4()), "dag_id": job, "stage": stage, "status": "running",
            "rows_read": 0, "rows_written": 0, "started_at": datetime.now(timezone.utc),
            "finished_at": None, "error_msg": None, "_loaded_at": None}
-    counter = F.count(F.lit(1)).alias("rows")
     try:
-        sink(transform(source.observe(read, counter)).observe(written, counter))
-        row.update(status="success", rows_read=read.get.get("rows", 0),
-                   rows_written=written.get.get("rows", 0))
+        yield run
+        row.update(status="success", **run.counts(seconds))
     except Exception as error:
         row.update(status="failed", error_msg=str(error))
         raise
     finally:
         row["finished_at"] = row["_loaded_at"] = datetime.now(timezone.utc)
         append_log(spark.createDataFrame([row], RUNS.schema), log_path, RUNS)
-    return row
 
 
-def record_stream_runs(spark: SparkSession, log_path: str, job: str, stage: str, query: StreamingQuery) -> int:
-    """Log every recent micro-batch of a stream as a run; returns the number of rows added.
+def record_run(spark: SparkSession, log_path: str, job: str, stage: str, source: DataFrame,
+               transform: Callable[[DataFrame], DataFrame], sink: Callable[[DataFrame], object],
+               seconds: float = 30) -> None:
+    """Run source → transform → sink as a ``logged_run``: no second pass to count."""
+    with logged_run(spark, log_path, job, stage, seconds) as run:
+        sink(run.writing(transform(run.reading(source))))
 
-    ``rows_written`` is zero where the sink does not count (files, foreachBatch).
+
+PROGRESS_DDL = ("name string, run_id string, batch_id bigint, started_at timestamp, milliseconds bigint, "
+                "rows_read bigint, rows_written bigint, "
+                "sources array<struct<source:string,start_offset:string,end_offset:string,rows:bigint>>")
+
+
+class ProgressLog(StreamingQueryListener):
+    """Writes every progress event of every stream to a folder when it happens.
+
+    Spark itself remembers a bounded number of events. An event owns the file named by its stream, run and
+    batch, so one that is reported twice is there once. Register it with ``spark.streams.addListener``.
     """
-    failure = query.exception()
-    rows = []
-    for batch in query.recentProgress:
-        started = datetime.fromisoformat(batch["timestamp"])
-        length = timedelta(milliseconds=batch["durationMs"].get("triggerExecution", 0))
-        rows.append({
-            "run_id": f"{batch['runId']}-{batch['batchId']}", "dag_id": job, "stage": stage, "status": "success",
-            "rows_read": int(batch["numInputRows"]), "rows_written": max(0, int(batch["sink"]["numOutputRows"])),
-            "started_at": started, "finished_at": started + length, "error_msg": None,
-            "_loaded_at": datetime.now(timezone.utc)})
-    if failure is not None:
-        now = datetime.now(timezone.utc)
-        rows.append({
-            "run_id": f"{query.runId}-failed", "dag_id": job, "stage": stage, "status": "failed", "rows_read": 0,
-            "rows_written": 0, "started_at": now, "finished_at": now, "error_msg": str(failure), "_loaded_at": now})
-    if rows:
-        append_log(spark.createDataFrame(rows, RUNS.schema), log_path, RUNS)
-    return len(rows)
-
-
-def topic_progress(spark: SparkSession, queries: dict[str, StreamingQuery]) -> DataFrame:
-    """Batches of each running stream: rows taken and the offsets reached, per source.
-
-    Spark keeps a bounded number of recent batches per query.
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self._ended: dict[str, threading.Event] = {}
+
+    def _end(self, run_id: str) -> threading.Event:
+        return self._ended.setdefault(run_id, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self._end(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        batch = json.loads(event.progress.json)
+        row = {
+            "name": batch.get("name"), "run_id": batch["runId"], "batch_id": batch["batchId"], "started_at": batch["timestamp"],
+            "milliseconds": batch["durationMs"].get("triggerExecution", 0),
+            "rows_read": sum(s["numInputRows"] for s in batch["sources"]),
+            "rows_written": max(0, batch["sink"].get("numOutputRows", 0)),
+            "sources": [{"source": s["description"], "start_offset": _text(s.get("startOffset")),
+                         "end_offset": _text(s.get("endOffset")), "rows": s["numInputRows"]} for s in batch["sources"]],
+        }
+        write_text(self.spark, f"{self.path}/{batch['runId']}-{batch['batchId']}.json", json.dumps(row) + "\n")
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def wait(self, query: StreamingQuery, seconds: float = 30) -> None:
+        """Until all events of a stream that has ended are written; they come in order, its end last."""
+        if not self._end(str(query.runId)).wait(seconds):
+            raise TimeoutError(f"the end of stream {query.name} was not reported")
+
+
+def _text(offset: object) -> str | None:
+    return offset if offset is None or isinstance(offset, str) else json.dumps(offset)
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(PROGRESS_DDL).json(path)
+
+
+def topic_progress(spark: SparkSession, path: str) -> DataFrame:
+    """Batches of every logged stream: rows taken and the offsets reached, per source."""
+    return read_progress(spark, path).select("name", "run_id", "batch_id", F.explode("sources").alias("s")).select(
+        "name", "run_id", "batch_id", "s.source", "s.start_offset", "s.end_offset", F.col("s.rows").alias("num_input_rows"))
+
+
+def record_stream_runs(spark: SparkSession, log_path: str, progress_path: str, stage: str) -> None:
+    """Add the micro-batches of the progress log to the run log; those it already has are left out.
+
+    ``rows_written`` is zero where the sink does not count (files, foreachBatch).
     """
-    rows = []
-    for topic, query in queries.items():
-        for batch in query.recentProgress:
-            for source in batch["sources"]:
-                rows.append((topic, int(batch["batchId"]), source["description"],
-                             str(source["startOffset"]), str(source["endOffset"]),
-                             int(source["numInputRows"])))
-    return spark.createDataFrame(
-        rows, "topic string, batch_id bigint, source string, start_offset string, "
-              "end_offset string, num_input_rows bigint")
+    seconds = F.col("milliseconds") / 1000
+    batches = read_progress(spark, progress_path).select(
+        F.concat_ws("-", "run_id", "batch_id").alias("run_id"), F.col("name").alias("dag_id"), F.lit(stage).alias("stage"),
+        F.lit("success").alias("status"), "rows_read", "rows_written", "started_at",
+        (F.col("started_at") + F.make_dt_interval(secs=seconds)).alias("finished_at"), F.current_timestamp().alias("_loaded_at"))
+    if path_exists(spark, log_path):
+        batches = batches.join(spark.read.schema(RUNS.schema).parquet(log_path).select("run_id"), "run_id", "left_anti")
+    append_log(batches, log_path, RUNS)
 
 
 def layer_stats(spark: SparkSession, root: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.casting import project_to
-from tidemark.functions.dates import literal
-from tidemark.schemas import DAY_COLUMNS, WAREHOUSE, Table
+from tidemark.functions.dates import as_instant, literal
+from tidemark.schemas import DAY_COLUMNS, ENTITIES, WAREHOUSE, Table
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -34,6 +35,29 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; the target must not exist."""
+    source_path, fs = _file_system(spark, source)
+    if not fs.rename(source_path, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file, replaced whole; no Spark job."""
+    hadoop, fs = _file_system(spark, path)
+    out = fs.create(hadoop, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def count_files(spark: SparkSession, folder: str) -> int:
+    """Data files of one partition folder."""
+    path, fs = _file_system(spark, folder)
+    return sum(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(path))
+
+
 def replace_folder(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Static overwrite of one folder; also right when ``df`` is empty."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -41,21 +65,42 @@ def replace_folder(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
 
 
 def write_silver(df: DataFrame, root: str, table: str, batch_id: str) -> str:
-    """Store one batch under ``_batch_id=…/_year=…/_month=…/_day=…``.
-
-    A batch is one raw day; its rows may belong to other event days. Replacing the
-    batch folder makes a second run of the batch replace the first one, and never
-    touches rows of the same event day that another batch brought. De-duplication
-    left the rows hashed by key; REBALANCE gathers them by day (and splits a day that
-    is too big for one task), so a backlog of many days does not become a file per
-    day and task.
+    """Store one batch: events under ``_year=…/_month=…/_day=…/_batch_id=…``, dimensions under ``_batch_id=…``.
+
+    A batch is one raw day; its rows may belong to other event days. A second run of the
+    batch replaces the first one, also where the first one had days that the second has not,
+    and never touches rows of the same event day that another batch brought. The day stands
+    outermost, so reading a day lists that day only. De-duplication left the rows hashed by
+    key; REBALANCE gathers them by day (and splits a day that is too big for one task), so a
+    backlog of many days does not become a file per day and task.
     """
-    target = f"{root}/{table}"
-    gathered = df.drop("_batch_id").hint("rebalance", *DAY_COLUMNS)
-    replace_folder(gathered, f"{target}/_batch_id={batch_id}", DAY_COLUMNS)
+    entity, target, spark = ENTITIES[table], f"{root}/{table}", df.sparkSession
+    rows = df.withColumn("_batch_id", F.lit(batch_id))
+    if entity.dimension:
+        replace_folder(rows.drop("_batch_id").hint("rebalance"), f"{target}/_batch_id={batch_id}")
+        return target
+    # A batch spans a bounded number of days, so their names fit in one set.
+    days, written = F.struct(*DAY_COLUMNS), Observation()
+    (rows.hint("rebalance", *DAY_COLUMNS).observe(written, F.collect_set(days).alias("days")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*entity.partitions).parquet(target))
+    filled = {tuple(day) for day in observed(written, "days") or ()}
+    for folder in partition_folders(spark, target, f"_year=*/_month=*/_day=*/_batch_id={batch_id}"):
+        if tuple(int(p.split("=")[1]) for p in folder.split("/")[-4:-1]) not in filled:
+            remove_folder(spark, folder)
     return target
 
 
+def observed(observation: Observation, name: str, seconds: float = 30):
+    """A metric of a job that has ended. Waits a little for it to arrive; raises if no job computed it."""
+    found: list = []
+    waiting = threading.Thread(target=lambda: found.append(observation.get.get(name)), daemon=True)
+    waiting.start()
+    waiting.join(seconds)
+    if not found:
+        raise RuntimeError("an observed frame was not computed: the sink ran no action")
+    return found[0]
+
+
 def write_gold_fact(df: DataFrame, root: str, table: str, partition_col: str = "date_key",
                     many_days: bool = False) -> str:
     """Replace the partitions ``df`` has rows for; all others stay.
@@ -78,12 +123,26 @@ def write_gold_dim(df: DataFrame, root: str, table: str) -> str:
     return target
 
 
+def stored_layout(df: DataFrame, table: Table) -> DataFrame:
+    """Rows with the partition columns of a warehouse table, in the order of its sort key."""
+    time = F.col(table.time_column)
+    placed = df.withColumn("_p", F.date_format(time, table.partition_format).cast("int"))
+    if table.slice_format:
+        placed = placed.withColumn("_s", F.date_format(time, table.slice_format).cast("int"))
+    return placed.sortWithinPartitions(*table.partitions, *table.order_by)
+
+
 def load_fact(df: DataFrame, root: str, table: str, date_key: int) -> str:
-    """Replace one date_key of a warehouse fact, also by nothing; columns go by name."""
-    target = f"{root}/{table}"
+    """Replace one date_key of a warehouse fact, also by nothing; columns go by name.
+
+    The day stands in its month (or day) partition, its rows in the order of the declared key.
+    """
+    spec, target = WAREHOUSE[table], f"{root}/{table}"
     rows = df.filter(F.col("date_key") == date_key)
-    rows = project_to(rows, WAREHOUSE[table].schema, {"_loaded_at": F.current_timestamp()})
-    replace_folder(rows.drop("date_key"), f"{target}/date_key={date_key}")
+    rows = project_to(rows, spec.schema, {"_loaded_at": F.current_timestamp()})
+    part = str(date_key)[:len(spec.partition_format)]
+    rows = rows.drop("date_key").sortWithinPartitions(*[c for c in spec.order_by if c != "date_key"])
+    replace_folder(rows, f"{target}/_p={part}/date_key={date_key}")
     return target
 
 
@@ -100,39 +159,39 @@ def rebuild_window(current: DataFrame, fresh: DataFrame, time_col: str, cutoff:
 
 
 def write_window(spark: SparkSession, fresh: DataFrame, root: str, table: Table, cutoff: datetime | date) -> str:
-    """``rebuild_window`` on a stored aggregate partitioned by ``_p`` (month or day).
+    """``rebuild_window`` on a stored aggregate: the slices (days or hours) from the cut-off on are replaced.
 
-    Only partitions from the cut-off on are rewritten. A partition in the window that
-    has no rows any more is removed. Spark stages a dynamic overwrite and moves it in
-    place when the job commits, so the kept rows of the first partition may be read
-    from the table itself.
+    The cut-off is the edge of a slice, so nothing that stays is read or written. A slice
+    of the window that has no rows any more is removed. A run that dies between removing
+    old slices and moving new ones in place loses only what the next run computes again.
     """
-    path = f"{root}/{table.name}"
-    part = F.date_format(table.time_column, table.partition_format)
-    first = _partition_name(cutoff, table.partition_format)
+    path, first = f"{root}/{table.name}", slice_key(cutoff, table)
     rows = project_to(fresh, table.schema, {"_computed_at": F.current_timestamp()})
     rows = rows.filter(F.col(table.time_column) >= literal(cutoff))
-    stored = []
-    if path_exists(spark, path):
-        stored = [f for f in partition_folders(spark, path, "_p=*") if f.rsplit("=", 1)[1] >= first]
-    head = [f for f in stored if f.rsplit("=", 1)[1] == first]
-    if head:
-        old = spark.read.schema(table.schema).parquet(*head)
-        rows = old.filter(F.col(table.time_column) < literal(cutoff)).unionByName(rows)
-    # The window spans a bounded number of partitions, so their names fit in one set.
+    # The window spans a bounded number of slices, so their names fit in one set.
     written = Observation()
-    out = rows.withColumn("_p", part).observe(written, F.collect_set("_p").alias("parts"))
+    out = stored_layout(rows, table).observe(written, F.collect_set(table.slice_column).alias("slices"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("_p").parquet(path))
-    filled = set(written.get.get("parts") or ())
-    for folder in stored:
-        if folder.rsplit("=", 1)[1] not in filled:
+     .partitionBy(*table.partitions).parquet(path))
+    filled = set(observed(written, "slices") or ())
+    for folder in slice_folders(spark, path, table):
+        if first <= slice_of(folder) and slice_of(folder) not in filled:
             remove_folder(spark, folder)
     return path
 
 
-def _partition_name(moment: datetime | date, fmt: str) -> str:
-    return moment.strftime({"yyyyMM": "%Y%m", "yyyyMMdd": "%Y%m%d"}[fmt])
+def slice_key(moment: datetime | date, table: Table) -> int:
+    """The slice that holds a moment; as a key, it compares with the keys of other slices."""
+    pattern = {"yyyyMMdd": "%Y%m%d", "yyyyMMddHH": "%Y%m%d%H"}[table.slice_format or "yyyyMMdd"]
+    return int((as_instant(moment) if isinstance(moment, datetime) else moment).strftime(pattern))
+
+
+def slice_folders(spark: SparkSession, path: str, table: Table) -> list[str]:
+    return partition_folders(spark, path, f"_p=*/{table.slice_column}=*") if path_exists(spark, path) else []
+
+
+def slice_of(folder: str) -> int:
+    return int(folder.rsplit("=", 1)[1])
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
@@ -165,6 +224,10 @@ def materialize(df: DataFrame, name: str, kind: str, location: str | None = None
 
 
 def append_log(df: DataFrame, path: str, table: Table) -> str:
-    """Add rows to a log table; columns go by name."""
-    project_to(df, table.schema).write.mode("append").parquet(path)
+    """Add rows to a log table; columns go by name. A log with a time to live is stored by day."""
+    rows = project_to(df, table.schema)
+    if table.partition_format:
+        stored_layout(rows, table).write.mode("append").partitionBy(*table.partitions).parquet(path)
+    else:
+        rows.write.mode("append").parquet(path)
     return path

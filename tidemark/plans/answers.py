@@ -29,18 +29,34 @@ def answer_question(spark: SparkSession, question: str, log_path: str, as_of: da
     asked = spark.createDataFrame([(question,)], "user_query string")
     routed = route_questions(asked, "user_query").first()
     found = run_report(routed.report, tables, as_of) if routed.report else None
-    row = {"insight_id": str(uuid.uuid4()), "query_type": "insight", "user_query": question,
-           "generated_sql": None, "response": routed.response, "model_used": "rules",
-           "latency_ms": int((time.monotonic() - start) * 1000), "created_at": datetime.now(timezone.utc)}
-    append_log(spark.createDataFrame([row], LOG.schema), log_path, LOG)
+    _log(spark, log_path, start, query_type="insight", user_query=question, response=routed.response, model_used="rules")
     return found
 
 
-def run_statement(spark: SparkSession, generated: str) -> DataFrame:
-    """Run generated SQL: the first statement, without fences, and only if it reads."""
+def _log(spark: SparkSession, log_path: str, start: float, **columns: str | None) -> None:
+    row = {"insight_id": str(uuid.uuid4()), "generated_sql": None, "created_at": datetime.now(timezone.utc),
+           "latency_ms": int((time.monotonic() - start) * 1000), **columns}
+    append_log(spark.createDataFrame([row], LOG.schema), log_path, LOG)
+
+
+def run_statement(spark: SparkSession, generated: str, log_path: str | None = None, question: str | None = None,
+                  model: str | None = None) -> DataFrame:
+    """Run generated SQL: the first statement, without fences, and only if it reads.
+
+    With ``log_path`` the question, the statement and the outcome are logged, refused statements too.
+    """
+    start = time.monotonic()
     text = spark.createDataFrame([(generated,)], "generated string")
     row = text.select(clean_sql(F.col("generated")).alias("sql")).withColumn(
         "safe", is_select_only(F.col("sql"))).first()
-    if not row.safe:
-        raise UnsafeStatement(row.sql)
-    return spark.sql(row.sql.removesuffix(";"))
+    outcome, found, error = "refused", None, UnsafeStatement(row.sql)
+    if row.safe:
+        try:
+            found, outcome = spark.sql(row.sql.removesuffix(";")), "ok"
+        except Exception as failure:
+            outcome, error = f"failed: {failure}", failure
+    if log_path is not None:
+        _log(spark, log_path, start, query_type="text2sql", user_query=question, generated_sql=row.sql, response=outcome, model_used=model)
+    if found is None:
+        raise error
+    return found

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date as Date
 from datetime import datetime
 
@@ -13,7 +14,8 @@ from tidemark.functions.keys import surrogate_key
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.sinks import load_dim, load_fact, write_gold_dim, write_gold_fact
 from tidemark.schemas import ENTITIES, WAREHOUSE
-from tidemark.sources.layers import read_gold_partition, read_silver
+from tidemark.schemas import FACT_SOURCES as FACTS
+from tidemark.sources.layers import read_gold_partition, read_silver, read_streamed
 
 Day = str | Date | None
 
@@ -23,15 +25,6 @@ def _stamp(as_of: datetime | None) -> Column:
     return moment.alias("_loaded_at")
 
 
-# Which events feed a fact.
-FACTS = {
-    "fact_sales": "transactions",
-    "fact_sensor_readings": "sensors",
-    "fact_trades": "financial",
-    "fact_social_engagement": "social",
-}
-
-
 def project_fact(name: str, silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """The columns that the registry declares for a fact, one row for each silver row."""
     made = {
@@ -75,26 +68,35 @@ DIMENSIONS = {
 }
 
 
-def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, date: Day) -> list[str]:
-    """All facts of one event day (or of every day) and all dimensions."""
+def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, date: Day,
+                   stream_root: str | None = None, seen: Callable[[DataFrame], DataFrame] = lambda df: df) -> list[str]:
+    """All facts of one event day (or of every day) and all dimensions.
+
+    With ``stream_root``, what the streams have written there is read beside the batch tables; an event that
+    is in both becomes one row. ``seen`` is put around every frame that is written.
+    """
+    def source(table: str, day: Day = None) -> DataFrame:
+        stored = read_silver(spark, silver_root, table, day)
+        return stored.unionByName(read_streamed(spark, stream_root, table, day)) if stream_root else stored
+
     written = [
-        write_gold_fact(build_fact(name, read_silver(spark, silver_root, source, date), date), gold_root, name,
-                        many_days=date is None)
-        for name, source in FACTS.items()
+        write_gold_fact(seen(build_fact(name, source(table, date), date)), gold_root, name, many_days=date is None)
+        for name, table in FACTS.items()
     ]
     return written + [
-        write_gold_dim(build(read_silver(spark, silver_root, source)), gold_root, name)
-        for name, (source, build) in DIMENSIONS.items()
+        write_gold_dim(seen(build(source(table))), gold_root, name)
+        for name, (table, build) in DIMENSIONS.items()
     ]
 
 
-def gold_to_warehouse(spark: SparkSession, gold_root: str, warehouse_root: str, date_key: int) -> list[str]:
+def gold_to_warehouse(spark: SparkSession, gold_root: str, warehouse_root: str, date_key: int,
+                      seen: Callable[[DataFrame], DataFrame] = lambda df: df) -> list[str]:
     """One date_key of every fact and all dimensions, loaded by column name."""
     loaded = [
-        load_fact(read_gold_partition(spark, gold_root, name, date_key), warehouse_root, name, date_key)
+        load_fact(seen(read_gold_partition(spark, gold_root, name, date_key)), warehouse_root, name, date_key)
         for name in FACTS
     ]
     return loaded + [
-        load_dim(read_gold_partition(spark, gold_root, name), warehouse_root, name)
+        load_dim(seen(read_gold_partition(spark, gold_root, name)), warehouse_root, name)
         for name in DIMENSIONS
     ]

@@ -24,6 +24,7 @@ class Entity:
     ddl: str
     event_type: str | None = None
     time_column: str = "event_ts"
+    dimension: bool = False
 
     @property
     def schema(self) -> T.StructType:
@@ -39,6 +40,11 @@ class Entity:
     def silver_schema(self) -> T.StructType:
         return parse_ddl(self.silver_ddl)
 
+    @property
+    def partitions(self) -> tuple[str, ...]:
+        """Folders of the silver table: events by day and batch; dimensions, which are read whole, by batch."""
+        return ("_batch_id",) if self.dimension else (*DAY_COLUMNS, "_batch_id")
+
 
 # Entity columns, types, keys, topics and event type names.
 ENTITIES: dict[str, Entity] = {
@@ -52,13 +58,13 @@ ENTITIES: dict[str, Entity] = {
         ),
         Entity(
             "customers", topic="transactions", key="customer_id", event_type="customer_registered",
-            time_column="created_at",
+            time_column="created_at", dimension=True,
             ddl="customer_id string, email string, name string, region string, "
                 "age_group string, created_at timestamp, event_type string",
         ),
         Entity(
             "products", topic="transactions", key="product_id", event_type="product_created",
-            time_column="created_at",
+            time_column="created_at", dimension=True,
             ddl="product_id string, name string, category string, price decimal(10,2), "
                 "stock_quantity int, created_at timestamp, event_type string",
         ),
@@ -83,6 +89,9 @@ ENTITIES: dict[str, Entity] = {
     )
 }
 
+# Events of mixed topics that no table is made of: topic, type, key and time.
+OTHER_EVENTS = {"financial": {"transfer": ("transfer_id", "event_ts")}}
+
 TOPICS = ("transactions", "sensors", "financial", "social")
 
 
@@ -104,6 +113,12 @@ def topic_schema(topic: str) -> T.StructType:
     return T.StructType(list(columns.values()))
 
 
+def required_fields(topic: str) -> dict[str | None, tuple[str, str]]:
+    """Key and time of every type of event in a topic; a topic of one kind has the type None."""
+    found = {e.event_type: (e.key, e.time_column) for e in topic_entities(topic)}
+    return found | OTHER_EVENTS.get(topic, {})
+
+
 def bronze_columns(topic: str) -> list[str]:
     return [c for c in topic_schema(topic).names if c != "source"]
 
@@ -117,6 +132,7 @@ class Table:
     order_by: tuple[str, ...]
     time_column: str | None = None
     partition_format: str | None = None
+    slice_format: str | None = None
     keep: dict[str, int] = field(default_factory=dict)
     version_column: str | None = None
     additive: tuple[str, ...] = ()
@@ -128,6 +144,21 @@ class Table:
     def schema(self) -> T.StructType:
         return parse_ddl(self.ddl)
 
+    @property
+    def slice_column(self) -> str:
+        """The innermost folder, what a run replaces: the stored day key, or a slice of time."""
+        return "date_key" if self.slice_format is None else "_s"
+
+    @property
+    def partitions(self) -> tuple[str, str]:
+        """``_p`` is the declared month or day; inside it a folder for each slice."""
+        return "_p", self.slice_column
+
+    @property
+    def stored_schema(self) -> T.StructType:
+        names = [n for n in self.partitions if n not in self.schema.names]
+        return parse_ddl(", ".join([self.ddl, *(f"{n} int" for n in names)]))
+
 
 # Warehouse columns, sort keys, partitions and retention.
 WAREHOUSE: dict[str, Table] = {
@@ -184,7 +215,7 @@ WAREHOUSE: dict[str, Table] = {
         ),
         Table(
             "agg_daily_revenue", order_by=("full_date", "region", "category"),
-            time_column="full_date", partition_format="yyyyMM",
+            time_column="full_date", partition_format="yyyyMM", slice_format="yyyyMMdd",
             additive=("total_orders", "total_revenue"),
             ratios={"avg_order_value": ("total_revenue", "total_orders")},
             ddl="date_key int, full_date date, region string, category string, "
@@ -193,7 +224,7 @@ WAREHOUSE: dict[str, Table] = {
         ),
         Table(
             "agg_hourly_sensor", order_by=("hour_ts", "location_id"),
-            time_column="hour_ts", partition_format="yyyyMMdd",
+            time_column="hour_ts", partition_format="yyyyMMdd", slice_format="yyyyMMddHH",
             additive=("reading_count",),
             weighted={"avg_temp": "reading_count", "avg_pressure": "reading_count",
                       "avg_humidity": "reading_count"},
@@ -204,7 +235,7 @@ WAREHOUSE: dict[str, Table] = {
         ),
         Table(
             "agg_trading_volume", order_by=("full_date", "asset"),
-            time_column="full_date", partition_format="yyyyMM",
+            time_column="full_date", partition_format="yyyyMM", slice_format="yyyyMMdd",
             additive=("total_volume", "trade_count"), weighted={"avg_price": "trade_count"},
             ddl="date_key int, full_date date, asset string, total_volume double, "
                 "trade_count bigint, avg_price decimal(18,8), _computed_at timestamp",
@@ -217,7 +248,7 @@ WAREHOUSE: dict[str, Table] = {
         ),
         Table(
             "llm_insights", order_by=("created_at",), time_column="created_at",
-            keep={"days": 30},
+            partition_format="yyyyMM", slice_format="yyyyMMdd", keep={"days": 30},
             ddl="insight_id string, query_type string, user_query string, "
                 "generated_sql string, response string, model_used string, "
                 "latency_ms bigint, created_at timestamp",
@@ -225,5 +256,13 @@ WAREHOUSE: dict[str, Table] = {
     )
 }
 
+# Which events feed a fact.
+FACT_SOURCES = {
+    "fact_sales": "transactions",
+    "fact_sensor_readings": "sensors",
+    "fact_trades": "financial",
+    "fact_social_engagement": "social",
+}
+
 # Fixed value: raw files are kept this many days.
 BRONZE_KEEP_DAYS = 180

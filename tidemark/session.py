@@ -14,8 +14,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Progress of a long backlog stays complete for the progress table and the run log.
-    "spark.sql.streaming.numRecentProgressUpdates": "10000",
     # Streaming state grows with the number of open keys: keep it off the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

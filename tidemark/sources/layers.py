@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from datetime import date as Date
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.dates import on_day
-from tidemark.schemas import ENTITIES, bronze_columns, parse_ddl
+from tidemark.operators.sinks import path_exists, slice_folders, slice_key, slice_of
+from tidemark.schemas import ENTITIES, FACT_SOURCES, WAREHOUSE, bronze_columns, parse_ddl
 
 LANDING_COLUMNS = ("_kafka_offset", "_kafka_partition", "_ingested_at")
 ARRIVAL_PARTITIONS = ("year", "month", "day", "hour", "batch")
@@ -40,22 +42,75 @@ def read_bronze(spark: SparkSession, root: str, source: str, date: str | Date,
 
 
 def read_silver(spark: SparkSession, root: str, table: str, date: str | Date | None = None) -> DataFrame:
-    """A silver table, or one calendar day of it."""
-    silver = spark.read.schema(ENTITIES[table].silver_schema).parquet(f"{root}/{table}")
-    return silver if date is None else on_day(silver, date)
+    """A silver table, or one calendar day of it; of an event table only that day's folder is listed."""
+    entity, path = ENTITIES[table], f"{root}/{table}"
+    reader = spark.read.schema(entity.silver_schema)
+    if date is None:
+        return reader.parquet(path)
+    if entity.dimension:
+        return on_day(reader.parquet(path), date)
+    day = Date.fromisoformat(date) if isinstance(date, str) else date
+    folder = f"{path}/_year={day.year}/_month={day.month}/_day={day.day}"
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], entity.silver_schema)
+    return on_day(reader.option("basePath", path).parquet(folder), day)
+
+
+def read_streamed(spark: SparkSession, root: str, table: str, date: str | Date | None = None) -> DataFrame:
+    """What the streams have written and nobody has gathered yet: the columns of the silver table."""
+    entity, path = ENTITIES[table], f"{root}/{table}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], entity.silver_schema)
+    rows = spark.read.schema(entity.silver_schema).parquet(path)
+    return rows if date is None else on_day(rows, date)
 
 
 def read_gold_partition(spark: SparkSession, root: str, table: str, date_key: int | None = None) -> DataFrame:
-    """One date_key of a gold fact, or a whole dimension."""
-    gold = spark.read.parquet(f"{root}/{table}")
-    return gold if date_key is None else gold.filter(F.col("date_key") == date_key)
+    """One date_key of a gold fact, or a whole fact or dimension.
+
+    Of one day only its folder is listed, and a day without rows is an empty frame. Facts have the schema
+    that the registry declares.
+    """
+    path, spec = f"{root}/{table}", WAREHOUSE[table]
+    if "date_key" not in spec.schema.names or table == "dim_date":
+        return spark.read.parquet(path)
+    if date_key is None:
+        return spark.read.schema(gold_schema(table)).parquet(path)
+    folder = f"{path}/date_key={date_key}"
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], gold_schema(table))
+    return spark.read.schema(gold_schema(table)).option("basePath", path).parquet(folder)
+
+
+def gold_schema(table: str) -> T.StructType:
+    """Columns of the fact with the types they have in silver; the day key is a folder."""
+    silver = {f.name: f for entity in ENTITIES.values() for f in entity.silver_schema.fields if FACT_SOURCES.get(table) == entity.name}
+    fields = [silver.get(f.name, f) for f in WAREHOUSE[table].schema.fields if f.name != "date_key"]
+    return T.StructType([*fields, T.StructField("date_key", T.IntegerType())])
+
+
+def read_warehouse(spark: SparkSession, root: str, table: str, since: Date | datetime | None = None) -> DataFrame:
+    """A stored warehouse table, or the slices of it from a moment on.
+
+    With ``since``, older folders are neither listed nor opened: only folder names are looked at.
+    """
+    spec, path = WAREHOUSE[table], f"{root}/{table}"
+    if spec.partition_format is None:
+        return spark.read.schema(spec.schema).parquet(path)
+    reader = spark.read.schema(spec.stored_schema).option("basePath", path)
+    if since is None:
+        return reader.parquet(path).select(spec.schema.names)
+    first = slice_key(since, spec)
+    folders = [f for f in slice_folders(spark, path, spec) if slice_of(f) >= first]
+    found = reader.parquet(*folders) if folders else spark.createDataFrame([], spec.stored_schema)
+    return found.select(spec.schema.names)
 
 
 def discover_layer(spark: SparkSession, root: str) -> DataFrame:
     """Columns of a layer as Spark finds them: name, type, position, partition column or not."""
     found = spark.read.option("mergeSchema", True).parquet(root)
-    first = found.inputFiles()[:1]
-    partitions = {p.split("=")[0] for f in first for p in f.split("/") if "=" in p}
+    stored = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(root)
+    partitions = set(found.columns) - set(stored.columns)
     rows = [(i, f.name, f.dataType.simpleString(), f.name in partitions)
             for i, f in enumerate(found.schema.fields)]
     return spark.createDataFrame(rows, "position int, name string, type string, is_partition boolean")

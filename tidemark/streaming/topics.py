@@ -1,123 +1,95 @@
-"""Topics to typed tables."""
+"""Topics to typed tables: the columns of the batch silver layer, one folder for each micro-batch."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
 
-from tidemark.functions.casting import normalise_event_time
+from tidemark.functions.casting import normalise_event_time, project_to
 from tidemark.functions.dates import day_columns
 from tidemark.operators.filters import of_type, present
-from tidemark.schemas import DAY_COLUMNS, topic_schema
-from tidemark.sources.events import BROKER_COLUMNS, parse_events, read_events
+from tidemark.operators.sinks import move_folder, partition_folders, remove_folder, replace_folder, write_silver
+from tidemark.schemas import ENTITIES, TOPICS, Entity, topic_entities, topic_schema
+from tidemark.sources.events import parse_events, read_events
 from tidemark.streaming.settings import writer
 
-BATCH_COLUMN = "_stream_batch"
-TYPED_TOPICS = ("sensors", "financial", "social")
-
 
 def typed_stream(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Parsed events with event time, broker columns, arrival time and day columns."""
-    parsed = parse_events(raw, schema, keep=BROKER_COLUMNS)
-    timed = present(parsed, "event_ts").withColumn("_ingested_at", F.current_timestamp())
-    return day_columns(timed)
-
-
-def append_stream(stream: DataFrame, path: str, name: str, checkpoint: str,
-                  available_now: bool = False) -> StreamingQuery:
-    """Append to a table partitioned by event day; the file log makes it exactly once."""
-    return (writer(stream, name, checkpoint, available_now).format("parquet")
-            .outputMode("append").partitionBy(*DAY_COLUMNS).start(path))
-
-
-def stream_topic(spark: SparkSession, topic: str, silver_root: str, options: Mapping[str, str],
-                 available_now: bool = False) -> StreamingQuery:
-    raw = read_events(spark, topic, dict(options))
-    return append_stream(typed_stream(raw, topic_schema(topic)), f"{silver_root}/{topic}",
-                         f"silver_{topic}", f"{silver_root}/_checkpoints/{topic}", available_now)
-
+    """Parsed events with one time column and the time of processing."""
+    return normalise_event_time(parse_events(raw, schema)).withColumn("_processed_at", F.current_timestamp())
 
-@dataclass(frozen=True)
-class Route:
-    """Which events of a mixed topic go to a table, what must be present, what is kept."""
 
-    event_type: str
-    required: str
-    columns: tuple[str, ...]
+def take_entity(events: DataFrame, entity: Entity) -> DataFrame:
+    """The entity's own events out of a topic, with the columns of its silver table.
 
-
-# Tables fed by the transactions topic and their columns.
-TRANSACTION_ROUTES: dict[str, Route] = {
-    "transactions": Route("order_created", "event_ts", (
-        "order_id", "customer_id", "product_id", "quantity", "unit_price", "total_amount",
-        "status", "payment_method", "event_ts", "event_type", "source", "_ingested_at")),
-    "customers": Route("customer_registered", "customer_id", (
-        "customer_id", "email", "name", "region", "age_group", "event_ts", "source",
-        "_ingested_at")),
-    "products": Route("product_created", "product_id", (
-        "product_id", "name", "category", "price", "stock_quantity", "event_ts", "source",
-        "_ingested_at")),
-}
+    Events need a time; customers and products need their key instead, they are not stored by day.
+    """
+    own = of_type(events, entity.event_type) if entity.event_type else events
+    own = present(own, entity.key if entity.dimension else "event_ts")
+    return project_to(day_columns(own), entity.silver_schema)
 
 
-def take_route(events: DataFrame, route: Route) -> DataFrame:
-    return present(of_type(events, route.event_type), route.required).select(*route.columns)
+def batch_name(topic: str, batch_id: int) -> str:
+    return f"stream_{topic}_{batch_id:09d}"
 
 
-def write_batch_part(rows: DataFrame, path: str, batch_id: int) -> None:
-    """One micro-batch in folders of its own: a replayed batch replaces itself.
+def write_batch_part(rows: DataFrame, path: str, name: str) -> None:
+    """One micro-batch in a folder of its own: a replayed batch replaces itself.
 
-    Events are stored by event day first, so a day can be read without the others; a
-    backlog of many days is gathered by day to keep the number of files low.
+    Rows are gathered into files of the advisory size whatever days they belong to, so the number of files
+    follows the amount of data.
     """
-    if "event_ts" not in rows.columns:
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .parquet(f"{path}/{BATCH_COLUMN}={batch_id}"))
-        return
-    by_day = day_columns(rows).hint("rebalance", *DAY_COLUMNS)
-    (by_day.withColumn(BATCH_COLUMN, F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*DAY_COLUMNS, BATCH_COLUMN).parquet(path))
+    replace_folder(rows.drop("_batch_id").hint("rebalance"), f"{path}/_batch_id={name}")
 
 
-def route_stream(stream: DataFrame, routes: Mapping[str, Route], root: str, name: str, checkpoint: str,
+def route_stream(events: DataFrame, entities: Sequence[Entity], root: str, name: str, checkpoint: str, topic: str,
                  available_now: bool = False) -> StreamingQuery:
-    """One read of a mixed topic into one table per route."""
-    def write_routes(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # parsed once for all routes; spills to disk
+    """One read of a topic into one table for each entity."""
+    def write_tables(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # parsed once for all tables; spills to disk
         try:
-            for table, route in routes.items():
-                write_batch_part(take_route(batch, route), f"{root}/{table}", batch_id)
+            for entity in entities:
+                write_batch_part(take_entity(batch, entity), f"{root}/{entity.name}", batch_name(topic, batch_id))
         finally:
             batch.unpersist()
 
-    return writer(stream, name, checkpoint, available_now).foreachBatch(write_routes).start()
+    return writer(events, name, checkpoint, available_now).foreachBatch(write_tables).start()
 
 
-def transaction_events(raw: DataFrame) -> DataFrame:
-    """All columns of the mixed topic, one time column, arrival time."""
-    parsed = parse_events(raw, topic_schema("transactions"))
-    return normalise_event_time(parsed).withColumn("_ingested_at", F.current_timestamp())
+def append_stream(events: DataFrame, entity: Entity, root: str, name: str, checkpoint: str,
+                  available_now: bool = False) -> StreamingQuery:
+    """A topic of one kind into its table."""
+    def write_table(batch: DataFrame, batch_id: int) -> None:
+        write_batch_part(take_entity(batch, entity), f"{root}/{entity.name}", batch_name(entity.topic, batch_id))
+
+    return writer(events, name, checkpoint, available_now).foreachBatch(write_table).start()
+
+
+def stream_topic(spark: SparkSession, topic: str, silver_root: str, options: Mapping[str, str],
+                 available_now: bool = False) -> StreamingQuery:
+    """A topic to its typed tables; trades leave the transfers of their topic out, as the batch job does."""
+    events = typed_stream(read_events(spark, topic, dict(options)), topic_schema(topic))
+    entities, name, checkpoint = topic_entities(topic), f"silver_{topic}", f"{silver_root}/_checkpoints/{topic}"
+    if len(entities) > 1:
+        return route_stream(events, entities, silver_root, name, checkpoint, topic, available_now)
+    return append_stream(events, entities[0], silver_root, name, checkpoint, available_now)
 
 
 def stream_transactions(spark: SparkSession, silver_root: str, options: Mapping[str, str],
                         available_now: bool = False) -> StreamingQuery:
-    raw = read_events(spark, "transactions", dict(options))
-    return route_stream(transaction_events(raw), TRANSACTION_ROUTES, silver_root,
-                        "silver_transactions", f"{silver_root}/_checkpoints/transactions", available_now)
+    return stream_topic(spark, "transactions", silver_root, options, available_now)
 
 
 def run_all(spark: SparkSession, silver_root: str, options: Mapping[str, Mapping[str, str]],
             available_now: bool = False) -> list[StreamingQuery]:
     """Start every topic. Waits; if one stream fails, the others are stopped and its error is raised."""
-    started = [stream_topic(spark, t, silver_root, options[t], available_now) for t in TYPED_TOPICS]
-    started.append(stream_transactions(spark, silver_root, options["transactions"], available_now))
+    started: list[StreamingQuery] = []
     try:
+        started += [stream_topic(spark, t, silver_root, options[t], available_now) for t in TOPICS]
         if available_now:
             for query in started:
                 query.awaitTermination()
@@ -128,3 +100,28 @@ def run_all(spark: SparkSession, silver_root: str, options: Mapping[str, Mapping
             if query.isActive:
                 query.stop()
     return started
+
+
+_GATHERED = ".gathered-"
+
+
+def gather_streamed(spark: SparkSession, stream_root: str, silver_root: str, table: str) -> str | None:
+    """Move what the streams have written so far into the silver table, as one batch; returns its name.
+
+    Many small batches become files by event day. The batch is named by its last micro-batch. The gathered
+    folders are first renamed to names that readers pass over, then removed; a run that dies before the
+    renaming is repeated whole, and rows that are in both places are one row in gold.
+    """
+    path = f"{stream_root}/{table}"
+    folders = partition_folders(spark, path, "_batch_id=*")
+    if not folders:
+        return None
+    entity = ENTITIES[table]
+    last = folders[-1].rsplit("=", 1)[1]
+    rows = spark.read.schema(entity.silver_schema).option("basePath", path).parquet(*folders)
+    write_silver(present(rows, "event_ts"), silver_root, table, f"{last}_gathered")
+    for folder in folders:
+        aside = f"{path}/{_GATHERED}{folder.rsplit('=', 1)[1]}"
+        move_folder(spark, folder, aside)
+        remove_folder(spark, aside)
+    return f"{last}_gathered"

@@ -20,6 +20,27 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+ORACLES["op1_substring_dedup"] = r"""
+with texts as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+windows as (
+  select doc_id, i, words[i:i + 12] as gram from texts, unnest(range(1, len(words) - 11)) t(i) where len(words) >= 13),
+firsts as (select gram, min(doc_id) as first_id from windows group by 1),
+gone as (
+  select distinct doc_id, i + k as place from windows join firsts using (gram), unnest(range(0, 13)) r(k) where first_id < doc_id),
+placed as (select doc_id, i as place, words[i] as word from texts, unnest(range(1, len(words) + 1)) t(i)),
+marked as (
+  select doc_id, place, word, g.place is not null as is_gone from placed left join gone g using (doc_id, place)),
+runs as (
+  select *, is_gone and not coalesce(lag(is_gone) over (partition by doc_id order by place), false) as begins from marked),
+counted as (
+  select doc_id, count(*) as n_words, count(*) filter (where is_gone) as n_removed,
+    string_agg(word, ' ' order by place) filter (where not is_gone) as kept, count(*) filter (where begins) as n_intervals
+  from runs group by 1)
+select doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256,
+  coalesce(n_intervals, 0) as n_intervals
+from documents left join counted using (doc_id)"""
+
+
 @query
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 13-word windows of documents with smaller ids."""
@@ -75,11 +96,26 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_failed", "kept", "score")
 
 
+# A digest of 160 bits: five hexadecimal digits are four letters of base 32.
+ORACLES["op7_arc_to_warc"] = """
+with payloads as (select page_id, coalesce(html, '') as payload from pages),
+hashed as (
+  select page_id, octet_length(encode(payload)) as payload_bytes, sha1(payload) as hex,
+    min(page_id) over (partition by payload) as first_id from payloads)
+select page_id, payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    cast(((cast('0x' || substr(hex, cast(i // 4 * 5 + 1 as int), 5) as bigint) >> cast(15 - i % 4 * 5 as bigint)) & 31) + 1 as int), 1)),
+    'string_agg', '') as payload_digest,
+  case when page_id = first_id then 'response' else 'revisit' end as record_type,
+  case when page_id <> first_id then first_id end as refers_to, true as sound
+from hashed"""
+
+
 @query
 def op7_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page, read back from the WARC files that its ARC record was converted to."""
     return archives.archived(table(spark, sf_dir, "pages")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "date", "sound")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "sound")
 
 
 def tokenizer_file() -> str:

@@ -66,7 +66,7 @@ def test_day_filter_prunes_partitions_and_reaches_the_files(spark, folder, plan)
     rows = spark.createDataFrame(
         [("a", datetime(2024, 1, 5), 2024, 1, 5, "b"), ("c", datetime(2024, 1, 6), 2024, 1, 6, "b")],
         "reading_id string, event_ts timestamp, _year int, _month int, _day int, _batch_id string")
-    rows.write.partitionBy("_batch_id", "_year", "_month", "_day").parquet(f"{folder}/sensors")
+    rows.write.partitionBy("_year", "_month", "_day", "_batch_id").parquet(f"{folder}/sensors")
     day = read_silver(spark, folder, "sensors", "2024-01-05").select("reading_id")
     assert [r[0] for r in day.collect()] == ["a"]
     text = day._jdf.queryExecution().executedPlan().toString()

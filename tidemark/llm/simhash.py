@@ -18,6 +18,8 @@ SEED = 42
 MOST_BITS = 3
 #: Members of one index entry that are compared in one go; larger entries are cut into pairs of chunks.
 ENTRY = 4096
+#: Ids (8 bytes each) that may be broadcast to drop their rows.
+BROADCAST_IDS = 1 << 20
 _ROWS = 1 << 16
 
 
@@ -147,14 +149,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "id", "fp", "component")
 
 
-def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
+                            broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """The rows of ``docs``, all their columns unchanged, that have the least id of their component.
 
-    One row stays where rows repeat an id. Rows without id all stay: nothing names the one to keep.
+    One row stays where rows repeat an id. Rows without id all stay: nothing names the one to keep. The ids
+    that go are counted; up to ``broadcast_ids`` of them are broadcast, so texts stay where they are read,
+    more are joined by a shuffle.
     """
     found = near_duplicates(docs, id_col, text_col, words).where("id is not null")
     judged = stored(found.groupBy("id").agg(F.min("component").alias("component"), F.count("*").alias("n")), "judged")
     gone = judged.where("component <> id").select(F.col("id").alias(id_col))
+    if gone.count() <= broadcast_ids:
+        gone = F.broadcast(gone)
     repeated = judged.where("component = id and n > 1").select(F.col("id").alias(id_col))
     kept = docs.join(gone, id_col, "left_anti").select(docs.columns)
     if repeated.isEmpty():

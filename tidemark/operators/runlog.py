@@ -23,6 +23,7 @@ class Run:
     """Counts the rows that a run reads and writes while the run's own jobs pass over them."""
 
     def __init__(self):
+        self.row: dict = {}
         self._seen: dict[str, list[Observation]] = {"rows_read": [], "rows_written": []}
 
     def _counted(self, df: DataFrame, what: str) -> DataFrame:
@@ -48,6 +49,7 @@ def logged_run(spark: SparkSession, log_path: str, job: str, stage: str, seconds
     row = {"run_id": str(uuid.uuid4()), "dag_id": job, "stage": stage, "status": "running",
            "rows_read": 0, "rows_written": 0, "started_at": datetime.now(timezone.utc),
            "finished_at": None, "error_msg": None, "_loaded_at": None}
+    run.row = row
     try:
         yield run
         row.update(status="success", **run.counts(seconds))
@@ -61,10 +63,11 @@ def logged_run(spark: SparkSession, log_path: str, job: str, stage: str, seconds
 
 def record_run(spark: SparkSession, log_path: str, job: str, stage: str, source: DataFrame,
                transform: Callable[[DataFrame], DataFrame], sink: Callable[[DataFrame], object],
-               seconds: float = 30) -> None:
-    """Run source → transform → sink as a ``logged_run``: no second pass to count."""
+               seconds: float = 30) -> dict:
+    """Run source → transform → sink as a ``logged_run``: no second pass to count. Returns the logged row."""
     with logged_run(spark, log_path, job, stage, seconds) as run:
         sink(run.writing(transform(run.reading(source))))
+    return run.row
 
 
 PROGRESS_DDL = ("name string, run_id string, batch_id bigint, started_at timestamp, milliseconds bigint, "

@@ -157,7 +157,11 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     that go are counted; up to ``broadcast_ids`` of them are broadcast, so texts stay where they are read,
     more are joined by a shuffle.
     """
-    found = near_duplicates(docs, id_col, text_col, words).where("id is not null")
+    return without_ids(docs, near_duplicates(docs, id_col, text_col, words).where("id is not null"), id_col, broadcast_ids)
+
+
+def without_ids(docs: DataFrame, found: DataFrame, id_col: str, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """The rows of ``docs`` whose id is the least of its component in ``found``, once each, and those without id."""
     judged = stored(found.groupBy("id").agg(F.min("component").alias("component"), F.count("*").alias("n")), "judged")
     gone = judged.where("component <> id").select(F.col("id").alias(id_col))
     if gone.count() <= broadcast_ids:

@@ -79,7 +79,7 @@ def test_run_is_the_registered_query(spark, small, steps):
     got = contract.queries()["pipeline"](spark, small)
     assert sorted(map(tuple, got.collect())) == sorted(steps[5])
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert len([n for n in contract.queries() if re.match(r"op\d+_", n)]) == 10
+    assert len([n for n in contract.queries() if re.match(r"op\d+_", n)]) == 13
 
 
 def test_edge_rows(spark, small):

@@ -16,6 +16,7 @@ def prepared(spark: SparkSession) -> SparkSession:
     """Session settings, and Arrow batches small enough for long texts."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import archives, language, mixing, quality, quotes, sharding, simhash, substrings, tiling, token_files
+from tidemark.llm import alignment, archives, automaton, language, mixing, quality, quotes, sharding, simhash, substrings, tiling, token_files, whitening
 from tidemark.llm.common import stored, table
 from tidemark.llm.files import files_folder
 
@@ -118,10 +118,10 @@ def op7_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "sound")
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def token_places(docs: DataFrame) -> DataFrame:
@@ -159,3 +159,24 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     """Documents that hold a benchmark item, with the tiles that cover it."""
     found = tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op11_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document by the automaton, and the text that they spell again."""
+    rows = automaton.decoded(automaton.encoded(table(spark, sf_dir, "documents"), tokenizer_file()), tokenizer_file())
+    return rows.select(F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding projected on the first four whitened components of all distinct ones."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), keep=stored).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the tokens of two vocabularies in every document, scored by counts over all of them."""
+    found, _ = alignment.aligned(table(spark, sf_dir, "documents"), tokenizer_file(), tokenizer_file("piece_bpe_32k.model"), keep=stored)
+    return found.withColumnsRenamed({"id": "doc_id", "digest": "groups_sha256"})

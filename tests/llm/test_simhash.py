@@ -84,8 +84,9 @@ def test_components_of_paths_stars_and_loops(spark):
 
 @pytest.mark.parametrize("broadcast_ids", [0, 1 << 20])
 def test_one_row_of_each_component_stays(spark, plan, broadcast_ids):
-    rows = [(5, "a b c d", "x"), (2, "a b c d", "y"), (None, "a b c d", "z"), (9, "quite other words here", "x"), (2, "a b c d", "y"), (7, None, "x")]
+    rows = [(5, "a b c d", "x"), (2, "a b c d", "y"), (None, "a b c d", "z"), (9, "quite other words here", "x"), (2, "a b c d", "y"), (7, None, "x"),
+            (9, "a b c d", "w"), (None, "no copy of it has an id", "u"), (None, "no copy of it has an id", "u")]
     df = spark.createDataFrame(rows, "doc_id long, text string, component string")
     kept = simhash.without_near_duplicates(df, broadcast_ids=broadcast_ids)
     assert kept.dtypes == df.dtypes
-    assert sorted((r.doc_id or 0, r.component) for r in kept.collect()) == [(0, "z"), (2, "y"), (7, "x"), (9, "x")]
+    assert sorted((r.doc_id or 0, r.component) for r in kept.collect()) == [(0, "u"), (2, "y"), (7, "x"), (9, "x")]

@@ -3,6 +3,7 @@ import hashlib
 import pytest
 
 from tidemark.llm import substrings
+from tidemark.llm.rolling import window_hashes
 from tidemark.llm.common import table
 from tidemark.llm.queries import QUERIES
 
@@ -64,3 +65,24 @@ def test_text_is_moved_once(spark, small, plan):
     df = substrings.remove_repeats(table(spark, small, "documents"), block_bytes=1 << 18)
     df.collect()
     assert "ReusedExchange" in plan(df)
+
+
+def thue_morse(steps):
+    """Two strings that every polynomial hash modulo 2**64 with an odd base confuses."""
+    a, b = "a", "b"
+    for _ in range(steps):
+        a, b = a + b, b + a
+    return a, b
+
+
+@pytest.mark.parametrize("steps", [10, 11])
+def test_words_that_polynomials_confuse(spark, steps):
+    same = " ".join("w" * i for i in range(1, 13))
+    a, b = thue_morse(steps)
+    df = spark.createDataFrame([(1, f"{same} {a}"), (2, f"{same} {b}"), (3, f"{same} {a}")], "doc_id long, text string")
+    assert {r.id: r.n_removed for r in substrings.remove_repeats(df).collect()} == {1: 0, 2: 0, 3: 13}
+    x, y = (" ".join(w) for w in thue_morse(5))  # windows of 32 words
+    df = spark.createDataFrame([(1, x), (2, y), (3, x)], "doc_id long, text string")
+    assert {r.id: r.n_removed for r in substrings.remove_repeats(df, words=32).collect()} == {1: 0, 2: 0, 3: 32}
+    with pytest.raises(ValueError):
+        window_hashes([[b"a"] * 100], 65)

@@ -14,6 +14,8 @@ from tidemark.llm.common import table
 from tidemark.llm.files import files_folder
 from tidemark.llm.queries import QUERIES, tokenizer_file
 
+from .test_substrings import thue_morse
+
 
 @pytest.fixture(scope="module")
 def plain():
@@ -36,6 +38,20 @@ def test_remembered_words_change_nothing(plain, text):
     assert ids(used.encode([text, None, ""])[0]) == plain(text)
 
 
+@pytest.mark.parametrize("steps", [10, 11])
+def test_words_that_polynomials_confuse(plain, steps):
+    used = token_files.Encoder(tokenizer_file(), 2)
+    for text in thue_morse(steps):
+        assert ids(used.encode([text])[0]) == plain(text)
+
+
+def test_words_with_one_hash_are_told_apart(plain):
+    used = token_files.Encoder(tokenizer_file(), 2)
+    used.hash.words = lambda raw, starts, ends: (ends - starts).astype(np.uint64)
+    for text in ("one two three four", "six ten seven, nine"):
+        assert [ids(x) for x in used.encode([text, "a b"])] == [plain(text), plain("a b")]
+
+
 def test_forgetting_changes_nothing(plain, monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 3)
     used = token_files.Encoder(tokenizer_file(), 2)

@@ -1,4 +1,4 @@
-"""Rabin-Karp hashes of word windows, for many texts at once."""
+"""Hashes of words, and Rabin-Karp hashes of word windows, for many texts at once."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ import numpy as np
 
 _PIECE_BYTES = 1 << 20
 _PIECE_WORDS = 1 << 16
+#: Words of a window, at most; two words in a pattern of 64 lose 27 of the 64 bits.
+MOST_WORDS = 64
 _U = np.uint64
 
 
@@ -17,15 +19,18 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class RollingHash:
-    """Rabin-Karp hashes modulo 2**64 of byte strings and of runs of them, from running sums.
+    """Hashes of words, and Rabin-Karp hashes modulo 2**64 of runs of words from running sums.
 
-    A sum of ``value * base**position`` over a range, divided by ``base**start``, does not depend on where the
-    range stands; the base is odd, so the division is exact.
+    A word's hash adds up one random-like number for each byte and its place. A polynomial of the bytes would
+    not do: modulo 2**64, strings of 1,024 bytes exist that every odd base confuses. Of runs of words such a
+    polynomial is safe as long as they are short (``MOST_WORDS``): a sum of ``value * base**position`` over a
+    range, divided by ``base**start``, does not depend on where the range stands; the base is odd, so the
+    division is exact.
     """
 
     def __init__(self, seed: int):
-        made = _mixed(np.arange(1, 259, dtype=np.uint64) + _U(seed) * _U(1000))
-        self.letters, self.base = made[:256], int(made[256]) | 5
+        self.seed = _U(seed << 56)
+        self.base = int(_mixed(np.array([seed], np.uint64) + _U(1 << 40))[0]) & ~7 | 5
         self.inverse = pow(self.base, -1, 1 << 64)
         self._grow(1 << 12)
 
@@ -41,9 +46,18 @@ class RollingHash:
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * self.up[:values.size], dtype=np.uint64)))
         return _mixed((sums[ends] - sums[starts]) * self.down[starts])
 
+    def words(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the words that stand in the bytes ``raw`` from ``starts`` to ``ends``, in order and apart."""
+        begins = np.zeros(raw.size, np.int64)
+        begins[starts[1:]] = np.diff(starts)
+        place = np.arange(raw.size) - np.cumsum(begins) - (starts[0] if starts.size else 0)
+        values = _mixed((place.astype(np.uint64) << _U(8)) + raw + self.seed)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)))
+        return _mixed(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64))
+
     def windows(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, words: int) -> np.ndarray:
         """Hashes of the windows that begin at the words ``first``; words are ranges of the bytes ``raw``."""
-        return self.ranges(self.ranges(self.letters[raw], starts, ends), first, first + words)
+        return self.ranges(self.words(raw, starts, ends), first, first + words)
 
 
 _HASHES: list[RollingHash] = []
@@ -66,8 +80,11 @@ def window_hashes(found: list[list[bytes]], words: int, sides: int = 1) -> list[
     """Hashes of every window of ``words`` words of every text, text by text in order.
 
     ``sides`` independent hash functions (two at most) give an array each. Long texts are hashed in pieces
-    that overlap by a window, so the memory needed besides the result does not grow with a text.
+    that overlap by a window, so the memory needed besides the result does not grow with a text. Windows have
+    ``MOST_WORDS`` words at most.
     """
+    if words > MOST_WORDS:
+        raise ValueError(f"windows of more than {MOST_WORDS} words")
     made: list[list[np.ndarray]] = []
     pieces, size = [], 0
     for w in found:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import longs, stored, texts
@@ -129,6 +129,13 @@ def links(distinct: DataFrame, entry_size: int = ENTRY) -> DataFrame:
     return found.unionByName(pairs).distinct()
 
 
+def _classes(prints: DataFrame, entry_size: int) -> DataFrame:
+    """``(fp, root)`` of every fingerprint: equal roots are one component."""
+    nodes = prints.select("fp").distinct()
+    roots = components(links(nodes, entry_size)).withColumnRenamed("node", "fp")
+    return nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
                     entry_size: int = ENTRY) -> DataFrame:
     """``(id, fp, component)`` for every row: its fingerprint and the least id that links reach from it.
@@ -140,9 +147,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     prints = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
     nodes = prints.where("id is not null").groupBy("fp").agg(F.min("id").alias("first"))
-    roots = components(links(nodes.select("fp"), entry_size))
-    named = nodes.join(roots, nodes.fp == roots.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    named = nodes.join(_classes(nodes, entry_size), "fp")
     least = named.groupBy("root").agg(F.min("first").alias("component"))
     classes = named.join(least, "root").select(F.col("fp").alias("node"), "component")
     return prints.join(classes, (prints.fp == classes.node) & prints.id.isNotNull(), "left").select(
@@ -151,24 +156,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
                             broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
-    """The rows of ``docs``, all their columns unchanged, that have the least id of their component.
+    """One row of ``docs``, all its columns unchanged, of every component: that with the least id.
 
-    One row stays where rows repeat an id. Rows without id all stay: nothing names the one to keep. The ids
-    that go are counted; up to ``broadcast_ids`` of them are broadcast, so texts stay where they are read,
-    more are joined by a shuffle.
+    Rows are judged by id and text: one that shares its id with another text stays if it is the first of its own
+    component. Rows without id are compared too; they come after those with one, in order of a hash of their
+    text. Of rows equal in id and text one stays. What goes is counted; up to ``broadcast_ids`` pairs of id and
+    hash are broadcast, so texts stay where they are read, more are joined by a shuffle.
     """
-    return without_ids(docs, near_duplicates(docs, id_col, text_col, words).where("id is not null"), id_col, broadcast_ids)
-
-
-def without_ids(docs: DataFrame, found: DataFrame, id_col: str, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of its component in ``found``, once each, and those without id."""
-    judged = stored(found.groupBy("id").agg(F.min("component").alias("component"), F.count("*").alias("n")), "judged")
-    gone = judged.where("component <> id").select(F.col("id").alias(id_col))
+    key = [F.col(id_col).cast("long").alias("key_id"), F.xxhash64(F.col(text_col)).alias("key_text")]
+    prints = stored(_keyed_fingerprints(docs, key, text_col, words), "fingerprints")
+    rows = prints.groupBy("fp", "key_id", "key_text").agg(F.count("*").alias("n"))
+    place = F.struct(F.col("key_id").isNull().alias("last"), "key_id", "key_text")
+    named = rows.join(_classes(prints, ENTRY), "fp")
+    first = named.groupBy("root").agg(F.min(place).alias("first"))
+    judged = stored(named.join(first, "root").select("key_id", "key_text", "n", (place == F.col("first")).alias("stays")), "judged")
+    gone = judged.where("not stays").select("key_id", "key_text")
     if gone.count() <= broadcast_ids:
         gone = F.broadcast(gone)
-    repeated = judged.where("component = id and n > 1").select(F.col("id").alias(id_col))
-    kept = docs.join(gone, id_col, "left_anti").select(docs.columns)
+
+    def same(of: DataFrame) -> Column:
+        return F.col(id_col).cast("long").eqNullSafe(of["key_id"]) & (F.xxhash64(F.col(text_col)) == of["key_text"])
+
+    kept = docs.join(gone, same(gone), "left_anti")
+    repeated = judged.where("stays and n > 1").select("key_id", "key_text")
     if repeated.isEmpty():
         return kept
-    one_each = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.join(repeated, id_col, "left_anti").select(docs.columns).unionByName(one_each.select(docs.columns))
+    one_each = kept.join(repeated, same(repeated), "left_semi").withColumn("key of the text", F.xxhash64(F.col(text_col))).dropDuplicates(
+        [id_col, "key of the text"])
+    return kept.join(repeated, same(repeated), "left_anti").unionByName(one_each.select(docs.columns))
+
+
+def _keyed_fingerprints(docs: DataFrame, key: list[Column], text_col: str, words: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.frombuffer(b"".join(fingerprint(t, words) for t in texts(batch.column(2))), ">i8").astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], names=["key_id", "key_text", "fp"])
+    return docs.select(*key, F.col(text_col).alias("text")).mapInArrow(run, "key_id long, key_text long, fp long")

@@ -23,12 +23,12 @@ LENGTH = 2048
 #: Sequences in a record batch; with it, sequence i stands in batch i // BATCH.
 BATCH = 64
 #: Tokens after which a file ends, at the next end of a document.
-FILE_TOKENS = 4 << 20
+FILE_TOKENS = 1 << 20
 #: Bytes of text that a task writes, on average.
 TASK_BYTES = 16 << 20
 _PIECE_BYTES = 1 << 20
-#: Words whose ids a worker remembers; about 25 bytes each.
-REMEMBERED = 2_000_000
+#: Words whose ids a worker remembers; about 45 bytes each.
+REMEMBERED = 1_000_000
 
 # Blanks outside ASCII, which the tokenizer's pre-tokenization counts as blanks as well.
 _WIDE = re.compile("[\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
@@ -43,8 +43,9 @@ class Encoder:
 
     Byte-level pre-tokenization lets no token reach from a non-blank into a blank, nor from a letter into a
     mark. So a text is cut before every run of ASCII blanks, and between an ASCII letter and a mark that ends
-    a word. A text with blanks outside ASCII, which may join such runs, is encoded in one go. Words are known
-    by a hash of 64 bits; two of the words a worker remembers share one with a probability below 2**-20.
+    a word. A text with blanks outside ASCII, which may join such runs, is encoded in one go. Words are looked
+    up by a hash of 64 bits and compared byte by byte; texts of a batch in which two words share a hash are
+    encoded in one go as well.
     """
 
     def __init__(self, path: str, end: int):
@@ -61,9 +62,12 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        """``known`` hashes in order; the ids of the i-th stand in ``pool`` from ``first[i]``, ``size[i]`` of them."""
-        self.known, self.first, self.size = np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.uint32)
+        """``known`` hashes in order; the ids of the i-th stand in ``pool`` from ``first[i]``, ``size[i]`` of them,
+        its bytes in ``letters`` from ``begin[i]``, ``length[i]`` of them."""
+        self.known = np.empty(0, np.uint64)
+        self.first, self.size, self.begin, self.length = (np.empty(0, np.uint32) for _ in range(4))
         self.pool, self.used = np.empty(1 << 16, self.type), 0
+        self.letters, self.spelt = np.empty(1 << 16, np.uint8), 0
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -93,9 +97,26 @@ class Encoder:
         self.pool[self.used:self.used + total] = np.concatenate(ids)
         first = (self.used + np.cumsum(size) - size).astype(np.uint32)
         self.used += total
+        raw = np.frombuffer(b"".join([w.encode() for w in words]), np.uint8)
+        while self.spelt + raw.size > self.letters.size:
+            self.letters = np.concatenate((self.letters, np.empty_like(self.letters)))
+        self.letters[self.spelt:self.spelt + raw.size] = raw
+        length = np.array([len(w.encode()) for w in words], np.uint32)
+        begin = (self.spelt + np.cumsum(length) - length).astype(np.uint32)
+        self.spelt += raw.size
         at = np.searchsorted(self.known, hashes)
-        self.known, self.first, self.size = (np.insert(old, at, new) for old, new in (
-            (self.known, hashes), (self.first, first), (self.size, size)))
+        self.known, self.first, self.size, self.begin, self.length = (np.insert(old, at, new) for old, new in (
+            (self.known, hashes), (self.first, first), (self.size, size), (self.begin, begin), (self.length, length)))
+
+    def _same(self, raw: np.ndarray, starts: np.ndarray, stops: np.ndarray, at: np.ndarray) -> bool:
+        """Whether the words are, byte by byte, the remembered ones at ``at``."""
+        sizes = stops - starts
+        if not np.array_equal(sizes, self.length[at]):
+            return False
+        ends = np.cumsum(sizes)
+        along = np.arange(int(ends[-1]) if ends.size else 0)
+        here = np.repeat(starts - ends + sizes, sizes) + along
+        return np.array_equal(raw[here], self.letters[np.repeat(self.begin[at] - ends + sizes, sizes) + along])
 
     def _of_pieces(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of texts without zero bytes and wide blanks."""
@@ -112,7 +133,7 @@ class Encoder:
         is_word = raw[starts] != 0
         stops = np.concatenate((starts[1:], [raw.size]))[is_word]
         starts = starts[is_word]
-        hashes, place, of = np.unique(self.hash.ranges(self.hash.letters[raw], starts, stops), return_index=True, return_inverse=True)
+        hashes, place, of = np.unique(self.hash.words(raw, starts, stops), return_index=True, return_inverse=True)
         at = np.searchsorted(self.known, hashes)
         at[at == self.known.size] = 0
         fresh = self.known[at] != hashes if self.known.size else np.ones(hashes.size, bool)
@@ -120,6 +141,8 @@ class Encoder:
             data = raw.tobytes()
             self._learn(hashes[fresh], [data[s:e].decode() for s, e in zip(starts[place[fresh]].tolist(), stops[place[fresh]].tolist())])
             at = np.searchsorted(self.known, hashes)
+        if not self._same(raw, starts, stops, at[of]):
+            return self._ids([t.decode() for t in texts])
         first, size = self.first[at][of].astype(np.int64), self.size[at][of].astype(np.int64)
         done = np.cumsum(size)
         ids = self.pool[np.repeat(first - done + size, size) + np.arange(done[-1] if done.size else 0)]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language, minhash, mixing, tiling
+from tidemark.llm import language, mixing, simhash, tiling
 from tidemark.llm.common import prepared, stored, table
 from tidemark.llm.queries import token_places
 
@@ -23,9 +23,9 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of every component of near copies: five-word Jaccard similarity 0.8 or more."""
+    """The document with the least id of every component of near copies: three-word fingerprints, three bits at most."""
     prepared(spark)
-    return minhash.without_near_copies(docs)
+    return simhash.without_near_duplicates(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

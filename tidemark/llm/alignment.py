@@ -27,7 +27,7 @@ ROW_BYTES = 1 << 20
 #: Pairs (12 bytes each) whose scores are sent to the workers at a time.
 PAIRS_AT_ONCE = 4 << 20
 #: Chunks of text whose alignment a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 #: After a batch with so many characters of new chunks (long ones), a worker starts again to remember.
 _MOST_BYTES = 4 << 20
 
@@ -65,15 +65,14 @@ class Aligner:
     def _learn(self, keys: list[str | bytes]) -> None:
         parts = [chunk(key) for key in keys]
         raw = [p.encode() for p in parts]
-        a_ids = [np.frombuffer(x, "<u4").astype(np.int64) for x in self.a.encode(parts)]
-        b_ids, labels = self._b_ids(parts), self.b_labels
+        a_raw, b_ids, labels = self.a.spelt(keys), self._b_ids(parts), self.b_labels
         # Tokens of A are arcs along the bytes and always spell them.
         good = [b"".join([labels[i] for i in b]) == r for r, b in zip(raw, b_ids)]
         sizes = np.array([len(r) if g else 0 for r, g in zip(raw, good)], np.int64)
-        none = np.zeros(0, np.int64)
-        a_ids, b_ids = [a if g else none for a, g in zip(a_ids, good)], [b if g else [] for b, g in zip(b_ids, good)]
-        n_a, n_b = np.array([len(x) for x in a_ids]), np.array([len(x) for x in b_ids])
-        a, b = np.concatenate([none, *a_ids]), np.array([i for x in b_ids for i in x], np.int64)
+        if not all(good):
+            a_raw, b_ids = [a if g else b"" for a, g in zip(a_raw, good)], [b if g else [] for b, g in zip(b_ids, good)]
+        n_a, n_b = np.array([len(x) // 4 for x in a_raw]), np.array([len(x) for x in b_ids])
+        a, b = np.frombuffer(b"".join(a_raw), "<u4").astype(np.int64), np.array([i for x in b_ids for i in x], np.int64)
         a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
         # Between two neighbouring ends, one token of A and one of B overlap: a link.
         ends = np.union1d(a_ends, b_ends)
@@ -106,7 +105,7 @@ class Aligner:
         if fresh:
             self._learn(list(fresh))
         slots = [list(map(self.known.__getitem__, own)) for own in keys]
-        told = [[self.text[s] for s in own] for own in slots]
+        told = [list(map(self.text.__getitem__, own)) for own in slots]
         good = [bool(own) and None not in own for own in told]
         digests = [hashlib.sha256(b";".join(own)).hexdigest() if g else "" for own, g in zip(told, good)]
         slots = [own if g else [] for own, g in zip(slots, good)]

@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 from datetime import datetime, timedelta
 
 import pytest
@@ -11,7 +12,7 @@ from tidemark.functions.casting import cast_to_schema
 from tidemark.operators import runlog
 from tidemark.plans.medallion import Lake, build_marts, run_day
 from tidemark.plans.gold import build_fact
-from tidemark.schemas import ENTITIES
+from tidemark.schemas import ENTITIES, topic_schema
 from tidemark.sources.events import parse_events, read_events
 from tidemark.sources.layers import read_bronze, read_silver, read_streamed
 from tidemark.streaming import landing, quarantine, stateful, topics
@@ -95,7 +96,8 @@ def test_gathered_batches_move_into_silver_once(spark, folder):
         options = feed(src, str(part), {"reading_id": f"r{part}", "event_ts": stamp(part * 24 * 60)}, {"reading_id": "twice", "event_ts": stamp()})
         run_typed(spark, "sensors", streamed, options)
     assert read_streamed(spark, streamed, "sensors").count() == 6
-    assert topics.gather_streamed(spark, streamed, silver, "sensors") == "stream_sensors_000000002_gathered"
+    name = topics.gather_streamed(spark, streamed, silver, "sensors")
+    assert name.startswith("stream_sensors_000000002_") and name.endswith("_gathered")
     assert read_streamed(spark, streamed, "sensors").isEmpty()
     assert topics.gather_streamed(spark, streamed, silver, "sensors") is None
     stored = read_silver(spark, silver, "sensors")
@@ -106,6 +108,45 @@ def test_gathered_batches_move_into_silver_once(spark, folder):
     assert [r.reading_id for r in read_streamed(spark, streamed, "sensors").collect()] == ["late"]
 
 
+def test_gathering_leaves_what_is_being_written(spark, folder):
+    src, streamed, silver = f"{folder}/src", f"{folder}/streamed", f"{folder}/silver"
+    options = feed(src, "0", {"reading_id": "a", "event_ts": stamp()})
+    run_typed(spark, "sensors", streamed, options)
+    path = f"{streamed}/sensors/_batch_id=stream_sensors_"
+    os.makedirs(f"{path}000000001/_temporary/0")  # in flight
+    shutil.copytree(f"{path}000000000", f"{path}000000002")  # written, its stream has not committed it
+    assert topics.gather_streamed(spark, streamed, silver, "sensors")
+    assert os.path.isdir(f"{path}000000001/_temporary/0") and os.path.isdir(f"{path}000000002") and not os.path.isdir(f"{path}000000000")
+    feed(src, "1", {"reading_id": "b", "event_ts": stamp()})
+    feed(src, "2", {"reading_id": "c", "event_ts": stamp(1)})
+    run_typed(spark, "sensors", streamed, options)  # writes batch 1 whole
+    assert topics.gather_streamed(spark, streamed, silver, "sensors")
+    rows = read_silver(spark, silver, "sensors").unionByName(read_streamed(spark, streamed, "sensors"))
+    assert sorted({r.reading_id for r in rows.collect()}) == ["a", "b", "c"]
+
+
+def test_replayed_batch_is_not_gathered_twice(spark, folder):
+    src, streamed, silver = f"{folder}/src", f"{folder}/streamed", f"{folder}/silver"
+    options = feed(src, "0", {"reading_id": "a", "event_ts": stamp()})
+    run_typed(spark, "sensors", streamed, options)
+    batch = f"{streamed}/sensors/_batch_id=stream_sensors_000000000"
+    shutil.copytree(batch, f"{folder}/copy")
+    assert topics.gather_streamed(spark, streamed, silver, "sensors")
+    shutil.copytree(f"{folder}/copy", batch)
+    assert topics.gather_streamed(spark, streamed, silver, "sensors") is None
+    assert not os.path.isdir(batch) and read_silver(spark, silver, "sensors").count() == 1
+    # A stream that begins again with an empty checkpoint uses the same numbers for other rows: nothing is lost.
+    other = feed(f"{folder}/other", "0", {"reading_id": "b", "event_ts": stamp()})
+    drain(topics.append_stream(topics.typed_stream(read_events(spark, "sensors", other), topic_schema("sensors")), ENTITIES["sensors"],
+                               streamed, "again", f"{folder}/cp", True))
+    assert topics.gather_streamed(spark, streamed, silver, "sensors", f"{folder}/cp")
+    assert sorted(r.reading_id for r in read_silver(spark, silver, "sensors").collect()) == ["a", "b"]
+
+
+def test_nothing_to_gather(spark, folder):
+    assert topics.gather_streamed(spark, f"{folder}/none", f"{folder}/silver", "sensors") is None
+
+
 def test_landing_keeps_every_key_as_text(spark, folder):
     options = feed(f"{folder}/src", "1", order("o1", note="hello", nested={"a": 1}), {**order("o2"), "status": None, "quantity": 3},
                    "garbage", '{"order_id": "cut')

@@ -10,11 +10,11 @@ import argparse
 from collections.abc import Sequence
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import maintenance, quality, runlog, sinks
-from tidemark.plans import gold, marts, refresh, silver, staging
+from tidemark.plans import gold, incremental, refresh, silver
 from tidemark.schemas import ENTITIES, TOPICS, WAREHOUSE
 from tidemark.session import build_session, configure
 from tidemark.sources import seeds
@@ -88,24 +88,11 @@ def init(spark: SparkSession, lake: str) -> None:
         sinks.ensure_table(spark, table.name, table.stored_schema if parts else table.schema, parts, f"{lake}/warehouse/{table.name}")
 
 
-def build_marts(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
-    def table(name: str) -> DataFrame:
-        return read_warehouse(spark, f"{lake}/warehouse", name)
-
-    daily = marts.int_daily_revenue(staging.stg_sales(table("fact_sales")), table("dim_product"), table("dim_customer"))
-    anomalies = marts.int_sensor_anomalies(staging.stg_sensors(table("fact_sensor_readings")))
-    return {
-        "agg_daily_revenue": marts.agg_daily_revenue(daily),
-        "agg_hourly_sensor": marts.agg_hourly_sensor(anomalies),
-        "agg_trading_volume": marts.agg_trading_volume(staging.stg_trades(table("fact_trades"))),
-    }
-
-
 def rebuild_marts(spark: SparkSession, lake: str, run: runlog.Run) -> None:
-    """Check the loaded facts, then rebuild the three marts; a failed check fails the job."""
+    """Check the loaded facts, then compute the changed days of the three marts; a failed check fails the job."""
     quality.require_passed(quality.run_checks({n: read_warehouse(spark, f"{lake}/warehouse", n) for n in quality.CHECKS}))
-    for name, mart in build_marts(spark, lake).items():
-        sinks.write_gold_dim(run.writing(mart), f"{lake}/marts", name)
+    for name in incremental.MARTS:
+        incremental.refresh_mart(spark, name, f"{lake}/warehouse", f"{lake}/marts", run.writing)
 
 
 def refresh_aggregates(spark: SparkSession, lake: str, as_of: datetime) -> None:
@@ -152,7 +139,7 @@ def parser() -> argparse.ArgumentParser:
     job("silver", "one raw day to typed tables", day=True).add_argument("--topic", choices=TOPICS, required=True)
     job("gold", "one event day to facts, all dimensions", day=True)
     job("load", "one day of gold to the warehouse, all dimensions", day=True)
-    job("marts", "check the facts, rebuild the marts")
+    job("marts", "check the facts, compute the changed days of the marts")
     job("refresh", "rebuild the newest days and hours of the aggregates").add_argument(
         "--as-of", type=datetime.fromisoformat, default=datetime.now(timezone.utc))
     job("gather", "streamed batches into the silver tables")

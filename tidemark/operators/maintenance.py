@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
@@ -14,6 +15,7 @@ from tidemark.functions.casting import project_to
 from tidemark.functions.dates import as_instant, literal, years_before
 from tidemark.operators.sinks import (
     count_files,
+    folder_bytes,
     move_folder,
     partition_folders,
     path_exists,
@@ -23,6 +25,9 @@ from tidemark.operators.sinks import (
 )
 from tidemark.schemas import BRONZE_KEEP_DAYS, Table
 
+#: A stored file of a fact should have about so many bytes.
+FILE_BYTES = 128 << 20
+
 
 def summing_compaction(df: DataFrame, keys: Sequence[str], additive: Sequence[str],
                        weighted: Mapping[str, str], flags: Sequence[str] = (),
@@ -117,6 +122,29 @@ def cluster_write(df: DataFrame, path: str, partition_by: Sequence[str], sort_co
     return path
 
 
+def range_cluster(df: DataFrame, path: str, partition_by: Sequence[str], sort_cols: Sequence[str], files: int) -> str:
+    """Store rows so that a filter on the first sort column opens few files: key ranges of files do not overlap.
+
+    Spark samples the rows, chooses quantiles of (partition, key) as splitters and gives each range to a task. A
+    key with more rows than a file should have is cut by the other sort columns and a hash of the row, so no
+    task gets all its rows and only its own files share that key; there are fewer such keys than files. ``df``
+    is read three times (once its key alone) and should be a stored table.
+    """
+    rest = [c for c in sort_cols if c not in partition_by]
+    keys = [*partition_by, *rest[:1]]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.count()
+    heavy = counts.where(F.col("_n") * files > total).withColumn("_heavy", F.lit(True)).drop("_n")
+    same = [df[k].eqNullSafe(heavy[k]) for k in keys]
+    marked = df.join(F.broadcast(heavy), same, "left").select(df["*"], "_heavy")
+    cuts = [F.when(F.col("_heavy"), F.col(c)) for c in rest[1:]] + [F.when(F.col("_heavy"), F.xxhash64(*df.columns))]
+    ranged = marked.withColumns({f"_cut{i}": c for i, c in enumerate(cuts)}).repartitionByRange(
+        max(1, files), *keys, *[f"_cut{i}" for i in range(len(cuts))])
+    ordered = ranged.select(df.columns).sortWithinPartitions(*partition_by, *rest)
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
+    return path
+
+
 def store_table(df: DataFrame, root: str, table: Table) -> str:
     """A whole warehouse table with the partitions and order that it declares."""
     placed = stored_layout(project_to(df, table.schema, {"_loaded_at": F.current_timestamp()}), table)
@@ -152,23 +180,39 @@ def finish_swaps(spark: SparkSession, path: str, table: Table) -> None:
         remove_folder(spark, folder)
 
 
-def optimize_table(spark: SparkSession, root: str, table: Table) -> list[str]:
+def optimize_table(spark: SparkSession, root: str, table: Table, file_bytes: int = FILE_BYTES) -> list[str]:
     """Rewrite the slices of a stored table that hold several files, and switch to the new ones.
 
     All such slices are read and written by one job into a folder that readers pass over; aggregates are
-    collapsed on the way. Then each old slice is renamed aside, the new one renamed in place and the old one
-    removed. ``finish_swaps`` repairs what a run left that died in between. Returns the rewritten slices.
+    collapsed on the way. Slices above ``file_bytes`` are cut into files by ranges of the sort key, and are
+    rewritten once they hold clearly more files than they need. Then each old slice is renamed aside, the new
+    one renamed in place and the old one removed. ``finish_swaps`` repairs what a run left that died in between.
+    Returns the rewritten slices.
     """
     path = f"{root}/{table.name}"
     finish_swaps(spark, path, table)
-    many = [f for f in slice_folders(spark, path, table) if count_files(spark, f) > 1]
-    if not many:
-        return []
-    rows = spark.read.schema(table.stored_schema).option("basePath", path).parquet(*many).select(table.schema.names)
-    if table.additive:
-        rows = compacted(rows, table)
-    staged = f"{path}/.compact-{uuid.uuid4().hex}"
-    cluster_write(stored_layout(rows, table), staged, table.partitions, table.order_by)
+    files = {f: n for f in slice_folders(spark, path, table) if (n := count_files(spark, f)) > 1}
+    size = {f: folder_bytes(spark, f) for f in files}
+    large = [f for f in files if size[f] > file_bytes and not table.additive]
+    small = [f for f in files if f not in large]
+    # A range may begin in one slice and end in the next, and sorted files are smaller: only clearly too many count.
+    large = [f for f in large if files[f] > 2 * (math.ceil(size[f] / file_bytes) + 1)]
+    rewritten: list[str] = []
+    for folders in (small, large):
+        if not folders:
+            continue
+        rows = spark.read.schema(table.stored_schema).option("basePath", path).parquet(*folders).select(table.schema.names)
+        staged = f"{path}/.compact-{uuid.uuid4().hex}"
+        if folders is large:
+            range_cluster(stored_layout(rows, table), staged, table.partitions, table.order_by, math.ceil(sum(size[f] for f in large) / file_bytes))
+        else:
+            rows = compacted(rows, table) if table.additive else rows
+            cluster_write(stored_layout(rows, table), staged, table.partitions, table.order_by)
+        rewritten += _swap(spark, path, staged, table)
+    return rewritten
+
+
+def _swap(spark: SparkSession, path: str, staged: str, table: Table) -> list[str]:
     rewritten = []
     for new in partition_folders(spark, staged, f"_p=*/{table.slice_column}=*"):
         month, name = new.rsplit("/", 2)[1:]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import threading
+import uuid
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +55,39 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file that ``write_text`` wrote."""
+    hadoop, fs = _file_system(spark, path)
+    stream = fs.open(hadoop)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def complete(spark: SparkSession, folder: str) -> bool:
+    """Whether the job that wrote a folder has committed."""
+    return path_exists(spark, f"{folder}/_SUCCESS")
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    hadoop, fs = _file_system(spark, path)
+    return fs.getFileStatus(hadoop).getModificationTime()
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder; none if it is not there."""
+    if not path_exists(spark, folder):
+        return []
+    hadoop, fs = _file_system(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop) if s.isFile())
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    hadoop, fs = _file_system(spark, folder)
+    return fs.getContentSummary(hadoop).getLength()
+
+
 def count_files(spark: SparkSession, folder: str) -> int:
     """Data files of one partition folder."""
     path, fs = _file_system(spark, folder)
@@ -142,10 +178,79 @@ def load_fact(df: DataFrame, root: str, table: str, date_key: int) -> str:
     rows = project_to(rows, spec.schema, {"_loaded_at": F.current_timestamp()})
     part = str(date_key)[:len(spec.partition_format)]
     rows = rows.drop("date_key").sortWithinPartitions(*[c for c in spec.order_by if c != "date_key"])
-    replace_folder(rows, f"{target}/_p={part}/date_key={date_key}")
+    spark, written = df.sparkSession, Observation()
+    # A day has no mark while it is written: what a run that died has left is seen as changed.
+    unmark_day(spark, target, date_key)
+    replace_folder(rows.observe(written, *day_fingerprint(spec)), f"{target}/_p={part}/date_key={date_key}")
+    mark_day(spark, target, date_key, [observed(written, n) for n in FINGERPRINT])
     return target
 
 
+FINGERPRINT = ("n_rows", "xor_of_rows", "sum_of_rows")
+
+
+def day_fingerprint(table: Table) -> list[Column]:
+    """Aggregates that tell two contents of a day apart, whatever the order of rows and files.
+
+    Number of rows, and two sums of hashes of a row's columns but the audit ones; repeated rows cancel in the
+    first sum, not in the second.
+    """
+    columns = [c for c in table.schema.names if c not in ("date_key", "_loaded_at", "_batch_id")]
+    return [F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.bit_xor(F.xxhash64(*columns)), F.lit(0)).alias("xor_of_rows"),
+            F.coalesce(F.sum(F.pmod(F.xxhash64(F.lit("sum"), *columns), F.lit(1 << 31))), F.lit(0)).alias("sum_of_rows")]
+
+
+def mark_text(fingerprint: Sequence[int]) -> str:
+    return ".".join(f"{x & (1 << 64) - 1:x}" for x in fingerprint)
+
+
+_UNKNOWN = "unknown"
+
+
+def mark_day(spark: SparkSession, path: str, date_key: int, fingerprint: Sequence[int]) -> None:
+    """The fingerprint of a stored day as the name of an empty file, in place of the one it had."""
+    _set_mark(spark, path, date_key, mark_text(fingerprint))
+
+
+def unmark_day(spark: SparkSession, path: str, date_key: int) -> None:
+    """What a day holds is unknown until it is marked again."""
+    _set_mark(spark, path, date_key, _UNKNOWN)
+
+
+def _set_mark(spark: SparkSession, path: str, date_key: int, mark: str) -> None:
+    others = [n for n in file_names(spark, f"{path}/_marks") if n.startswith(f"{date_key}.") and n != f"{date_key}.{mark}"]
+    write_text(spark, f"{path}/_marks/{date_key}.{mark}", "")
+    for name in others:
+        remove_folder(spark, f"{path}/_marks/{name}")
+
+
+def mark_days(spark: SparkSession, path: str, marks: Mapping[int, str]) -> None:
+    """Marks of many days in one file; days that are marked on their own later count by that."""
+    staged = f"{path}/_marks/.{uuid.uuid4().hex}"
+    write_text(spark, staged, json.dumps(marks))
+    for old in [n for n in file_names(spark, f"{path}/_marks") if n.startswith("all-")]:
+        remove_folder(spark, f"{path}/_marks/{old}")
+    move_folder(spark, staged, f"{path}/_marks/all-{uuid.uuid4().hex}")
+    for name in file_names(spark, f"{path}/_marks"):
+        if name.split(".", 1)[0] in map(str, marks) and name.endswith(f".{_UNKNOWN}"):
+            remove_folder(spark, f"{path}/_marks/{name}")
+
+
+def day_marks(spark: SparkSession, path: str) -> dict[int, str]:
+    """Marks of the stored days: one listing, and one file. A day with an unknown mark has none."""
+    names = file_names(spark, f"{path}/_marks")
+    found: dict[int, str] = {}
+    for name in names:
+        if name.startswith("all-"):
+            found |= {int(day): mark for day, mark in json.loads(read_text(spark, f"{path}/_marks/{name}")).items()}
+    own = [n.split(".", 1) for n in names if n[:1].isdigit()]
+    found |= {int(day): mark for day, mark in own}
+    for day, mark in own:
+        if mark == _UNKNOWN:
+            found.pop(int(day), None)
+    return found
+
+
 def load_dim(df: DataFrame, root: str, table: str) -> str:
     """Replace a warehouse dimension; columns go by name."""
     rows = project_to(df, WAREHOUSE[table].schema, {"_loaded_at": F.current_timestamp()})

@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date as Date
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import date_key, literal, on_day
 from tidemark.functions.keys import surrogate_key
+from tidemark.operators import versions
 from tidemark.operators.dedup import latest_per_key
-from tidemark.operators.sinks import load_dim, load_fact, write_gold_dim, write_gold_fact
+from tidemark.operators.sinks import load_dim, load_fact, write_gold_fact
 from tidemark.schemas import ENTITIES, WAREHOUSE
 from tidemark.schemas import FACT_SOURCES as FACTS
 from tidemark.sources.layers import read_gold_partition, read_silver, read_streamed
@@ -32,8 +34,10 @@ def project_fact(name: str, silver: DataFrame, as_of: datetime | None = None) ->
         "sale_id": surrogate_key("order_id", "product_id", "date_key").alias("sale_id"),
         "_loaded_at": _stamp(as_of),
     }
-    columns = WAREHOUSE[name].schema.names
-    return silver.withColumn("date_key", made.pop("date_key")).select([made.get(c, F.col(c)) for c in columns])
+    columns, key = WAREHOUSE[name].schema.names, made.pop("date_key")
+    # A day key that is there stays a plain column, so its bound moves below the window that made the rows.
+    rows = silver if "date_key" in silver.columns else silver.withColumn("date_key", key)
+    return rows.select([made.get(c, F.col(c)) for c in columns])
 
 
 def build_fact(name: str, silver: DataFrame, date: Day = None, as_of: datetime | None = None) -> DataFrame:
@@ -83,10 +87,46 @@ def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, date:
         write_gold_fact(seen(build_fact(name, source(table, date), date)), gold_root, name, many_days=date is None)
         for name, table in FACTS.items()
     ]
-    return written + [
-        write_gold_dim(seen(build(source(table))), gold_root, name)
-        for name, (table, build) in DIMENSIONS.items()
-    ]
+    return written + [merge_dimension(spark, silver_root, gold_root, name, stream_root, seen) for name in DIMENSIONS]
+
+
+def dimension_rows(spark: SparkSession, silver_root: str, gold_root: str, name: str,
+                   stream_root: str | None = None) -> tuple[DataFrame, dict[str, int]] | None:
+    """The dimension after all batches there are now, and these batches; None if the stored version has them all.
+
+    The newest of what is newest is the newest, so the stored version and the batches that came since are
+    enough. A silver batch that was written again or removed cannot be taken back out: then every batch is
+    read. A streamed batch only ever moves into silver.
+    """
+    table, build = DIMENSIONS[name]
+    found = {f"silver/{b}": stamp for b, stamp in versions.committed_batches(spark, f"{silver_root}/{table}").items()}
+    if stream_root:
+        found |= {f"stream/{b}": stamp for b, stamp in versions.committed_batches(spark, f"{stream_root}/{table}").items()}
+    stored, merged = versions.current(spark, f"{gold_root}/{name}") or (None, {})
+    if any(found.get(b) != stamp for b, stamp in merged.items() if b.startswith("silver/")):
+        stored, merged = None, {}
+    new = sorted(b for b, stamp in found.items() if merged.get(b) != stamp)
+    if stored and not new:
+        return None
+    schema, parts = ENTITIES[table].silver_schema, []
+    for layer, root in (("silver", silver_root), ("stream", stream_root)):
+        folders = [f"{root}/{table}/_batch_id={b.split('/', 1)[1]}" for b in new if b.startswith(f"{layer}/")]
+        if folders:
+            parts.append(spark.read.schema(schema).option("basePath", f"{root}/{table}").parquet(*folders))
+    rows = reduce(DataFrame.unionByName, parts or [spark.createDataFrame([], schema)])
+    if stored:
+        old = spark.read.parquet(stored).withColumnRenamed("created_at", "event_ts").drop("_loaded_at")
+        rows = old.unionByName(rows.select(old.columns))
+    return build(rows), {**merged, **found}
+
+
+def merge_dimension(spark: SparkSession, silver_root: str, gold_root: str, name: str, stream_root: str | None = None,
+                    seen: Callable[[DataFrame], DataFrame] = lambda df: df) -> str:
+    """Write the next version of a dimension: the stored one and the batches that came since."""
+    path, made = f"{gold_root}/{name}", dimension_rows(spark, silver_root, gold_root, name, stream_root)
+    if made:
+        versions.write_version(seen(made[0]), path, made[1])
+    return path
 
 
 def gold_to_warehouse(spark: SparkSession, gold_root: str, warehouse_root: str, date_key: int,

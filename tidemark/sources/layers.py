@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date as Date
 from datetime import datetime
 
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.dates import on_day
 from tidemark.operators.sinks import path_exists, slice_folders, slice_key, slice_of
+from tidemark.operators.versions import current_folder
 from tidemark.schemas import ENTITIES, FACT_SOURCES, WAREHOUSE, bronze_columns, parse_ddl
 
 LANDING_COLUMNS = ("_kafka_offset", "_kafka_partition", "_ingested_at")
@@ -66,14 +68,14 @@ def read_streamed(spark: SparkSession, root: str, table: str, date: str | Date |
 
 
 def read_gold_partition(spark: SparkSession, root: str, table: str, date_key: int | None = None) -> DataFrame:
-    """One date_key of a gold fact, or a whole fact or dimension.
+    """One date_key of a gold fact, or a whole fact, or the newest version of a dimension.
 
     Of one day only its folder is listed, and a day without rows is an empty frame. Facts have the schema
     that the registry declares.
     """
     path, spec = f"{root}/{table}", WAREHOUSE[table]
     if "date_key" not in spec.schema.names or table == "dim_date":
-        return spark.read.parquet(path)
+        return spark.read.parquet(current_folder(spark, path))
     if date_key is None:
         return spark.read.schema(gold_schema(table)).parquet(path)
     folder = f"{path}/date_key={date_key}"
@@ -106,6 +108,14 @@ def read_warehouse(spark: SparkSession, root: str, table: str, since: Date | dat
     return found.select(spec.schema.names)
 
 
+def read_days(spark: SparkSession, root: str, table: str, days: Collection[int]) -> DataFrame:
+    """Some days of a stored fact: only their folders are listed and opened."""
+    spec, path = WAREHOUSE[table], f"{root}/{table}"
+    folders = [f for f in slice_folders(spark, path, spec) if slice_of(f) in days]
+    found = spark.read.schema(spec.stored_schema).option("basePath", path).parquet(*folders) if folders else spark.createDataFrame([], spec.stored_schema)
+    return found.select(spec.schema.names)
+
+
 def discover_layer(spark: SparkSession, root: str) -> DataFrame:
     """Columns of a layer as Spark finds them: name, type, position, partition column or not."""
     found = spark.read.option("mergeSchema", True).parquet(root)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,18 @@ from pyspark.sql import types as T
 from tidemark.functions.casting import normalise_event_time, project_to
 from tidemark.functions.dates import day_columns
 from tidemark.operators.filters import of_type, present
-from tidemark.operators.sinks import move_folder, partition_folders, remove_folder, replace_folder, write_silver
+from tidemark.operators.sinks import (
+    complete,
+    file_names,
+    move_folder,
+    partition_folders,
+    path_exists,
+    read_text,
+    remove_folder,
+    replace_folder,
+    write_silver,
+    write_text,
+)
 from tidemark.schemas import ENTITIES, TOPICS, Entity, topic_entities, topic_schema
 from tidemark.sources.events import parse_events, read_events
 from tidemark.streaming.settings import writer
@@ -102,26 +114,70 @@ def run_all(spark: SparkSession, silver_root: str, options: Mapping[str, Mapping
     return started
 
 
-_GATHERED = ".gathered-"
+_GATHERED, _MARKS = ".gathered-", "_gathered"
+#: Micro-batches for which the mark of their gathering is kept; a checkpoint keeps 100.
+MARKS_KEPT = 1000
 
 
-def gather_streamed(spark: SparkSession, stream_root: str, silver_root: str, table: str) -> str | None:
-    """Move what the streams have written so far into the silver table, as one batch; returns its name.
+def last_committed(spark: SparkSession, checkpoint: str) -> int:
+    """The last micro-batch that a stream has committed and will not write again; -1 before the first."""
+    done = [n for n in file_names(spark, f"{checkpoint}/commits") if n.isdigit()]
+    return max(map(int, done), default=-1)
 
-    Many small batches become files by event day. The batch is named by its last micro-batch. The gathered
-    folders are first renamed to names that readers pass over, then removed; a run that dies before the
-    renaming is repeated whole, and rows that are in both places are one row in gold.
+
+def _stream_of(spark: SparkSession, checkpoint: str) -> str:
+    """What tells a stream from one that began again with an empty checkpoint."""
+    return json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"][:8]
+
+
+def _ready(spark: SparkSession, path: str, last: int) -> list[str]:
+    """Folders of batches that are whole (their job has committed) and final (their stream has)."""
+    return [f for f in partition_folders(spark, path, "_batch_id=stream_*")
+            if int(f.rsplit("_", 1)[1]) <= last and complete(spark, f)]
+
+
+def gather_streamed(spark: SparkSession, stream_root: str, silver_root: str, table: str,
+                    checkpoint: str | None = None) -> str | None:
+    """Move the micro-batches that a stream has committed into the silver table, as one batch; returns its name.
+
+    May run beside the stream. Taken are folders whose writing job has ended and whose batch stands in the
+    commit log of the stream's checkpoint: one that is being written, or may be written again, stays. Each
+    taken batch leaves a mark, by which the next gathering knows a replay of it (from a checkpoint set back)
+    and drops it; until then its rows are in both places, which is one row in gold. Many small batches become files by event day; the batch is
+    named by its stream and last micro-batch. The gathered folders are first renamed to names that readers pass
+    over, then removed; a run that dies before the renaming is repeated whole, and rows that are in both places
+    are one row in gold.
     """
-    path = f"{stream_root}/{table}"
-    folders = partition_folders(spark, path, "_batch_id=*")
+    path, entity = f"{stream_root}/{table}", ENTITIES[table]
+    checkpoint = checkpoint or f"{stream_root}/_checkpoints/{entity.topic}"
+    last = last_committed(spark, checkpoint)
+    if last < 0 or not path_exists(spark, path):
+        return None
+    stream, ready = _stream_of(spark, checkpoint), _ready(spark, path, last)
+    gathered = set(file_names(spark, f"{path}/{_MARKS}"))
+    folders = []
+    for folder in ready:
+        if f"{stream}-{folder.rsplit('=', 1)[1]}" in gathered:
+            remove_folder(spark, folder)  # a replay: its rows are in silver
+        else:
+            folders.append(folder)
     if not folders:
         return None
-    entity = ENTITIES[table]
-    last = folders[-1].rsplit("=", 1)[1]
+    name = f"{folders[-1].rsplit('=', 1)[1]}_{stream}_gathered"
     rows = spark.read.schema(entity.silver_schema).option("basePath", path).parquet(*folders)
-    write_silver(present(rows, "event_ts"), silver_root, table, f"{last}_gathered")
+    write_silver(present(rows, entity.key if entity.dimension else "event_ts"), silver_root, table, name)
     for folder in folders:
-        aside = f"{path}/{_GATHERED}{folder.rsplit('=', 1)[1]}"
+        batch = folder.rsplit("=", 1)[1]
+        write_text(spark, f"{path}/{_MARKS}/{stream}-{batch}", "")
+        aside = f"{path}/{_GATHERED}{batch}"
         move_folder(spark, folder, aside)
         remove_folder(spark, aside)
-    return f"{last}_gathered"
+    _forget_marks(spark, path, stream, last)
+    return name
+
+
+def _forget_marks(spark: SparkSession, path: str, stream: str, last: int) -> None:
+    """Streams go back by the batches their checkpoint keeps at most; marks of older batches are removed."""
+    for name in file_names(spark, f"{path}/{_MARKS}"):
+        if name.startswith(f"{stream}-") and int(name.rsplit("_", 1)[1]) < last - MARKS_KEPT:
+            remove_folder(spark, f"{path}/{_MARKS}/{name}")

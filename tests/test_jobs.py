@@ -132,3 +132,17 @@ def test_dates_and_options():
     args = jobs.parser().parse_args(["stream", "--lake", "/x", "--option", "format=text", "--option", "path=/a=b"])
     assert jobs.key_values(args.option) == {"format": "text", "path": "/a=b"}
     assert jobs.topic_options({"path": "/in/{topic}"}, "social") == {"path": "/in/social"}
+
+
+def test_hours_of_readings_and_their_late_ones(spark, folder):
+    lake, src = f"{folder}/lake", f"{folder}/src"
+
+    def arrive(name, *minutes):
+        feed(f"{src}/sensors", name, *[{"reading_id": f"{name}{m}", "location_id": "L1", "temperature": float(m), "event_ts": stamp(m)} for m in minutes])
+        jobs.main(["hours", "--lake", lake, "--available-now", "--option", "format=text", "--option", f"path={src}/{{topic}}"], spark)
+
+    arrive("a", 0, 20, 8 * 60)
+    arrive("b", 40)
+    jobs.main(["fold", "--lake", lake], spark)
+    rows = spark.read.parquet(f"{lake}/hours/hours").collect()
+    assert [(r.hour_ts, r.avg_temp, r.reading_count) for r in rows] == [(START, 20.0, 3)]

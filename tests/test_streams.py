@@ -15,7 +15,7 @@ from tidemark.plans.gold import build_fact
 from tidemark.schemas import ENTITIES, topic_schema
 from tidemark.sources.events import parse_events, read_events
 from tidemark.sources.layers import read_bronze, read_silver, read_streamed
-from tidemark.streaming import landing, quarantine, stateful, topics
+from tidemark.streaming import hours, landing, quarantine, stateful, topics
 from tidemark.streaming.settings import drain, writer
 
 START = datetime(2024, 1, 5, 10)
@@ -297,6 +297,93 @@ def test_hours_are_emitted_once_and_late_readings_ignored(spark, folder):
     assert got == [(10, 15.0, 2), (11, 50.0, 1), (13, 1.0, 1)]
 
 
+def newest_of(spark, folder, options, apart="1 hour"):
+    events = parse_events(read_events(spark, "sensors", options), ENTITIES["sensors"].schema)
+    newest = stateful.newest_stream(events, "reading_id", apart, "30 minutes")
+    return drain(writer(newest, "n", f"{folder}/cp", True).outputMode("append").format("parquet").start(f"{folder}/out"))
+
+
+def test_newest_copy_is_emitted_once_whatever_the_order(spark, folder):
+    def row(key, minutes, temperature):
+        return {"reading_id": key, "temperature": temperature, "event_ts": stamp(minutes)}
+
+    src, same = f"{folder}/src", row("tie", 3, 1.0)
+    options = feed(src, "1", row("a", 30, 3.0), row("a", 0, 1.0), row(None, 0, 1.0), same, row("tie", 3, 2.0), same,
+                   {"reading_id": "no time"}, row("no value", 1, None))
+    newest_of(spark, folder, options)
+    feed(src, "2", row("a", 15, 2.0), row("b", 300, 1.0))
+    newest_of(spark, folder, options)
+    feed(src, "3", row("c", 900, 1.0))
+    query = newest_of(spark, folder, options)
+    rows = [(r.reading_id, r.temperature, r.event_ts.minute) for r in spark.read.parquet(f"{folder}/out").collect()]
+    assert sorted(rows, key=str) == [("a", 3.0, 30), ("b", 1.0, 0), ("no value", None, 1), ("tie", 2.0, 3)]
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 1  # c: the others have left the state
+
+
+def test_newest_copy_costs_one_row_a_task(spark, folder):
+    src = f"{folder}/src"
+    for part in range(4):
+        options = feed(src, str(part), *[{"reading_id": "hot", "temperature": float(i), "event_ts": stamp(i / 100)} for i in range(500)])
+    query = newest_of(spark, folder, options)
+    plan = query._jsq.explainInternal(False)
+    assert plan.index("MergingSessions", plan.index("SessionWindowStateStoreRestore")) > 0
+    assert "MergingSessions" in plan[plan.index("Exchange"):]  # also below the shuffle
+    assert query.recentProgress[0]["stateOperators"][0]["numRowsTotal"] == 1
+
+
+def late_run(spark, folder, options):
+    events = parse_events(read_events(spark, "sensors", options), ENTITIES["sensors"].schema)
+    return drain(hours.hourly_with_late(events, f"{folder}/out", f"{folder}/cp", timedelta(minutes=30), available_now=True))
+
+
+def hours_of(spark, folder):
+    return sorted((r.hour_ts.hour, r.location_id, r.avg_temp, r.reading_count) for r in hours.read_hours(spark, f"{folder}/out").collect())
+
+
+def reading_at(minutes, temperature, location="L1"):
+    return {"reading_id": "x", "location_id": location, "temperature": temperature, "event_ts": stamp(minutes)}
+
+
+def test_late_readings_are_kept_and_folded_once(spark, folder):
+    src, out, schema = f"{folder}/src", f"{folder}/out", ENTITIES["sensors"].schema
+    options = feed(src, "1", reading_at(0, 10.0), reading_at(59, 20.0), reading_at(60, None), {"reading_id": "no time"})
+    late_run(spark, folder, options)
+    assert hours.read_late(spark, out, schema).count() == 0 and hours.fold_late(spark, out, f"{folder}/cp") == []
+    feed(src, "2", reading_at(200, 1.0), reading_at(20, 30.0))  # the old one is in time: its hour closes after this batch
+    late_run(spark, folder, options)
+    assert hours_of(spark, folder) == [(10, "L1", 20.0, 3), (11, "L1", None, 1)]
+    feed(src, "3", reading_at(10, 100.0), reading_at(-50, 5.0, "L2"), reading_at(201, 3.0))
+    late_run(spark, folder, options)
+    assert sorted(r.temperature for r in hours.read_late(spark, out, schema).collect()) == [5.0, 100.0]
+    assert hours_of(spark, folder) == [(10, "L1", 20.0, 3), (11, "L1", None, 1)]
+    assert hours.fold_late(spark, out, f"{folder}/cp") == [2024010509, 2024010510]
+    want = [(9, "L2", 5.0, 1), (10, "L1", 40.0, 4), (11, "L1", None, 1)]
+    assert hours_of(spark, folder) == want
+    assert hours.fold_late(spark, out, f"{folder}/cp") == []
+    shutil.rmtree(f"{out}/_folded")  # a run that died before its marks: done again, nothing counted twice
+    hours.fold_late(spark, out, f"{folder}/cp")
+    assert hours_of(spark, folder) == want
+
+
+def test_replayed_batch_of_readings_changes_nothing(spark, folder):
+    src = f"{folder}/src"
+    options = feed(src, "1", reading_at(0, 10.0), reading_at(300, 1.0))
+    late_run(spark, folder, options)
+    feed(src, "2", reading_at(5, 50.0), reading_at(310, 2.0), reading_at(500, 1.0))
+    late_run(spark, folder, options)
+    hours.fold_late(spark, f"{folder}/out", f"{folder}/cp")
+    before = hours_of(spark, folder)
+    assert before == [(10, "L1", 30.0, 2), (15, "L1", 1.5, 2)]
+    last = max(int(n) for n in os.listdir(f"{folder}/cp/commits") if n.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        if os.path.exists(f"{folder}/cp/commits/{name}"):
+            os.remove(f"{folder}/cp/commits/{name}")
+    late_run(spark, folder, options)
+    hours.fold_late(spark, f"{folder}/out", f"{folder}/cp")
+    assert hours_of(spark, folder) == before
+    assert hours.read_late(spark, f"{folder}/out", ENTITIES["sensors"].schema).count() == 1
+
+
 def every_topic(folder):
     return {
         "transactions": feed(f"{folder}/t", "1", order("o1"), order("o1", minutes=5, total_amount=42.0), CUSTOMER, PRODUCT),

@@ -245,6 +245,14 @@ def sensor_feed(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataF
     return typed.select(line.alias("value"))
 
 
+def late_sensor_feed(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The messages of readings in three parts: what came in time, a later week, and what came after both."""
+    typed = readings(spark, sf_dir, repeats=True)
+    early = F.dayofmonth("event_ts") <= 20
+    late = early & ((F.minute("event_ts") < 20) | (F.hour("event_ts") == 3))
+    return [typed.filter(part).select(_json(typed).alias("value")) for part in (early & ~late, ~early, late)]
+
+
 def sensor_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON messages, one per reading."""
     typed = readings(spark, sf_dir)

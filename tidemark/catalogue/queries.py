@@ -8,7 +8,7 @@ working folder of the cluster and return what a reader of the written table sees
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -23,12 +23,12 @@ from tidemark.functions.dates import date_key
 from tidemark.operators import maintenance, quality, runlog, sinks
 from tidemark.operators.dedup import latest_version
 from tidemark.operators.joins import unpartitioned, with_day_stats
-from tidemark.plans import gold, incremental, marts, medallion, refresh, reports, silver, staging
+from tidemark.plans import checks, gold, incremental, marts, medallion, refresh, reports, silver, staging
 from tidemark.schemas import ENTITIES, TOPICS, WAREHOUSE, required_fields
 from tidemark.session import configure, new_folder
 from tidemark.sources import layers, seeds
 from tidemark.sources.events import parse_events, read_events
-from tidemark.streaming import landing, quarantine, stateful, topics
+from tidemark.streaming import hours, landing, quarantine, stateful, topics
 from tidemark.streaming.settings import drain, writer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -751,6 +751,42 @@ def stream_hourly(spark, sf_dir):
     return comparable(spark.read.parquet(out), HOURLY_DIGITS)
 
 
+@query(o.sql(RAW_READINGS, f"{LATEST_READING} select {STREAMED_READING} from latest"))
+def stream_dedup_newest(spark, sf_dir):
+    """Readings and their corrections, the newer half first: the stream emits the newest copy, as the batch rule does."""
+    messages = d.sensor_feed(spark, sf_dir)
+    newer_first = F.minute(F.get_json_object("value", "$.event_ts").cast("timestamp")) % 2 == 1
+    folder = written_feed(spark, messages.filter(newer_first).coalesce(1), "sensors")
+    messages.filter(F.coalesce(~newer_first, F.lit(True))).coalesce(1).write.mode("append").text(folder)
+    d.closing_message(spark, sf_dir).write.mode("append").text(folder)
+    source = text_stream(folder) | {"maxFilesPerTrigger": "1"}
+    events = parse_events(read_events(spark, "sensors", source), ENTITIES["sensors"].schema)
+    out = new_folder(spark, "silver")
+    drain(writer(stateful.newest_stream(events, "reading_id", "6 hours", d.LATENESS), "newest", f"{out}/_checkpoint", True)
+          .outputMode("append").format("parquet").start(out))
+    return comparable(spark.read.parquet(out))
+
+
+@query(o.sql(RAW_READINGS, f"""select hour_ts, location_id, {HOURLY_ROUNDED}, reading_count, late_count from (
+  select date_trunc('hour', event_ts) as hour_ts, location_id, avg(temperature) as avg_temp, avg(pressure) as avg_pressure,
+    avg(humidity) as avg_humidity, count(*) as reading_count,
+    count(*) filter (day(event_ts) <= 20 and (minute(event_ts) < 20 or hour(event_ts) = 3)) as late_count
+  from raw_readings where event_ts is not null group by 1, 2)"""))
+def stream_hourly_late(spark, sf_dir):
+    """Hourly averages with a lateness of hours and files out of order; late readings are kept and folded in."""
+    folder, root = new_folder(spark, "feed-late"), new_folder(spark, "hours")
+    for part in (*d.late_sensor_feed(spark, sf_dir), d.closing_message(spark, sf_dir)):
+        part.coalesce(1).write.mode("append").text(folder)
+    schema, checkpoint = ENTITIES["sensors"].schema, f"{root}/_checkpoint"
+    events = parse_events(read_events(spark, "sensors", text_stream(folder) | {"maxFilesPerTrigger": "1"}), schema)
+    drain(hours.hourly_with_late(events, root, checkpoint, timedelta(hours=6), available_now=True))
+    hours.fold_late(spark, root, checkpoint)
+    late = (hours.read_late(spark, root, schema).groupBy(F.date_trunc("hour", "event_ts").alias("hour_ts"), "location_id")
+            .agg(F.count(F.lit(1)).alias("late_count")))
+    found = hours.read_hours(spark, root).join(late, ["hour_ts", "location_id"], "left")
+    return comparable(found.fillna(0, ["late_count"]), HOURLY_DIGITS)
+
+
 @query(o.sql((*TRANSACTIONS, o.EV, o.REPEATED_READINGS, o.TRADES, o.POSTS), """
 , checked as (
   select 'sensors' as topic, reading_id as id, case when humidity < 0 and temperature is not null then 'malformed_json'
@@ -938,6 +974,26 @@ def dq_report(spark, sf_dir):
     })
 
 
+@query(o.sql((o.EV, o.REPEATED_READINGS, o.TRADES, "timed as (select * from raw_readings where event_ts is not null)",
+              "traded as (select * from trade_ev where event_ts is not null)"), " union all ".join([
+    _check_sql("fact_sensor_readings", "reading_id", ("timed",)), _check_sql("fact_trades", "trade_id", ("traded",))])))
+def dq_incremental(spark, sf_dir):
+    """Declared tests on stored facts, run twice: after days were loaded and redelivered only these are read."""
+    root, late = new_folder(spark, "warehouse"), (20240104, 20240111, 20240118)
+    facts = {"fact_sensor_readings": d.readings(spark, sf_dir, repeats=True), "fact_trades": d.trades(spark, sf_dir)}
+    spec = {name: quality.CHECKS[name] for name in facts}
+    for name, rows in facts.items():
+        timed = rows.filter(F.col("event_ts").isNotNull()).withColumn("date_key", date_key(F.col("event_ts")))
+        table = WAREHOUSE[name]
+        early = timed.filter(~F.col("date_key").isin(*late) | (F.col("date_key") != late[0]) & (F.hour("event_ts") < 12))
+        maintenance.store_table(early, root, table)
+        whole = spark.read.parquet(sinks.write_gold_fact(sinks.project_to(timed, table.schema), root, f"gold_{name}", many_days=True))
+        checks.run_checks_by_day(spark, root, f"{root}/index", {name: spec[name]})
+        for day in late:
+            sinks.load_fact(whole.filter(F.col("date_key") == day), root, name, day)
+    return checks.run_checks_by_day(spark, root, f"{root}/index", spec)
+
+
 @query(o.sql((o.ORDERS, o.REPEATED_SALES), "select sale_id, count(*) as rows from sales_rows group by 1 having count(*) > 1"))
 def dq_unique(spark, sf_dir):
     return quality.check_unique(repeated_sales_of(spark, sf_dir), "sale_id")

@@ -8,20 +8,22 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import maintenance, quality, runlog, sinks
-from tidemark.plans import gold, incremental, refresh, silver
-from tidemark.schemas import ENTITIES, TOPICS, WAREHOUSE
+from tidemark.plans import checks, gold, incremental, refresh, silver
+from tidemark.schemas import ENTITIES, TOPICS, WAREHOUSE, topic_schema
 from tidemark.session import build_session, configure
 from tidemark.sources import seeds
 from tidemark.sources.events import read_events
 from tidemark.sources.layers import read_warehouse
-from tidemark.streaming import landing, topics
+from tidemark.streaming import hours, landing, topics
 
+#: How long after its end an hour of readings closes.
+LATENESS = timedelta(hours=6)
 PARTITIONED = tuple(t for t in WAREHOUSE.values() if t.partition_format)
 
 
@@ -73,6 +75,13 @@ def stream(spark: SparkSession, lake: str, options: dict[str, str], available_no
     ])
 
 
+def stream_hours(spark: SparkSession, lake: str, options: dict[str, str], available_now: bool) -> None:
+    """Sensor readings to hourly averages; readings of closed hours are kept for ``fold``."""
+    readings = topics.typed_stream(read_events(spark, "sensors", topic_options(options, "sensors")), topic_schema("sensors"))
+    _logged_streams(spark, lake, "hours", available_now, lambda: [
+        hours.hourly_with_late(readings, f"{lake}/hours", f"{lake}/checkpoints/hours", LATENESS, available_now=available_now)])
+
+
 def gather(spark: SparkSession, lake: str) -> None:
     for table in ENTITIES:
         topics.gather_streamed(spark, f"{lake}/silver_stream", f"{lake}/silver", table)
@@ -90,7 +99,7 @@ def init(spark: SparkSession, lake: str) -> None:
 
 def rebuild_marts(spark: SparkSession, lake: str, run: runlog.Run) -> None:
     """Check the loaded facts, then compute the changed days of the three marts; a failed check fails the job."""
-    quality.require_passed(quality.run_checks({n: read_warehouse(spark, f"{lake}/warehouse", n) for n in quality.CHECKS}))
+    quality.require_passed(checks.run_checks_by_day(spark, f"{lake}/warehouse", f"{lake}/checks"))
     for name in incremental.MARTS:
         incremental.refresh_mart(spark, name, f"{lake}/warehouse", f"{lake}/marts", run.writing)
 
@@ -132,7 +141,8 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--date", type=date.fromisoformat, default=today)
         return sub
 
-    for name, text in (("land", "topics to raw files"), ("stream", "topics to typed tables")):
+    for name, text in (("land", "topics to raw files"), ("stream", "topics to typed tables"),
+                       ("hours", "sensor readings to hourly averages")):
         sub = job(name, text)
         sub.add_argument("--option", action="append", default=[], help="source option key=value")
         sub.add_argument("--available-now", action="store_true", help="work off what is there and stop")
@@ -143,6 +153,7 @@ def parser() -> argparse.ArgumentParser:
     job("refresh", "rebuild the newest days and hours of the aggregates").add_argument(
         "--as-of", type=datetime.fromisoformat, default=datetime.now(timezone.utc))
     job("gather", "streamed batches into the silver tables")
+    job("fold", "late readings into the hours they belong to")
     job("init", "fixed dimensions and table declarations")
     job("optimize", "rewrite slices of many files")
     job("expire", "remove raw days, facts and log rows past their time").add_argument(
@@ -154,8 +165,8 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     args = parser().parse_args(arguments)
     spark = configure(spark) if spark else build_session(f"tidemark-{args.job}")
     lake = args.lake.rstrip("/")
-    if args.job in ("land", "stream"):  # every micro-batch is a run of its own
-        {"land": land, "stream": stream}[args.job](spark, lake, key_values(args.option), args.available_now)
+    if args.job in STREAMS:  # every micro-batch is a run of its own
+        STREAMS[args.job](spark, lake, key_values(args.option), args.available_now)
         return
     with runlog.logged_run(spark, runs_path(lake), args.job, STAGE_OF[args.job]) as run:
         if args.job == "silver":
@@ -171,6 +182,8 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
             refresh_aggregates(spark, lake, args.as_of)
         elif args.job == "gather":
             gather(spark, lake)
+        elif args.job == "fold":
+            hours.fold_late(spark, f"{lake}/hours", f"{lake}/checkpoints/hours")
         elif args.job == "init":
             init(spark, lake)
         elif args.job == "optimize":
@@ -179,7 +192,8 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
             expire(spark, lake, args.as_of)
 
 
-STAGE_OF = {"silver": "silver", "gather": "silver", "gold": "gold", "load": "warehouse", "init": "warehouse",
+STREAMS = {"land": land, "stream": stream, "hours": stream_hours}
+STAGE_OF = {"silver": "silver", "gather": "silver", "fold": "hours", "gold": "gold", "load": "warehouse", "init": "warehouse",
             "optimize": "warehouse", "expire": "warehouse", "marts": "marts", "refresh": "marts"}
 
 

@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     # Streaming state grows with the number of open keys: keep it off the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Copies of a key are merged before the shuffle, so a hot key sends one row a task.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

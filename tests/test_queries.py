@@ -54,3 +54,24 @@ def test_time_filters_reach_the_files(spark, small, plan):
     store_table(fact_trades_of(spark, small), root, WAREHOUSE["fact_trades"])
     text = plan(refresh_trading_volume(read_warehouse(spark, root, "fact_trades"), EVENTS_AS_OF))
     assert "GreaterThanOrEqual(event_ts," in text and "date_key" in text.split("PartitionFilters")[1].split("]")[0]
+
+
+def scans(node):
+    """Metrics of all scans of an executed plan."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        yield from scans(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        yield from scans(node.plan())
+    if kind == "FileSourceScanExec":
+        yield node.metrics()
+    for i in range(node.children().size()):
+        yield from scans(node.children().apply(i))
+
+
+def test_calendar_prunes_the_days_of_a_stored_fact(spark, small, plan):
+    """Weekends are chosen while the query runs: the folders read are those of their days."""
+    result = contract.queries()["weekend_trading"](spark, small)
+    days = {r.date_key for r in result.collect()}
+    read = [m.apply("numPartitions").value() for m in scans(result._jdf.queryExecution().executedPlan()) if m.contains("numPartitions")]
+    assert "dynamicpruning" in plan(result) and read == [len(days)] and len(days) < 12

@@ -13,7 +13,7 @@ from tidemark.plans.gold import build_fact
 from tidemark.plans.silver import bronze_to_silver
 from tidemark.schemas import WAREHOUSE
 from tidemark.session import new_folder, working_root
-from tidemark.sources.layers import discover_layer, read_bronze, read_gold_partition, read_silver, read_warehouse
+from tidemark.sources.layers import discover_layer, read_bronze, read_gold_partition, read_silver, read_warehouse, register_layer
 
 DAY = datetime(2024, 1, 5)
 
@@ -205,6 +205,21 @@ def test_layer_discovery(spark, folder):
     assert found["source"] == ("string", True) and found["hour"][1]
 
 
+def test_registered_partitions_follow_the_folders(spark, folder):
+    schema, name = "id int, _year int, _day int", "found_" + folder.rsplit("-", 1)[1]
+    rows = spark.createDataFrame([(1, 2024, 1), (2, 2024, 2), (3, 2024, 2)], schema)
+
+    def found():
+        return sorted(map(tuple, register_layer(spark, name, folder, rows.schema, ("_year", "_day")).collect()))
+    assert found() == []
+    rows.write.mode("append").partitionBy("_year", "_day").parquet(folder)
+    assert spark.table(name).count() == 0  # not registered yet
+    assert found() == [("2024", "1"), ("2024", "2")] and spark.table(name).where("_day = 2").count() == 2
+    sinks.remove_folder(spark, f"{folder}/_year=2024/_day=1")
+    assert found() == [("2024", "2")] and spark.table(name).count() == 2
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_log_rows_are_added(spark, folder):
     row = spark.createDataFrame([("i1", "q", DAY)], "insight_id string, user_query string, created_at timestamp")
     for _ in range(2):

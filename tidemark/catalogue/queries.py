@@ -22,7 +22,7 @@ from tidemark.functions.casting import cast_to_schema
 from tidemark.functions.dates import date_key
 from tidemark.operators import maintenance, quality, runlog, sinks
 from tidemark.operators.dedup import latest_version
-from tidemark.operators.joins import unpartitioned, with_day_stats
+from tidemark.operators.joins import on_days_of, unpartitioned, with_day_stats
 from tidemark.plans import checks, gold, incremental, marts, medallion, refresh, reports, silver, staging
 from tidemark.schemas import ENTITIES, TOPICS, WAREHOUSE, required_fields
 from tidemark.session import configure, new_folder
@@ -187,6 +187,36 @@ def readings_per_location(spark, sf_dir):
             .withColumn("readings", F.coalesce("readings", F.lit(0))))
 
 
+@query(o.sql(o.TRADING, """
+select date_key, cast(isodow(event_ts) as int) as day_of_week, upper(trim(asset)) as asset, count(*) as trades,
+  cast(sum(total_value) as double) as total_value
+from fact_trades where isodow(event_ts) in (6, 7) group by 1, 2, 3"""))
+def weekend_trading(spark, sf_dir):
+    """Stored trades of the days that the stored calendar calls weekend: other day folders are not opened."""
+    root = new_folder(spark, "warehouse")
+    maintenance.store_table(fact_trades_of(spark, sf_dir), root, WAREHOUSE["fact_trades"])
+    sinks.load_dim(seeds.date_dimension(spark).coalesce(1), root, "dim_date")
+    trades, calendar = layers.read_warehouse(spark, root, "fact_trades"), layers.read_warehouse(spark, root, "dim_date")
+    days = on_days_of(trades, calendar, F.col("is_weekend") == 1, "day_of_week")
+    return comparable(days.groupBy("date_key", "day_of_week", F.upper(F.trim("asset")).alias("asset")).agg(
+        F.count(F.lit(1)).alias("trades"), F.sum("total_value").alias("total_value")))
+
+
+@query(o.sql(o.TRADING, """
+select cast(day(event_ts) as varchar) as _day, case when day(event_ts) <= 15 then 'first' else 'second' end as _batch_id,
+  count(*) as rows from trade_ev where event_type = 'trade_executed' group by 1, 2"""))
+def discovered_partitions(spark, sf_dir):
+    """A silver table found by its folders: partitions are registered, again after a second batch, and counted."""
+    root, entity = new_folder(spark, "silver"), ENTITIES["financial"]
+    name, raw = "silver_" + root.rsplit("-", 1)[1], d.trades(spark, sf_dir)
+    for batch, rows in (("first", F.dayofmonth("event_ts") <= 15), ("second", F.dayofmonth("event_ts") > 15)):
+        sinks.write_silver(silver.to_silver(raw.filter(rows), entity, batch), root, "financial", batch)
+        found = layers.register_layer(spark, name, f"{root}/financial", entity.silver_schema, entity.partitions)
+    counts = spark.table(name).groupBy(*[F.col(c).cast("string").alias(c) for c in entity.partitions]).agg(
+        F.count(F.lit(1)).alias("rows"))
+    return found.join(counts, list(entity.partitions), "left").select("_day", "_batch_id", "rows")
+
+
 @query(o.sql(o.TRADING, f"""select {TRADE_COLUMNS.replace('side,', "case when date_key % 2 = 0 then 'sell' else side end as side,")}
 from fact_trades"""))
 def fact_after_redelivery(spark, sf_dir):

@@ -10,7 +10,7 @@ the join, see ``unpartitioned``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "unknown"  # fixed value: name of a missing region or category
@@ -53,3 +53,12 @@ def with_day_stats(hourly: DataFrame, stats: DataFrame) -> DataFrame:
         & (F.date_trunc("day", F.col("hour_ts")) == F.col("day_ts")),
         "left",
     ).drop("_location")
+
+
+def on_days_of(fact: DataFrame, calendar: DataFrame, chosen: Column, *columns: str) -> DataFrame:
+    """Facts of the days that a condition on the calendar chooses, with the named columns of the calendar.
+
+    On a stored fact, whose folders are its days, the chosen days become a filter on the folders while the query
+    runs (dynamic partition pruning): other days are not opened. Days missing from the calendar drop out.
+    """
+    return fact.join(calendar.filter(chosen).select("date_key", *columns), "date_key")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Sequence
 from datetime import date as Date
 from datetime import datetime
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.dates import on_day
-from tidemark.operators.sinks import path_exists, slice_folders, slice_key, slice_of
+from tidemark.operators.sinks import ensure_table, path_exists, slice_folders, slice_key, slice_of
 from tidemark.operators.versions import current_folder
 from tidemark.schemas import ENTITIES, FACT_SOURCES, WAREHOUSE, bronze_columns, parse_ddl
 
@@ -124,3 +124,16 @@ def discover_layer(spark: SparkSession, root: str) -> DataFrame:
     rows = [(i, f.name, f.dataType.simpleString(), f.name in partitions)
             for i, f in enumerate(found.schema.fields)]
     return spark.createDataFrame(rows, "position int, name string, type string, is_partition boolean")
+
+
+def register_layer(spark: SparkSession, name: str, root: str, schema: T.StructType, partitions: Sequence[str]) -> DataFrame:
+    """A folder of partitions as a table of the catalog, with the partitions found now; returns them.
+
+    Folders are listed by tasks (``recoverPartitions``), so a layer of many days costs the driver one entry for
+    each partition and no file. Called again, it adds partitions that came since and forgets those whose folder is gone. The
+    result has the partition columns as text: one row for each registered partition.
+    """
+    ensure_table(spark, name, schema, tuple(partitions), root)
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    found = F.str_to_map("partition", F.lit("/"), F.lit("="))
+    return spark.sql(f"SHOW PARTITIONS {name}").select(*[F.element_at(found, c).alias(c) for c in partitions])

@@ -883,6 +883,28 @@ def topic_progress(spark, sf_dir):
     return runlog.topic_progress(spark, log.path).groupBy("name").agg(F.sum("num_input_rows").alias("messages"))
 
 
+@query(o.sql(ALL_EVENTS, f"""
+, messages as ({MESSAGES})
+select name, messages, messages as logged_rows, true as one_run_each from messages"""))
+def folded_progress(spark, sf_dir):
+    """Messages by stream as the folded progress and the run log tell them; both are settled after every stream."""
+    log, runs = runlog.ProgressLog(spark, new_folder(spark, "progress")), new_folder(spark, "runs")
+    spark.streams.addListener(log)
+    try:
+        root = new_folder(spark, "silver")
+        for topic, feed in d.FEEDS.items():
+            folder = written_feed(spark, feed(spark, sf_dir), topic)
+            log.wait(drain(topics.stream_topic(spark, topic, root, text_stream(folder), available_now=True)))
+            runlog.settle_streams(spark, runs, log.path, "silver")
+    finally:
+        spark.streams.removeListener(log)
+    runlog.settle_streams(spark, runs, log.path, "silver")
+    told = runlog.topic_progress(spark, log.path).groupBy("name").agg(F.sum("num_input_rows").alias("messages"))
+    logged = spark.read.schema(runlog.RUNS.schema).parquet(runs).groupBy(F.col("dag_id").alias("name")).agg(
+        F.sum("rows_read").alias("logged_rows"), (F.count("run_id") == F.countDistinct("run_id")).alias("one_run_each"))
+    return told.join(logged, "name")
+
+
 @query(o.sql(ALL_EVENTS, """
 select 'transactions' as table_name, count(*) as rows, count(distinct order_id) as keys from orders_ev
 union all select 'customers', count(*), count(distinct customer_id) from customer_ev

@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import argparse
+import warnings
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
@@ -24,7 +25,9 @@ from tidemark.streaming import hours, landing, topics
 
 #: How long after its end an hour of readings closes.
 LATENESS = timedelta(hours=6)
-PARTITIONED = tuple(t for t in WAREHOUSE.values() if t.partition_format)
+#: Seconds between two rounds of writing the runs of streams that go on into the run log.
+SETTLE_SECONDS = 300
+PARTITIONED = tuple(t for t in WAREHOUSE.values() if t.partition_format and t is not runlog.RUNS)
 
 
 def runs_path(lake: str) -> str:
@@ -37,25 +40,34 @@ def topic_options(options: dict[str, str], topic: str) -> dict[str, str]:
 
 
 def _logged_streams(spark: SparkSession, lake: str, stage: str, available_now: bool, start) -> None:
-    """Run streams with their progress logged; their batches become rows of the run log when they end."""
+    """Run streams with their progress logged; their batches become rows of the run log while the streams go on."""
     log = runlog.ProgressLog(spark, f"{lake}/progress/{stage}")
+
+    def settle() -> None:
+        runlog.settle_streams(spark, runs_path(lake), log.path, stage)
+
+    def settle_meanwhile() -> None:
+        try:
+            settle()
+        except Exception as error:  # the streams go on; the next round does what this one did not
+            warnings.warn(f"runs of {stage} are not in the run log yet: {error}", stacklevel=2)
+
     spark.streams.addListener(log)
     started: list[StreamingQuery] = []
     try:
         started += start()
         for query in started:
-            if available_now:
-                query.awaitTermination()
-        if not available_now:
-            spark.streams.awaitAnyTermination()
+            while available_now and not query.awaitTermination(SETTLE_SECONDS):
+                settle_meanwhile()
+        while not available_now and not spark.streams.awaitAnyTermination(SETTLE_SECONDS):
+            settle_meanwhile()
     finally:
         for query in started:
             if query.isActive:
                 query.stop()
             log.wait(query)
         spark.streams.removeListener(log)
-        if sinks.path_exists(spark, log.path):
-            runlog.record_stream_runs(spark, runs_path(lake), log.path, stage)
+        settle()
 
 
 def land(spark: SparkSession, lake: str, options: dict[str, str], available_now: bool) -> None:
@@ -94,7 +106,8 @@ def init(spark: SparkSession, lake: str) -> None:
             sinks.load_dim(rows.coalesce(1), f"{lake}/warehouse", name)
     for table in WAREHOUSE.values():
         parts = table.partitions if table.partition_format else ()
-        sinks.ensure_table(spark, table.name, table.stored_schema if parts else table.schema, parts, f"{lake}/warehouse/{table.name}")
+        location = runs_path(lake) if table is runlog.RUNS else f"{lake}/warehouse/{table.name}"
+        sinks.ensure_table(spark, table.name, table.stored_schema if parts else table.schema, parts, location)
 
 
 def rebuild_marts(spark: SparkSession, lake: str, run: runlog.Run) -> None:
@@ -116,6 +129,9 @@ def optimize(spark: SparkSession, lake: str) -> None:
     """Rewrite slices of many files in place; aggregates are collapsed on the way."""
     for table in PARTITIONED:
         maintenance.optimize_table(spark, f"{lake}/warehouse", table)
+    # Runs that end now are added to today's slice, some that began to end yesterday may still be.
+    yesterday = datetime.now(timezone.utc) - timedelta(days=1)
+    maintenance.optimize_table(spark, lake, runlog.RUNS, before=sinks.slice_key(yesterday, runlog.RUNS))
 
 
 def expire(spark: SparkSession, lake: str, as_of: datetime) -> None:

@@ -21,6 +21,7 @@ from tidemark.operators.sinks import (
     path_exists,
     remove_folder,
     slice_folders,
+    slice_of,
     stored_layout,
 )
 from tidemark.schemas import BRONZE_KEEP_DAYS, Table
@@ -180,9 +181,11 @@ def finish_swaps(spark: SparkSession, path: str, table: Table) -> None:
         remove_folder(spark, folder)
 
 
-def optimize_table(spark: SparkSession, root: str, table: Table, file_bytes: int = FILE_BYTES) -> list[str]:
+def optimize_table(spark: SparkSession, root: str, table: Table, file_bytes: int = FILE_BYTES, before: int | None = None) -> list[str]:
     """Rewrite the slices of a stored table that hold several files, and switch to the new ones.
 
+    With ``before``, slices from that one on are left alone: in a log, those that rows may still be added to.
+
     All such slices are read and written by one job into a folder that readers pass over; aggregates are
     collapsed on the way. Slices above ``file_bytes`` are cut into files by ranges of the sort key, and are
     rewritten once they hold clearly more files than they need. Then each old slice is renamed aside, the new
@@ -191,7 +194,8 @@ def optimize_table(spark: SparkSession, root: str, table: Table, file_bytes: int
     """
     path = f"{root}/{table.name}"
     finish_swaps(spark, path, table)
-    files = {f: n for f in slice_folders(spark, path, table) if (n := count_files(spark, f)) > 1}
+    closed = [f for f in slice_folders(spark, path, table) if before is None or slice_of(f) < before]
+    files = {f: n for f in closed if (n := count_files(spark, f)) > 1}
     size = {f: folder_bytes(spark, f) for f in files}
     large = [f for f in files if size[f] > file_bytes and not table.additive]
     small = [f for f in files if f not in large]

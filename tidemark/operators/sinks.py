@@ -38,6 +38,14 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def remove_file(spark: SparkSession, *paths: str) -> None:
+    """Remove files, or folders without anything in them."""
+    if paths:
+        _, fs = _file_system(spark, paths[0])
+        for path in paths:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(path), False)
+
+
 def move_folder(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder; the target must not exist."""
     source_path, fs = _file_system(spark, source)
@@ -83,6 +91,14 @@ def file_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop) if s.isFile())
 
 
+def names_like(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """Names in a folder that match a pattern, brought over in one text however many they are."""
+    hadoop, fs = _file_system(spark, f"{folder}/{pattern}")
+    found = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.globStatus(hadoop))
+    text = spark._jvm.scala.Predef.genericWrapArray(found).mkString("\n") if found else ""
+    return sorted(line.rsplit("/", 1)[1] for line in text.split("\n") if line)
+
+
 def folder_bytes(spark: SparkSession, folder: str) -> int:
     hadoop, fs = _file_system(spark, folder)
     return fs.getContentSummary(hadoop).getLength()

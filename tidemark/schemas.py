@@ -242,6 +242,7 @@ WAREHOUSE: dict[str, Table] = {
         ),
         Table(
             "pipeline_runs", order_by=("started_at", "dag_id"),
+            time_column="_loaded_at", partition_format="yyyyMM", slice_format="yyyyMMdd",
             ddl="run_id string, dag_id string, stage string, status string, rows_read bigint, "
                 "rows_written bigint, started_at timestamp, finished_at timestamp, "
                 "error_msg string, _loaded_at timestamp",

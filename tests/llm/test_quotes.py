@@ -88,3 +88,12 @@ def test_mails(spark):
     df = spark.createDataFrame([(1, 0, "a", "x\ny"), (1, 1, "b", "z")], SCHEMA)
     got = {r.turn: r.text for r in quotes.as_mails(df).orderBy(F.col("turn")).collect()}
     assert got == {0: "x\ny", 1: "a wrote:\n> x\n> y\n\nz"}
+
+
+def test_rows_that_repeat_a_turn_become_one_mail_each(spark):
+    rows = [(1, t, "user", f"text {t} {c}") for t in range(4) for c in range(5)] + [(1, 2, None, None), (None, 1, "user", "x"), (2, None, "user", "y")]
+    mails = quotes.as_mails(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert len(mails) == len(rows)
+    assert sorted(m.text.split("\n")[-1] for m in mails) == sorted(r[3] or "" for r in rows)
+    assert {m.text for m in mails if m.conv_id == 1 and m.turn == 1 and m.text.endswith("1 4")} == {"user wrote:\n> text 0 0\n\ntext 1 4"}
+    assert {m.text for m in mails if m.conv_id != 1} == {"x", "y"}

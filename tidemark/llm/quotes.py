@@ -151,11 +151,17 @@ def conversations(messages: DataFrame, conv_col: str = "conv_id", turn_col: str
 
 def as_mails(messages: DataFrame) -> DataFrame:
     """The messages as a mail program would send them: each quotes the message that it replies to, and that
-    one's quote. A turn replies to the turn before it, every fourth (by hash) to the one before that."""
+    one's quote. A turn replies to the turn before it, every fourth (by hash) to the one before that.
+
+    Every row becomes one mail. Where rows repeat a turn, the first of them by role and text (nulls first) is the
+    one that is quoted. Rows without conversation or turn quote nothing and are not quoted.
+    """
     far = (F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)) == 0) & (F.col("turn") > 1)
     own = messages.select("conv_id", "turn", "role", "text", F.when(far, F.col("turn") - 2).otherwise(F.col("turn") - 1).alias("up"))
-    above = own.select("conv_id", F.col("turn").alias("up"), F.col("role").alias("up_role"), F.col("text").alias("up_text"), F.col("up").alias("top"))
-    top = own.select("conv_id", F.col("turn").alias("top"), F.col("role").alias("top_role"), F.col("text").alias("top_text"))
+    said = own.where("conv_id is not null and turn is not null").groupBy("conv_id", "turn").agg(
+        F.min(F.struct("role", "text", "up")).alias("first")).select("conv_id", "turn", "first.*")
+    above = said.select("conv_id", F.col("turn").alias("up"), F.col("role").alias("up_role"), F.col("text").alias("up_text"), F.col("up").alias("top"))
+    top = said.select("conv_id", F.col("turn").alias("top"), F.col("role").alias("top_role"), F.col("text").alias("top_text"))
 
     def quote(text: Column) -> Column:
         return F.concat(F.lit("> "), F.replace(text, F.lit("\n"), F.lit("\n> ")))

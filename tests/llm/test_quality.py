@@ -119,3 +119,23 @@ def test_shares_of_held_out_documents(spark):
         F.avg(F.when(F.expr("quality is not null"), kept)), F.avg(F.when(F.expr("quality is null"), kept))).first()
     print("kept of held-out good, low, all labelled; of unlabelled:", good, low, hidden, unlabelled)
     assert 0.97 <= good <= 1 and low <= 0.05 and abs(hidden - unlabelled) <= 0.03
+
+
+def test_all_trusted_documents_count(spark, plan):
+    labels = spark.range(30_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    assert quality.trusted_ids(labels).count() == 30_000
+    docs = spark.createDataFrame([(1, "w"), (2, "v")], "doc_id long, text string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a set of ids above it
+    try:
+        assert "SortMergeJoin" in plan(quality.weights(docs, quality.trusted_ids(labels)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+@pytest.mark.parametrize("scores", ["id * 1.0", "pow(rand(7), 9) * 20 - 7", "if(id < 3, -1e9, id % 5 / 7)", "0.25", "cast(null as double)"])
+@pytest.mark.parametrize("rows", [2, 7_777])
+def test_threshold_is_the_exact_percentile(spark, scores, rows):
+    df = spark.range(rows).selectExpr(f"cast({scores} as double) as score").localCheckpoint()
+    for share in (1 - quality.TRUSTED_KEPT, 1.0):
+        assert quality.least_of(df, share) == df.agg(F.percentile("score", share)).first()[0]

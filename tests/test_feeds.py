@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from tidemark.catalogue import queries
+from tidemark.streaming.landing import to_bronze
 
 
 def test_feed_files_are_compressed_and_bounded(spark, monkeypatch):
@@ -15,3 +16,10 @@ def test_feed_files_are_compressed_and_bounded(spark, monkeypatch):
     assert len(files) == 4 and all(n.endswith(".gz") for n in files)
     queries.deliver(lines, folder)
     assert sorted(r.value for r in spark.read.text(folder).collect()) == sorted([r.value for r in lines.collect()] * 2)
+
+
+def test_raw_messages_are_parsed_once(spark, plan):
+    lines = spark.createDataFrame([('{"reading_id":"a","x":1}',), ("{cut",), (None,)], "value string").repartition(2)
+    landed = to_bronze(lines.selectExpr("value", "0L as offset", "0 as partition"), "sensors")
+    assert plan(landed).count("from_json") == 1
+    assert [(r.reading_id, r._extra) for r in landed.collect()] == [("a", {"x": "1"})]

@@ -133,6 +133,57 @@ def test_all_trusted_documents_count(spark, plan):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def moved(df):
+    """Bytes that the shuffles by id of a collected DataFrame wrote."""
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        inner = node.executedPlan() if name == "AdaptiveSparkPlanExec" else node.plan() if name.endswith("QueryStageExec") else None
+        below = node.children()
+        nodes = [inner] if inner else [below.apply(i) for i in range(below.size())]
+        by_id = name == "ShuffleExchangeExec" and "hashpartitioning(id#" in node.outputPartitioning().toString()
+        own = node.metrics().apply("shuffleBytesWritten").value() if by_id else 0
+        return own + sum(map(walk, nodes))
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_texts_without_trust_are_not_moved(spark):
+    text = F.concat_ws(" ", *[F.sha2(F.concat("id", F.lit(f" {i}")), 512) for i in range(8)])
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), text.alias("text")).localCheckpoint()
+    size = docs.agg(F.sum(F.length("text"))).first()[0]
+    for trusted, least in ((spark.range(0), 0), (spark.range(0, 4000, 40), size / 40)):
+        model = quality.weights(docs, trusted)
+        threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a set of ids above it
+        try:
+            assert len(model.collect()[0].weights) == quality.FOLDS * quality.BUCKETS
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        assert least / 2 <= moved(model) < size / 20 + 50_000
+
+
+@pytest.mark.parametrize("places", [quality.PLACES, 1 << 15, 1 << 3])
+def test_filter_changes_no_weight(spark, monkeypatch, places):
+    monkeypatch.setattr(quality, "PLACES", places)
+    ids = [None, None, 0, 1, 1, -1, -(1 << 63), (1 << 63) - 1, *range(50, 350)]
+    docs = [(i, None if n == 5 else f"w{n % 7} v{n} w{n % 3}") for n, i in enumerate(ids)]
+    trusted = [0, 1, -1, -(1 << 63), (1 << 63) - 1, *range(50, 350, 3), *range(1000, 1100)]
+    rows = spark.createDataFrame(docs, "id long, text string")
+    few = spark.createDataFrame([(i,) for i in trusted], "id long")
+    maybe = quality.maybe_trusted(rows, few).collect()
+    assert sorted((r.id or 0, r.text or "") for r in maybe) == sorted((i or 0, t or "") for i, t in docs)
+    assert all(r.maybe for r in maybe if r.id in trusted) and not any(r.maybe for r in maybe if r.id is None)
+    assert places < 1 << 26 or sum(r.maybe for r in maybe) <= 2 + sum(i in trusted for i in ids)
+    folds = {r.id: r.fold for r in few.select("id", quality.fold(F.col("id")).alias("fold")).collect()}
+    raw, target = Counter(), [Counter() for _ in range(quality.FOLDS)]
+    for i, text in docs:
+        raw.update(grams(text))
+        for f in range(quality.FOLDS):
+            target[f].update(grams(text) if i in folds and folds[i] != f else [])
+    share = lambda c, b: math.log((c[b] + 1) / (sum(c.values()) + quality.BUCKETS))
+    got = quality.weights(rows, few, "id").first().weights
+    assert all(abs(got[f * quality.BUCKETS + b] - share(target[f], b) + share(raw, b)) < 1e-9 for f in range(quality.FOLDS) for b in raw)
+
+
 @pytest.mark.parametrize("scores", ["id * 1.0", "pow(rand(7), 9) * 20 - 7", "if(id < 3, -1e9, id % 5 / 7)", "0.25", "cast(null as double)"])
 @pytest.mark.parametrize("rows", [2, 7_777])
 def test_threshold_is_the_exact_percentile(spark, scores, rows):

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Buckets of the hashed 1- and 2-grams: a weight each reaches the executors.
 BUCKETS = 1 << 18
+#: Bits of the filter on trusted ids: 8 MB of them, whatever the number of ids, reach the executors by a broadcast.
+PLACES = 1 << 26
 #: Rows that a round of the search for the threshold brings to the driver, at most.
 BINS = 1 << 12
 #: Share of the trusted documents that the threshold lets through.
@@ -17,6 +19,7 @@ TRUSTED_KEPT = 0.99
 #: A document is scored by a model that was learnt without the trusted documents of its own fold.
 FOLDS = 2
 REPEAT = 8  # words of a window; n_repeat_words joins halves, so it is fixed
+_BLOCK = 1 << 15  # bits of a value of bitmap_construct_agg
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -54,16 +57,32 @@ def fold(id_col: Column) -> Column:
     return F.pmod(F.xxhash64(id_col, F.lit("fold")), F.lit(FOLDS)).cast("int")
 
 
+def maybe_trusted(rows: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``rows`` and ``maybe``: true for every trusted ``id`` and for few others, so that only these need a join by id.
+
+    Each trusted id sets one of ``PLACES`` bits. More ids make ``maybe`` true for more rows, but the filter no larger.
+    """
+    place = F.xxhash64(F.col("id"), F.lit("place")).bitwiseAND(F.lit(PLACES - 1))
+    block, bit = F.floor(place / _BLOCK), place % _BLOCK
+    blocks = trusted.groupBy(block.alias("block")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    found = rows.withColumn("block", block).join(F.broadcast(blocks), "block", "left")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    maybe = F.col("id").isNotNull() & F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    return found.select(*rows.columns, maybe.alias("maybe"))
+
+
 def weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row with an array: for each fold and bucket, log of its share in the trusted texts of the other folds
     over its share in all texts.
 
     Every 1- and 2-gram of every text counts for the raw model, those of trusted ids for the target models.
     Counts of a task are combined before the shuffle, so no more than ``(FOLDS + 1) * BUCKETS`` rows leave it.
-    All multinomials are smoothed by one. The ids grow with the labels: Spark chooses how to join them by their size.
+    All multinomials are smoothed by one. The ids grow with the labels, so they are joined by a shuffle at every
+    size; only the texts of ``maybe_trusted`` ids take part, the others are counted where they are read.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = rows.join(trusted.withColumn("fold", fold(F.col("id"))), "id", "left")
+    rows = maybe_trusted(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), trusted)
+    joined = rows.where("maybe").join(trusted.withColumn("fold", fold(F.col("id"))).hint("merge"), "id", "left")
+    rows = rows.where("not maybe").withColumn("fold", F.lit(None).cast("int")).select("text", "fold").union(joined.select("text", "fold"))
     grams = _hashed(rows, "text").select("fold", F.explode(_grams()).alias("gram"))
     counts = grams.groupBy(_bucket(F.col("gram")).alias("bucket"), "fold").agg(F.count("*").alias("n")).groupBy("bucket").agg(
         F.sum("n").alias("raw"), F.sum(F.when(F.col("fold").isNotNull(), F.col("n"))).alias("target"),
@@ -177,8 +196,8 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     models differ by nothing and the base rules decide alone. A null or blank text has no words and is not
     kept; a row without id is judged like any other; rows that repeat an id are judged one by one.
     ``label_id_col`` is the column of ``labels`` (that of ``docs`` by default). ``keep`` writes the trusted ids,
-    the model and the scores (``common.stored``), so that texts are read twice: to count, and to score. The
-    threshold is found when this function is called.
+    the model and the scores (``common.stored``), so that texts are read three times: to count those of trusted
+    ids, to count the others, and to score. The threshold is found when this function is called.
     """
     keep = keep or (lambda df, label: df)
     trusted = keep(trusted_ids(labels, label_id_col or id_col), "trusted")

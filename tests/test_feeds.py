@@ -1,10 +1,12 @@
 """How registered queries hand their messages to the streams."""
 
 import os
+import time
 
 from pyspark.sql import functions as F
 
 from tidemark.catalogue import queries
+from tidemark.operators import sinks
 from tidemark.streaming.landing import to_bronze
 
 
@@ -23,3 +25,34 @@ def test_raw_messages_are_parsed_once(spark, plan):
     landed = to_bronze(lines.selectExpr("value", "0L as offset", "0 as partition"), "sensors")
     assert plan(landed).count("from_json") == 1
     assert [(r.reading_id, r._extra) for r in landed.collect()] == [("a", {"x": "1"})]
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {line.rsplit("/", 1)[1] for line in found.split("\n") if "/shuffle_" in line}
+
+
+def left_over(spark, before):
+    until = time.time() + 5  # removed in the background
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    return shuffle_files(spark) - before
+
+
+def test_shuffle_files_go_with_their_write(spark, folder):
+    rows = spark.range(0, 1000, 1, 4).groupBy((F.col("id") % 7).alias("k")).count()
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(cleanup), shuffle_files(spark)
+    sinks.replace_folder(rows.hint("rebalance"), f"{folder}/rows")
+    queries.deliver(rows.select(F.col("k").cast("string").alias("value")), f"{folder}/lines")
+    assert not left_over(spark, before) and spark.conf.get(cleanup) == setting
+    assert spark.read.parquet(f"{folder}/rows").count() == spark.read.text(f"{folder}/lines").count() == 7
+
+
+def test_a_feed_goes_when_the_quarantine_has_worked_it_off(spark, folder, monkeypatch):
+    monkeypatch.setattr(queries, "new_folder", lambda _, label: f"{folder}/{label}")
+    monkeypatch.setattr(queries.d, "BROKEN_FEEDS", {"social": lambda spark, _: spark.createDataFrame(
+        [('{"post_id":"a","event_ts":"2024-01-05T10:00:00+00:00"}',), ("{cut",)], "value string")})
+    found = queries.stream_quarantine(spark, folder)
+    assert sorted(tuple(r) for r in found.collect()) == [("social", "accepted", 1, 1), ("social", "malformed_json", 1, 0)]
+    assert [n for n in os.listdir(folder) if n.startswith("feed-")] == []

@@ -209,6 +209,24 @@ def test_quarantine_checks_each_event_by_its_type(spark, folder):
         assert spark.read.parquet(f"{folder}/good/{topic}").count() == sum(reason is None for _, reason in lines)
 
 
+def test_quarantine_holds_no_messages(spark, folder, monkeypatch):
+    held, write = [], quarantine.write_batch_part
+
+    def written(rows, *args):
+        write(rows, *args)
+        held.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+
+    monkeypatch.setattr(quarantine, "write_batch_part", written)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    options = feed(f"{folder}/src", "1", order("o1"), {**order("o2"), "order_id": None}, "{cut", "", "null")
+    drain(quarantine.quarantine_stream(read_events(spark, "transactions", options), "transactions", f"{folder}/good",
+                                       f"{folder}/bad", f"{folder}/cp", True))
+    assert held == [before] * 2
+    assert [r.order_id for r in spark.read.parquet(f"{folder}/good").collect()] == ["o1"]
+    assert sorted((r.reason, r.value[:4]) for r in spark.read.parquet(f"{folder}/bad").collect()) == [
+        ("malformed_json", "null"), ("malformed_json", "{cut"), ("missing_key", '{"ev'), ("unknown_type", "")]
+
+
 def test_landing_reports_bad_messages_beside_the_raw_files(spark, folder):
     options = feed(f"{folder}/src", "1", order("o1"), {**order("o2"), "order_id": None}, "garbage")
     arrived = F.lit("2024-02-03 04:05:06").cast("timestamp")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import sinks
 from tidemark.operators.maintenance import store_table
-from tidemark.plans import refresh, reports
+from tidemark.plans import gold, refresh, reports
 from tidemark.plans.gold import build_fact
 from tidemark.plans.silver import bronze_to_silver
 from tidemark.schemas import WAREHOUSE
@@ -179,6 +179,34 @@ def test_one_day_is_listed_alone(spark, folder):
     assert read_gold_partition(spark, f"{folder}/gold", "fact_sensor_readings", 20250103).isEmpty()
 
 
+@pytest.mark.parametrize("most", [0, 1 << 10, 1 << 30])
+def test_a_rebuild_of_all_days_takes_whole_days_in_parts(spark, folder, monkeypatch, most):
+    days = ["2023-12-31", "2024-01-05", "2024-01-06", "2024-02-10", "2024-10-02"]
+    for batch, temperature in (("2024-11-01", "1.5"), ("2024-11-02", "2.5")):  # a second batch with the same keys and days
+        land(spark, f"{folder}/bronze", batch, 10, [reading(f"{day}-{i}", f"{day}T{i:02d}:00:00", temperature) for day in days for i in range(3)])
+        bronze_to_silver(spark, f"{folder}/bronze", f"{folder}/silver", "sensors", batch)
+    parts, write = [], gold.write_gold_fact
+
+    def written(rows, *args, **more):
+        parts.append({r.date_key for r in rows.select("date_key").distinct().collect()})
+        return write(rows, *args, **more)
+
+    monkeypatch.setattr(gold, "FACTS", {"fact_sensor_readings": "sensors"})
+    monkeypatch.setattr(gold, "DIMENSIONS", {})
+    monkeypatch.setattr(gold, "write_gold_fact", written)
+    monkeypatch.setattr(gold, "SLICE_BYTES", most // spark.sparkContext.defaultParallelism, raising=False)
+    assert gold.silver_to_gold(spark, f"{folder}/silver", f"{folder}/gold", None) == [f"{folder}/gold/fact_sensor_readings"]
+    assert len(parts) == (1 if most > 1 << 20 else 5)
+    assert sorted(day for part in parts for day in part) == [20231231, 20240105, 20240106, 20240210, 20241002]
+
+    def rows(df):
+        return sorted((r.reading_id, r.date_key, r.event_ts, r.temperature) for r in df.collect())
+
+    found = rows(read_gold_partition(spark, f"{folder}/gold", "fact_sensor_readings"))
+    assert found == rows(build_fact("fact_sensor_readings", read_silver(spark, f"{folder}/silver", "sensors")))
+    assert len(found) == 15 and {r[3] for r in found} == {2.5}
+
+
 def test_rebuilt_frame_equals_rebuilt_table(spark):
     old, fresh = hours(spark, (DAY, 1), (DAY + timedelta(hours=1), 1)), hours(spark, (DAY + timedelta(hours=1), 4))
     out = sinks.rebuild_window(old, fresh, "hour_ts", DAY + timedelta(hours=1))
